@@ -14,15 +14,38 @@ def text_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(size, F.lit(0)).alias("bytes")).first()["bytes"]
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's own estimate; a frame it knows nothing about comes out enormous."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only after measuring that it fits under ``limit``.
 
-    A larger frame is returned unmarked: the join then shuffles on its key, and AQE splits
-    a key that holds too many rows.
+    Spark already broadcasts by itself what it estimates under its own threshold, so that is
+    left alone. A frame larger than ``limit`` is returned unmarked: the join then shuffles on
+    its key, and AQE splits a key that holds too many rows.
     """
+    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower().rstrip("b")
+    if threshold.isdecimal() and estimated_bytes(df) <= int(threshold):
+        return df
     return F.broadcast(df) if text_bytes(df) <= limit else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly per-row work on an input too small to be split that far.
+
+    A table that lies in one file, or one row group, arrives as one task. Such an input is
+    cheap to redistribute; one that fills the cluster by itself is left where it is.
+    """
+    spark = df.sparkSession
+    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").lower().rstrip("b")
+    cores = spark.sparkContext.defaultParallelism
+    if split.isdecimal() and estimated_bytes(df) < cores * int(split):
+        return df.repartition(cores)
+    return df
+
+
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from galley.functions.dates import parse_timestamp
+from galley.functions.literals import constant_rows
 from galley.functions.text import blank_to_null
 from galley.operators.conform import union_all
 from galley.operators.joins import join_dimension
@@ -61,7 +62,7 @@ def schema_differences(df: DataFrame, expected: T.StructType) -> DataFrame:
         for name in sorted(actual.keys() | wanted.keys())
         if actual.get(name) != wanted.get(name)
     ]
-    return df.sparkSession.createDataFrame(rows, "column string, expected string, actual string")
+    return constant_rows(df.sparkSession, rows, "column string, expected string, actual string")
 
 
 def unknown_sources(content: DataFrame, official: DataFrame, column: str = "news_site") -> DataFrame:
@@ -84,8 +85,6 @@ def layer_counts(layers: dict[tuple[str, str], DataFrame]) -> DataFrame:
 
 def below_minimum(counts: DataFrame, minimum: dict[tuple[str, str], int]) -> DataFrame:
     """Layer counts that fall short of the least acceptable number."""
-    least = counts.sparkSession.createDataFrame(
-        [(layer, entity, n) for (layer, entity), n in minimum.items()],
-        "layer string, entity string, min_count long",
-    )
+    rows = [(layer, entity, n) for (layer, entity), n in minimum.items()]
+    least = constant_rows(counts.sparkSession, rows, "layer string, entity string, min_count long")
     return counts.join(least, ["layer", "entity"]).filter(F.col("row_count") < F.col("min_count"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from galley.functions.text import words
 from galley.operators.dedup import one_per_key
-from galley.operators.joins import join_dimension
+from galley.operators.joins import join_dimension, spread
 from galley.session import materialize
 
 # English function words of four letters or more (fixed values).
@@ -27,7 +27,7 @@ def term_counts(
     A document's words leave its task already counted, so long texts shuffle as their
     vocabulary, not as their length.
     """
-    tokens = docs.select(*key, F.explode(words(text, min_length)).alias("term"))
+    tokens = spread(docs.select(*key, text)).select(*key, F.explode(words(text, min_length)).alias("term"))
     return tokens.groupBy(*key, "term").agg(F.count("*").alias("tf"))
 
 
@@ -52,9 +52,9 @@ def keywords(
     spread = counts.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
     total = docs.agg(F.count("*").alias("n")).scalar()
     idf = spread.select("term", F.log((1 + total) / (1 + F.col("df"))).alias("idf"))
-    scored = counts.join(idf, "term").select(
-        *key, "term", F.round(F.col("tf") * F.col("idf"), 6).alias("score")
-    )
+    # Six decimals in plain double arithmetic; round() would go through decimals on every row.
+    score = F.rint(F.col("tf") * F.col("idf") * 1e6) / 1e6
+    scored = counts.join(idf, "term").select(*key, "term", score.alias("score"))
     window = Window.partitionBy(*key).orderBy(F.desc("score"), "term")
     ranked = scored.withColumn("rank", F.row_number().over(window))
     return ranked.filter(F.col("rank") <= k).select(*key, "rank", "term", "score")

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from galley.functions.dates import parse_run_date
+from galley.functions.literals import empty_rows
 from galley.operators.conform import conform, split_by_value, union_content
 from galley.operators.dedup import first_per_key, sortable
 from galley.operators.quality import content_rules, layer_counts, quarantine
@@ -69,7 +70,7 @@ def stored(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
     """A stored table, or its empty shape when it was never written."""
     spec, where = TABLES[name], layout.table(name)
     if not table_exists(spark, where):
-        return spark.createDataFrame([], spec.schema)
+        return empty_rows(spark, spec.schema)
     return read_table(spark, where, spec.schema)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from galley.functions.literals import constant_rows, empty_rows
 from galley.functions.text import not_blank, version_key
 from galley.operators.conform import conform
 from galley.operators.joins import join_dimension
@@ -48,11 +49,11 @@ def build_source_dim(info: DataFrame, current: DataFrame | None = None) -> DataF
 
 
 def empty_source_dim(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], DIM_NEWS_SOURCE)
+    return empty_rows(spark, DIM_NEWS_SOURCE)
 
 
 def build_topic_dim(spark: SparkSession, topics: list[tuple[str, str]] = TOPICS) -> DataFrame:
-    return spark.createDataFrame(topics, DIM_TOPIC)
+    return constant_rows(spark, topics, DIM_TOPIC)
 
 
 def build_fact(content: DataFrame, source_dim: DataFrame) -> DataFrame:
@@ -66,7 +67,7 @@ def build_fact(content: DataFrame, source_dim: DataFrame) -> DataFrame:
 
 def empty_fact(spark: SparkSession) -> DataFrame:
     """No rows, the declared columns: timestamps are timestamps here as in loaded facts."""
-    return spark.createDataFrame([], FACT_ARTICLE)
+    return empty_rows(spark, FACT_ARTICLE)
 
 
 def typed_fact(fact: DataFrame) -> DataFrame:

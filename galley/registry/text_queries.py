@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from galley.functions.dates import with_date_parts
+from galley.functions.literals import constant_rows
 from galley.plans import content as text_analysis
 from galley.plans.content import STOP_WORDS
 from galley.registry.base import query, table
@@ -70,7 +71,7 @@ def _docs(spark, folder):
 
 
 def _rules(spark):
-    return spark.createDataFrame(RULES, "topic string, term string, weight long")
+    return constant_rows(spark, RULES, "topic string, term string, weight long")
 
 
 @query("c1_keywords", _with(_TERMS, _KEYWORDS) + "SELECT doc_id, rank, term, score FROM keywords")

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from galley.functions.dates import on_date, parse_run_date, with_date_parts
+from galley.functions.literals import constant_rows, empty_rows
 from galley.operators.conform import conform
 from galley.schemas import BRONZE_CONTENT, BRONZE_INFO, BRONZE_PARTS
 from galley.sources import files
@@ -90,7 +91,7 @@ def read_bronze(
     if schema is None:
         schema = BRONZE_INFO if content_type == "info" else BRONZE_CONTENT
     if not files.exists(spark, path):
-        return spark.createDataFrame([], schema)
+        return empty_rows(spark, schema)
     df = spark.read.schema(schema).parquet(path)
     if ingestion_date is not None:
         df = df.filter(on_date(parse_run_date(ingestion_date)))
@@ -105,7 +106,6 @@ def inspect(
     """(schema, row count, first ``n`` rows) of those ``columns`` that exist, or all if none do."""
     kept = [c for c in columns if c in df.columns] or df.columns
     shown = df.select(*kept)
-    schema = df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString()) for f in shown.schema.fields], "column string, type string"
-    )
+    columns_shown = [(f.name, f.dataType.simpleString()) for f in shown.schema.fields]
+    schema = constant_rows(df.sparkSession, columns_shown, "column string, type string")
     return schema, shown.agg(F.count("*").alias("row_count")), shown.limit(n)

@@ -20,6 +20,18 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Put folder ``source`` in the place of ``target``; nothing to do if it has moved already."""
+    fs, src = _path(spark, source)
+    dst = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if not fs.exists(src):
+        return
+    if not fs.delete(dst, True):
+        fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p = _path(spark, path)
     out = fs.create(p, True)

@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from galley.functions.literals import empty_rows
 from galley.operators.conform import conform
 from galley.session import materialize, scratch_path
 from galley.sources import files
@@ -45,7 +46,7 @@ def ensure_table(
     """Create an empty table unless it exists; True when it was created."""
     if table_exists(spark, table):
         return False
-    _create(spark.createDataFrame([], schema), table, partition_cols)
+    _create(empty_rows(spark, schema), table, partition_cols)
     return True
 
 
@@ -79,11 +80,8 @@ def upsert(
         df = conform(df, spark.table(table).schema)
     scratch = scratch_path(spark, "upsert")
     batch = materialize(df, path=f"{scratch}/batch")
-    usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    facts = _batch_facts(batch, keys, usable)
-    batch = batch.filter(usable)
-    if check_unique:
-        _assert_unique(batch, keys)
+    facts = _batch_facts(batch, keys, check_unique)
+    batch = batch.filter(_usable(keys))
     touched = 0
     if not exists:
         _create(_clustered(batch, partition_cols), table, partition_cols)
@@ -95,23 +93,33 @@ def upsert(
     return UpsertResult(not exists, facts["rows"], facts["nulls"], touched)
 
 
-def _batch_facts(batch: DataFrame, keys: Sequence[str], usable: Column) -> dict:
-    """Row count, NULL-key count, and the range of every number, date or text key, in one row."""
+def _usable(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def _batch_facts(batch: DataFrame, keys: Sequence[str], check_unique: bool) -> dict:
+    """Row count, NULL-key count, and the range of every number, date or text key, in one row.
+
+    Counting per key first also shows whether a key repeats; copies of a key are added up
+    before the shuffle, so one key in most of the rows does no harm.
+    """
     ranged = [k for k in keys if isinstance(batch.schema[k].dataType, (T.NumericType, T.DateType, T.StringType))]
-    row = batch.agg(
-        F.count("*").alias("rows"),
-        F.count_if(~usable).alias("nulls"),
+    if check_unique:
+        per_key = batch.groupBy(*keys).agg(F.count("*").alias("_n"))
+    else:
+        per_key = batch.select(*keys, F.lit(1).cast("long").alias("_n"))
+    usable = _usable(keys)
+    row = per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(~usable, F.col("_n"))), F.lit(0)).alias("nulls"),
+        F.max(F.when(usable, F.col("_n"))).alias("most"),
         *[F.struct(F.min(k).alias("low"), F.max(k).alias("high")).alias(f"range_{k}") for k in ranged],
     ).first()
-    ranges = {k: row[f"range_{k}"] for k in ranged}
-    return {"rows": row["rows"], "nulls": row["nulls"], "ranges": ranges}
-
-
-def _assert_unique(batch: DataFrame, keys: Sequence[str]) -> None:
-    repeated = batch.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1).limit(5).collect()
-    if repeated:
+    if (row["most"] or 0) > 1:
+        repeated = per_key.filter(usable & (F.col("_n") > 1)).limit(5).collect()
         shown = ", ".join(str(tuple(r[k] for k in keys)) for r in repeated)
         raise ValueError(f"batch holds several rows for one key {tuple(keys)}: {shown}")
+    return {"rows": row["rows"], "nulls": row["nulls"], "ranges": {k: row[f"range_{k}"] for k in ranged}}
 
 
 def _create(df: DataFrame, table: str, partition_cols: Sequence[str]) -> None:
@@ -184,34 +192,31 @@ def _upsert_path(
     if partition_cols and set(partition_cols) <= set(keys):
         lookup = lookup.filter(_in_partitions(partition_cols, _partitions(batch, partition_cols)))
     place = list(dict.fromkeys([*keys, *partition_cols, *([newer_by] if newer_by else [])]))
-    hits = materialize(lookup.select(*place).join(batch_keys, list(keys), "left_semi"), path=f"{scratch}/hits")
+    hits = lookup.select(*place).join(batch_keys, list(keys), "left_semi")
     if newer_by:
+        hits = materialize(hits, path=f"{scratch}/hits")
         known = hits.select(*keys, F.col(newer_by).alias("_stored"))
         fresh = F.col("_stored").isNull() | (F.col(newer_by) >= F.col("_stored"))
         batch = materialize(
-            batch.join(known, list(keys), "left").filter(fresh).drop("_stored").select(*batch.columns),
-            path=f"{scratch}/fresh",
+            batch.join(known, list(keys), "left").filter(fresh).select(*batch.columns), path=f"{scratch}/fresh"
         )
         batch_keys = batch.select(*keys)
         hits = hits.join(batch_keys, list(keys), "left_semi")
     touched = []
     if partition_cols:
         touched = _partitions(batch.select(*partition_cols).union(hits.select(*partition_cols)), partition_cols)
-        stored = stored.filter(_in_partitions(partition_cols, touched))
         if not touched:
             return 0
+        stored = stored.filter(_in_partitions(partition_cols, touched))
     merged = stored.join(batch_keys, list(keys), "left_anti").unionByName(batch)
-    prepared = f"{scratch}/prepared"
-    _clustered(merged, partition_cols).write.partitionBy(*partition_cols).parquet(prepared)
-    note = {
-        "prepared": prepared,
-        "schema": batch.schema.json(),
-        "partition_cols": list(partition_cols),
-        "touched": touched,
-    }
-    files.write_text(spark, _note_path(table), json.dumps(note))
+    prepared = _beside(table, "_prepared")
+    _clustered(merged, partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(prepared)
+    folders = [files.partition_folder(spark, partition_cols, values) for values in touched] or [""]
+    filled = [f for f in folders if files.exists(spark, f"{prepared}/{f}".rstrip("/"))]
+    note = {"replace": filled, "empty": [f for f in folders if f not in set(filled)]}
+    files.write_text(spark, _beside(table, "_pending"), json.dumps(note))
     finish_pending(spark, table)
-    return len(touched) or 1
+    return len(touched)
 
 
 def _folder_value(column: str) -> Column:
@@ -234,30 +239,27 @@ def _partitions(df: DataFrame, partition_cols: Sequence[str]) -> list[list[str]]
     return sorted(list(row) for row in df.select(*names).distinct().toLocalIterator())
 
 
-def _note_path(table: str) -> str:
+def _beside(table: str, prefix: str) -> str:
+    """A name next to the table on the same file system, which readers of the layer skip."""
     parent, _, name = table.rstrip("/").rpartition("/")
-    return f"{parent}/_pending_{name}"
+    return f"{parent}/{prefix}_{name}"
 
 
 def finish_pending(spark: SparkSession, table: str) -> bool:
     """Publish a prepared upsert, whether just written or left by a driver that died.
 
-    The prepared rows are complete before the note is written and the steps can be
-    repeated, so an interrupted publication is finished by calling this again.
+    The prepared folders are complete before the note naming them is written, and each is
+    moved as a whole, so an interrupted publication is finished by calling this again. A
+    partition that lost all its rows is removed, else a row that moved would be left in it.
     """
-    note_path = _note_path(table)
+    note_path, prepared = _beside(table, "_pending"), _beside(table, "_prepared")
     if not files.exists(spark, note_path):
         return False
     note = json.loads(files.read_text(spark, note_path))
-    columns = note["partition_cols"]
-    rows = spark.read.schema(T.StructType.fromJson(json.loads(note["schema"]))).parquet(note["prepared"])
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*columns).parquet(table)
-    if columns:
-        kept = _partitions(rows, columns)
-        for values in note["touched"]:
-            # Dynamic overwrite leaves a partition alone when nothing is written to it.
-            if values not in kept:
-                files.delete(spark, f"{table}/{files.partition_folder(spark, columns, values)}")
+    for folder in note["replace"]:
+        files.replace(spark, f"{prepared}/{folder}".rstrip("/"), f"{table}/{folder}".rstrip("/"))
+    for folder in note["empty"]:
+        files.delete(spark, f"{table}/{folder}")
     files.delete(spark, note_path)
+    files.delete(spark, prepared)
     return True
