@@ -16,15 +16,29 @@ def parse_list(column: str | Column) -> Column:
     return F.from_json(_col(column), "array<string>", _LENIENT_JSON)
 
 
+# A whole quoted string of list text, in either kind of quote.
+_QUOTED = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+
+
+def _bare_word(text: Column, word: str, replacement: str) -> Column:
+    """Replace ``word`` where it stands outside quotes.
+
+    Each match starts where the last one ended and takes quoted strings whole, so a title
+    that contains the word is left alone.
+    """
+    first, rest = word[0], word[1:]
+    skipped = rf"((?:[^'\"{first}]++|{first}(?!{rest})|{_QUOTED})*+)"
+    return F.regexp_replace(text, rf"\G{skipped}{word}", f"$1{replacement}")
+
+
 def parse_records(column: str | Column, ddl: str) -> Column:
     """Legacy list-of-records text to a typed array.
 
-    The text carries None/True/False where JSON has null/true/false. Only a value that
-    stands between a separator and a closing mark is rewritten.
+    The text carries None/True/False where JSON has null/true/false.
     """
     text = _col(column)
     for word, json_word in (("None", "null"), ("True", "true"), ("False", "false")):
-        text = F.regexp_replace(text, rf"(?<=[:\[,] ){word}(?=[,}}\]])", json_word)
+        text = _bare_word(text, word, json_word)
     return F.from_json(text, ddl, _LENIENT_JSON)
 
 

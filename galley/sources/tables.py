@@ -79,17 +79,19 @@ def upsert(
     if exists and not is_path(table):
         df = conform(df, spark.table(table).schema)
     scratch = scratch_path(spark, "upsert")
-    batch = materialize(df, path=f"{scratch}/batch")
-    facts = _batch_facts(batch, keys, check_unique)
-    batch = batch.filter(_usable(keys))
-    touched = 0
-    if not exists:
-        _create(_clustered(batch, partition_cols), table, partition_cols)
-    elif is_path(table):
-        touched = _upsert_path(batch, table, keys, partition_cols, newer_by, facts, scratch)
-    else:
-        _merge(batch, table, keys, newer_by)
-    files.delete(spark, scratch)
+    try:
+        batch = materialize(df, path=f"{scratch}/batch")
+        facts = _batch_facts(batch, keys, check_unique)
+        batch = batch.filter(_usable(keys))
+        touched = 0
+        if not exists:
+            _create(_clustered(batch, partition_cols), table, partition_cols)
+        elif is_path(table):
+            touched = _upsert_path(batch, table, keys, partition_cols, newer_by, facts, scratch)
+        else:
+            _merge(batch, table, keys, newer_by)
+    finally:
+        files.delete(spark, scratch)
     return UpsertResult(not exists, facts["rows"], facts["nulls"], touched)
 
 

@@ -1,0 +1,76 @@
+import datetime as dt
+
+from conftest import rows
+from pyspark.sql import functions as F
+
+from galley.functions.dates import parse_timestamp
+from galley.operators.dedup import any_per_key, first_per_key, highest_version_per_key, latest_per_key
+
+
+def _items(spark, data, schema="content_type string, id long, title string, arrival long"):
+    return spark.createDataFrame(data, schema)
+
+
+def test_first_seen_row_wins(spark):
+    df = _items(spark, [("article", 1, "A", 0), ("article", 1, "B", 1), ("article", 2, "C", 2)])
+    assert rows(first_per_key(df), "id", "title") == [(1, "A"), (2, "C")]
+
+
+def test_same_id_of_another_type_is_kept(spark):
+    df = _items(spark, [("article", 1, "A", 0), ("blog", 1, "B", 1)])
+    assert first_per_key(df).count() == 2
+
+
+def test_nothing_in_nothing_out(spark):
+    assert first_per_key(_items(spark, [])).count() == 0
+    assert any_per_key(_items(spark, []), ["content_type", "id"]).count() == 0
+
+
+def test_newest_wins_and_null_never_does(spark):
+    data = [("article", 1, "old", "2024-01-01T00:00:00Z"), ("article", 1, "none", None), ("article", 1, "new", "2024-01-02T00:00:00Z")]
+    df = _items(spark, data, "content_type string, id long, title string, updated_at string")
+    assert rows(latest_per_key(df), "title") == [("new",)]
+
+
+def test_fraction_of_a_second_is_newer(spark):
+    data = [("article", 1, "whole", "2024-01-01T00:00:23Z"), ("article", 1, "fraction", "2024-01-01T00:00:23.687897Z")]
+    df = _items(spark, data, "content_type string, id long, title string, updated_at string")
+    parsed = df.withColumn("updated_at", parse_timestamp("updated_at"))
+    latest = latest_per_key(parsed).collect()
+    assert [r["title"] for r in latest] == ["fraction"]
+    assert latest[0]["updated_at"] == dt.datetime(2024, 1, 1, 0, 0, 23, 687897)
+
+
+def test_equal_times_fall_back_to_the_other_columns(spark):
+    data = [("article", 1, t, "2024-01-01") for t in ("b", "c", "a")]
+    df = _items(spark, data, "content_type string, id long, title string, updated_at string")
+    assert {latest_per_key(df.repartition(n)).first()["title"] for n in (1, 2, 3)} == {"c"}
+
+
+def test_without_update_time_the_survivor_is_stable(spark):
+    df = _items(spark, [("article", 1, t, 0) for t in ("b", "c", "a")])
+    assert {any_per_key(df.repartition(n), ["content_type", "id"]).first()["title"] for n in (1, 2, 3)} == {"a"}
+    assert {latest_per_key(df.repartition(n)).first()["title"] for n in (1, 2, 3)} == {"c"}
+
+
+def test_nested_columns_break_ties(spark):
+    df = spark.range(3).select(F.lit("article").alias("content_type"), F.lit(1).alias("id"), F.array("id").alias("x"), F.lit(0).alias("updated_at"))
+    assert latest_per_key(df).first()["x"] == [2]
+
+
+def test_version_numbers_not_version_text(spark):
+    df = spark.createDataFrame([("A", "4.9.0", 1), ("A", "4.29.0", 2), ("A", None, 3), ("B", None, 4)], "s string, version string, id int")
+    assert rows(highest_version_per_key(df, ["s"]), "s", "version", "id") == [("A", "4.29.0", 2), ("B", None, 4)]
+
+
+def test_hot_key_is_cut_before_the_shuffle(spark, plan):
+    df = spark.range(100_000).select(
+        F.lit("article").alias("content_type"),
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("id"),
+        F.col("id").alias("updated_at"),
+    )
+    latest = latest_per_key(df)
+    text = plan(latest)
+    # The plan prints from the last step down to the scan.
+    assert text.index("row_number(), 1, Final") < text.index("Exchange hashpartitioning") < text.index("row_number(), 1, Partial")
+    assert latest.filter("id = 0").collect()[0]["updated_at"] == 99_999
