@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from galley.session import materialize
+
 # A broadcast side is copied to every executor; past this many bytes the join shuffles.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -23,13 +25,15 @@ def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only after measuring that it fits under ``limit``.
 
     Spark already broadcasts by itself what it estimates under its own threshold, so that is
-    left alone. A frame larger than ``limit`` is returned unmarked: the join then shuffles on
-    its key, and AQE splits a key that holds too many rows.
+    left alone. Anything else is computed once, stored, and measured there. A frame larger
+    than ``limit`` is returned unmarked: the join then shuffles on its key, and AQE splits a
+    key that holds too many rows.
     """
     threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower().rstrip("b")
     if threshold.isdecimal() and estimated_bytes(df) <= int(threshold):
         return df
-    return F.broadcast(df) if text_bytes(df) <= limit else df
+    stored = materialize(df, "dimension")
+    return F.broadcast(stored) if text_bytes(stored) <= limit else stored
 
 
 def spread(df: DataFrame) -> DataFrame:

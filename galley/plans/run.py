@@ -93,11 +93,9 @@ def ingest(
     written = bronze.write_bronze(unique.observe(deduped, count), None, layout.bronze, ingestion_date)
     info = landed.read_info(spark, f"{layout.landing.rstrip('/')}/endpoint=info")
     info_rows = bronze.write_bronze(None, info, layout.bronze, ingestion_date)
-    return {
-        "fetched": fetched.get["n"] + info_rows,
-        "deduped": deduped.get["n"] + info_rows,
-        "written": written + info_rows,
-    }
+    # AQE drops an empty stage together with its counts; nothing written means nothing fetched.
+    seen = (fetched.get["n"], deduped.get["n"]) if written else (0, 0)
+    return {"fetched": seen[0] + info_rows, "deduped": seen[1] + info_rows, "written": written + info_rows}
 
 
 def silver_phase(spark: SparkSession, layout: Layout, ingestion_date: str) -> dict[str, UpsertResult]:
@@ -114,7 +112,7 @@ def silver_phase(spark: SparkSession, layout: Layout, ingestion_date: str) -> di
         bad.write.mode("overwrite").parquet(f"{layout.quarantine.rstrip('/')}/ingestion_date={ingestion_date}")
     by_type = materialize(silver.stamp_ingestion(cleaned, ingestion_date), "by_type", partition_by=("content_type",))
     results = {
-        name: store(df, layout, name, check_unique=False)
+        name: store(df, layout, name, check_unique=False, staged=True)
         for name, df in split_by_value(by_type, "content_type", CONTENT_TABLES).items()
     }
     raw_info = bronze.read_bronze(spark, layout.bronze, ingestion_date, "info")

@@ -85,16 +85,21 @@ def read_bronze(
 ) -> DataFrame:
     """Raw rows of one ingestion date (all dates if None) and optionally one type.
 
-    Both filters are on folders, so other dates and types are never opened. A date that was
-    never loaded gives no rows.
+    Only the folders asked for are listed, let alone opened: a daily run does not walk the
+    history. A date that was never loaded gives no rows.
     """
     if schema is None:
         schema = BRONZE_INFO if content_type == "info" else BRONZE_CONTENT
-    if not files.exists(spark, path):
+    run_date = parse_run_date(ingestion_date)
+    folders = f"{path.rstrip('/')}/content_type={content_type or '*'}"
+    if run_date:
+        folders += "/year={}/month={}/day={}".format(*run_date)
+    found = files.matching(spark, folders)
+    if not found:
         return empty_rows(spark, schema)
-    df = spark.read.schema(schema).parquet(path)
-    if ingestion_date is not None:
-        df = df.filter(on_date(parse_run_date(ingestion_date)))
+    df = spark.read.schema(schema).option("basePath", path).parquet(*found)
+    if run_date:
+        df = df.filter(on_date(run_date))
     if content_type is not None:
         df = df.filter(F.col("content_type") == content_type)
     return df

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders and files that fit a glob pattern; none is an empty list."""
+    fs, p = _path(spark, pattern)
+    return [status.getPath().toString() for status in fs.globStatus(p) or []]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)

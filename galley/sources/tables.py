@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from galley.functions.literals import empty_rows
 from galley.operators.conform import conform
@@ -65,12 +65,14 @@ def upsert(
     partition_cols: Sequence[str] = (),
     newer_by: str | None = None,
     check_unique: bool = True,
+    staged: bool = False,
 ) -> UpsertResult:
     """Matched keys take the batch row, new keys are added, other rows stay; nothing is deleted.
 
     Rows with a NULL key can never match and are dropped and counted. A key held by two batch
     rows is an error. With ``newer_by`` a batch row older than the stored one is ignored.
-    ``check_unique=False`` is for batches that are unique by construction.
+    ``check_unique=False`` is for batches that are unique by construction, ``staged`` for
+    batches that only read stored files and need not be copied before they are used again.
     """
     spark = df.sparkSession
     if is_path(table):
@@ -78,9 +80,11 @@ def upsert(
     exists = table_exists(spark, table)
     if exists and not is_path(table):
         df = conform(df, spark.table(table).schema)
+    if not exists and not check_unique:
+        return _load(df, table, keys, partition_cols)
     scratch = scratch_path(spark, "upsert")
     try:
-        batch = materialize(df, path=f"{scratch}/batch")
+        batch = df if staged else materialize(df, path=f"{scratch}/batch")
         facts = _batch_facts(batch, keys, check_unique)
         batch = batch.filter(_usable(keys))
         touched = 0
@@ -95,6 +99,20 @@ def upsert(
     return UpsertResult(not exists, facts["rows"], facts["nulls"], touched)
 
 
+def _load(df: DataFrame, table: str, keys: Sequence[str], partition_cols: Sequence[str]) -> UpsertResult:
+    """First load of rows known to be unique: one pass, the counts riding along.
+
+    They are taken above the last shuffle, since AQE drops a stage, and what it observed,
+    when the stage turns out empty.
+    """
+    seen, usable = Observation(), _usable(keys)
+    counted = _clustered(df, partition_cols).observe(
+        seen, F.count("*").alias("rows"), F.count_if(~usable).alias("nulls")
+    )
+    _create(counted.filter(usable), table, partition_cols)
+    return UpsertResult(True, seen.get["rows"], seen.get["nulls"], 0)
+
+
 def _usable(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 

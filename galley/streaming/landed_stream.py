@@ -33,7 +33,7 @@ def upsert_stream(items: DataFrame, layout: Layout, ingestion_date: str, checkpo
         cleaned = silver.stamp_ingestion(silver.clean_content(batch), ingestion_date)
         by_type = materialize(cleaned, "stream", partition_by=("content_type",))
         for name, df in split_by_value(by_type, "content_type", CONTENT_TABLES).items():
-            store(df, layout, name, newer_by="updated_at", check_unique=False)
+            store(df, layout, name, newer_by="updated_at", check_unique=False, staged=True)
 
     return (
         items.writeStream.foreachBatch(load)

@@ -98,6 +98,12 @@ def test_silver_of_a_day_never_loaded(spark, layout):
     assert stored(spark, layout, "articles").count() == 0
 
 
+def test_landing_with_no_items(spark, layout, tmp_path):
+    land(tmp_path / "landing", "articles", page(count=0, last=True))
+    land(tmp_path / "landing", "info", {"version": "4.9.0", "news_sites": []})
+    assert run(spark, layout, "ingest", ingestion_date="2024-04-01")["ingest"] == {"fetched": 1, "deduped": 1, "written": 1}
+
+
 def test_cap_per_type(spark, layout, tmp_path):
     _land_first_day(tmp_path)
     done = run(spark, layout, "ingest", ingestion_date="2024-04-01", max_items="1")

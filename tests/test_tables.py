@@ -78,6 +78,12 @@ def test_null_key_is_dropped_and_counted(spark, path):
     assert stored(spark, path) == [(1, "a", "2024", "01")]
 
 
+def test_first_load_of_a_trusted_batch_counts_too(spark, path):
+    done = load(spark, path, [(None, "x", "1", "2024", "01"), (1, "a", "1", "2024", "01")], check_unique=False)[0]
+    assert (done.created, done.batch_rows, done.null_key_rows) == (True, 2, 1)
+    assert stored(spark, path) == [(1, "a", "2024", "01")]
+
+
 def test_newer_by_keeps_the_newer_row(spark, path):
     load(spark, path, [(1, "new", "5", "2024", "01"), (2, "b", None, "2024", "01")])
     load(spark, path, [(1, "old", "3", "2023", "12"), (2, "b2", "1", "2024", "01"), (3, "c", "1", "2024", "01")], newer_by="updated_at")
