@@ -99,12 +99,11 @@ def c3_topic(spark, folder):
          FROM documents d JOIN topics USING (doc_id) LEFT JOIN orders ON o_orderkey = d.doc_id""",
 )
 def c4_enriched(spark, folder):
-    """All three analyses per document, upserted twice into a table partitioned by month."""
+    """All three analyses per document, upserted into a table partitioned by month of publication."""
     orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("doc_id"), "o_orderdate")
-    docs = with_date_parts(_docs(spark, folder).join(orders, "doc_id", "left"), "o_orderdate")
-    enriched = text_analysis.enrich(
-        docs, _KEY, "text", _gazetteer(spark, folder), _rules(spark), carry=("year", "month")
-    )
+    analysed = text_analysis.enrich(_docs(spark, folder), _KEY, "text", _gazetteer(spark, folder), _rules(spark))
+    dated = with_date_parts(analysed.join(orders, "doc_id", "left"), "o_orderdate")
+    enriched = dated.select("doc_id", "topic", "keywords", "entities", "year", "month")
     path = scratch_path(spark, "enriched")
     upsert(enriched, path, _KEY, ("year", "month"))
     stored = read_table(spark, path, enriched.schema)

@@ -10,7 +10,7 @@ from galley.session import configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
+def spark():
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -18,7 +18,6 @@ def spark(tmp_path_factory):
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
