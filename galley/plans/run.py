@@ -154,7 +154,9 @@ def dims_phase(spark: SparkSession, layout: Layout) -> dict[str, UpsertResult]:
 def facts_phase(spark: SparkSession, layout: Layout, published_date: str | None = None) -> UpsertResult:
     """Facts for one publication day, or for everything; no rows still create the table."""
     content = published_content(spark, layout, published_date)
-    return store(star.build_fact(content, stored(spark, layout, "dim_news_source")), layout, "fact_article")
+    facts = star.build_fact(content, stored(spark, layout, "dim_news_source"))
+    # A run over everything repeats nearly all stored facts; leave those where they are.
+    return store(facts, layout, "fact_article", skip_unchanged=published_date is None)
 
 
 def aggregates_phase(spark: SparkSession, layout: Layout) -> None:

@@ -95,6 +95,16 @@ def k5_upsert_newer(spark, folder):
     return _merge(spark, _second_slice(spark, folder), _first_slice(spark, folder), newer_by="updated_at")
 
 
+@query("k5_upsert_unchanged", _MERGED)
+def k5_upsert_unchanged(spark, folder):
+    """Everything merged is sent again: rows equal to the stored ones are left where they are."""
+    merged = _merge(spark, _first_slice(spark, folder), _second_slice(spark, folder))
+    path = scratch_path(spark, "items")
+    upsert(merged.filter(F.col("month") < "07"), path, _KEYS, _MONTHLY)
+    upsert(merged, path, _KEYS, _MONTHLY, skip_unchanged=True)
+    return read_table(spark, path, merged.schema)
+
+
 @query("k4_create_if_absent", with_parts(CONTENT) + "SELECT content_type, id, title, year, month, TRUE AS created FROM content")
 def k4_create_if_absent(spark, folder):
     """An empty table made from a schema, found again, then filled."""

@@ -26,23 +26,41 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def replace(spark: SparkSession, source: str, target: str) -> None:
-    """Put folder ``source`` in the place of ``target``; nothing to do if it has moved already."""
-    fs, src = _path(spark, source)
-    dst = spark._jvm.org.apache.hadoop.fs.Path(target)
-    if not fs.exists(src):
-        return
-    if not fs.delete(dst, True):
-        fs.mkdirs(dst.getParent())
-    if not fs.rename(src, dst):
-        raise OSError(f"could not move {source} to {target}")
+def folders_below(spark: SparkSession, root: str, depth: int) -> list[str]:
+    """Names, relative to ``root``, of the partition folders ``depth`` levels down ('' for none)."""
+    if depth == 0:
+        return [""]
+    fs, p = _path(spark, root + "/*=*" * depth)
+    start = len(fs.makeQualified(spark._jvm.org.apache.hadoop.fs.Path(root)).toString()) + 1
+    return [status.getPath().toString()[start:] for status in fs.globStatus(p) or []]
+
+
+def replace(spark: SparkSession, source: str, target: str, folders: list[str]) -> None:
+    """Put each folder of ``source`` in the place of its namesake under ``target``.
+
+    A folder no longer in ``source`` was moved by an earlier attempt.
+    """
+    fs, _ = _path(spark, source)
+    as_path = spark._jvm.org.apache.hadoop.fs.Path
+    for folder in folders:
+        src, dst = as_path(f"{source}/{folder}".rstrip("/")), as_path(f"{target}/{folder}".rstrip("/"))
+        if not fs.exists(src):
+            continue
+        if not fs.delete(dst, True):
+            fs.mkdirs(dst.getParent())
+        if not fs.rename(src, dst):
+            raise OSError(f"could not move {source}/{folder} to {target}")
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that is either there as a whole or not at all."""
     fs, p = _path(spark, path)
-    out = fs.create(p, True)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.draft")
+    out = fs.create(draft, True)
     out.write(bytearray(text, "utf-8"))
     out.close()
+    if not fs.rename(draft, p):
+        raise OSError(f"could not write {path}")
 
 
 def read_text(spark: SparkSession, path: str) -> str:

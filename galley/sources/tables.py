@@ -66,6 +66,7 @@ def upsert(
     newer_by: str | None = None,
     check_unique: bool = True,
     staged: bool = False,
+    skip_unchanged: bool = False,
 ) -> UpsertResult:
     """Matched keys take the batch row, new keys are added, other rows stay; nothing is deleted.
 
@@ -73,6 +74,8 @@ def upsert(
     rows is an error. With ``newer_by`` a batch row older than the stored one is ignored.
     ``check_unique=False`` is for batches that are unique by construction, ``staged`` for
     batches that only read stored files and need not be copied before they are used again.
+    ``skip_unchanged`` first drops batch rows equal to the stored row, for batches that repeat
+    most of the table: path partitions in which nothing changed are then not rewritten.
     """
     spark = df.sparkSession
     if is_path(table):
@@ -91,7 +94,8 @@ def upsert(
         if not exists:
             _create(_clustered(batch, partition_cols), table, partition_cols)
         elif is_path(table):
-            touched = _upsert_path(batch, table, keys, partition_cols, newer_by, facts, scratch)
+            if facts["rows"] > facts["nulls"]:
+                touched = _upsert_path(batch, table, keys, partition_cols, newer_by, skip_unchanged, facts, scratch)
         else:
             _merge(batch, table, keys, newer_by)
     finally:
@@ -191,6 +195,7 @@ def _upsert_path(
     keys: Sequence[str],
     partition_cols: Sequence[str],
     newer_by: str | None,
+    skip_unchanged: bool,
     facts: dict,
     scratch: str,
 ) -> int:
@@ -202,15 +207,22 @@ def _upsert_path(
     """
     spark = batch.sparkSession
     stored = spark.read.schema(batch.schema).parquet(table)
-    batch_keys = batch.select(*keys)
     in_key_range = reduce(
         lambda a, b: a & b,
         [F.col(k).between(F.lit(r["low"]), F.lit(r["high"])) for k, r in facts["ranges"].items() if r["low"] is not None],
         F.lit(True),
     )
     lookup = stored.filter(in_key_range)
-    if partition_cols and set(partition_cols) <= set(keys):
-        lookup = lookup.filter(_in_partitions(partition_cols, _partitions(batch, partition_cols)))
+    at_home = F.lit(True)
+    if partition_cols and (skip_unchanged or set(partition_cols) <= set(keys)):
+        at_home = _in_partitions(partition_cols, _partitions(batch, partition_cols))
+    if skip_unchanged:
+        batch = materialize(_changed(batch, lookup.filter(at_home), keys), path=f"{scratch}/changed")
+        if batch.isEmpty():
+            return 0
+    if set(partition_cols) <= set(keys):
+        lookup = lookup.filter(at_home)
+    batch_keys = batch.select(*keys)
     place = list(dict.fromkeys([*keys, *partition_cols, *([newer_by] if newer_by else [])]))
     hits = lookup.select(*place).join(batch_keys, list(keys), "left_semi")
     if newer_by:
@@ -232,13 +244,24 @@ def _upsert_path(
     prepared = _beside(table, "_prepared")
     _clustered(merged, partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(prepared)
     folders = [files.partition_folder(spark, partition_cols, values) for values in touched] or [""]
-    filled = [f for f in folders if files.exists(spark, f"{prepared}/{f}".rstrip("/"))]
-    note = {"replace": filled, "empty": [f for f in folders if f not in set(filled)]}
+    filled = files.folders_below(spark, prepared, len(partition_cols))
+    note = {"replace": filled, "empty": sorted(set(folders) - set(filled))}
     files.write_text(spark, _beside(table, "_pending"), json.dumps(note))
     finish_pending(spark, table)
     return len(touched)
 
 
+def _changed(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Batch rows that are new, or differ from the stored row in some column."""
+    b, s = batch.alias("b"), stored.alias("s")
+    same = [
+        F.col(f"b.{c}") == F.col(f"s.{c}") if c in keys else F.col(f"b.{c}").eqNullSafe(F.col(f"s.{c}"))
+        for c in batch.columns
+    ]
+    unchanged = s.join(b, reduce(lambda x, y: x & y, same)).select(*[F.col(f"b.{k}") for k in keys])
+    return batch.join(unchanged, list(keys), "left_anti").select(*batch.columns)
+
+
 def _folder_value(column: str) -> Column:
     """A partition value as Spark names its folder; NULL and '' share one."""
     return F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit(_NULL_PARTITION))
@@ -276,8 +299,7 @@ def finish_pending(spark: SparkSession, table: str) -> bool:
     if not files.exists(spark, note_path):
         return False
     note = json.loads(files.read_text(spark, note_path))
-    for folder in note["replace"]:
-        files.replace(spark, f"{prepared}/{folder}".rstrip("/"), f"{table}/{folder}".rstrip("/"))
+    files.replace(spark, prepared, table, note["replace"])
     for folder in note["empty"]:
         files.delete(spark, f"{table}/{folder}")
     files.delete(spark, note_path)

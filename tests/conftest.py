@@ -6,7 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from galley.session import configure  # noqa: E402
+from galley.session import configure, scratch_root  # noqa: E402
+from galley.sources import files  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +23,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield configure(session)
+    files.delete(session, scratch_root(session))
     session.stop()
 
 

@@ -102,6 +102,20 @@ def test_empty_batch(spark, path):
     assert len(stored(spark, path)) == 2
 
 
+def test_unchanged_rows_are_not_rewritten(spark, path):
+    load(spark, path, FIRST + SECOND[1:])
+    before = set(read_table(spark, path, items(spark).schema).inputFiles())
+    assert load(spark, path, FIRST + SECOND[1:], skip_unchanged=True)[0].touched_partitions == 0
+    changed = [(1, None, "1", "2024", "01"), *FIRST[1:], *SECOND[1:], (4, "d", None, "2025", "01")]
+    assert load(spark, path, changed, skip_unchanged=True)[0].touched_partitions == 2
+    assert stored(spark, path) == sorted([(i, t, y, m) for i, t, _, y, m in changed], key=repr)
+    after = set(read_table(spark, path, items(spark).schema).inputFiles())
+    assert {f for f in before if "month=02" in f} <= after
+    moved = [(2, "b", "1", "2026", "02")]
+    assert load(spark, path, changed[:1] + moved, skip_unchanged=True)[0].touched_partitions == 2
+    assert [r for r in stored(spark, path) if r[0] == 2] == [(2, "b", "2026", "02")]
+
+
 def test_unpartitioned_table(spark, path):
     schema = "topic_id string, topic_name string"
     for batch in ([("a", "A"), ("b", "B")], [("b", "B2"), ("c", "C")]):
@@ -121,16 +135,16 @@ def test_interrupted_publication_is_finished(spark, path, monkeypatch):
     load(spark, path, FIRST)
     real, moved = files.replace, []
 
-    def dies_on_the_second(spark_, source, target):
-        if moved:
-            raise OSError("driver lost")
-        moved.append(target)
-        real(spark_, source, target)
+    def dies_on_the_second(spark_, source, target, folders):
+        moved.extend(folders[:1])
+        real(spark_, source, target, folders[:1])
+        raise OSError("driver lost")
 
     monkeypatch.setattr(files, "replace", dies_on_the_second)
     with pytest.raises(OSError):
         load(spark, path, SECOND)
     monkeypatch.setattr(files, "replace", real)
+    assert len(moved) == 1
     assert finish_pending(spark, path) and not finish_pending(spark, path)
     assert stored(spark, path) == [(1, "new", "2024", "01"), (2, "b", "2024", "02"), (3, "c", "2025", "01")]
 
