@@ -83,10 +83,10 @@ def topic_trend(fact: DataFrame, topic_dim: DataFrame, limit: int = 50) -> DataF
 
 
 def top_sources(fact: DataFrame, source_dim: DataFrame, limit: int = 20) -> DataFrame:
-    """Sources by total items."""
-    named = by_source_month(fact, source_dim).filter(F.col("news_site").isNotNull())
-    totals = named.groupBy("news_site").agg(F.sum("article_count").alias("total_publications"))
-    return totals.orderBy(F.desc("total_publications"), "news_site").limit(limit)
+    """Sources by total items, counted over the whole time at once rather than month by month."""
+    totals = by_source_period(fact, source_dim, ()).withColumnRenamed("article_count", "total_publications")
+    named = totals.filter(F.col("news_site").isNotNull())
+    return named.orderBy(F.desc("total_publications"), "news_site").limit(limit)
 
 
 def recent_sources(fact: DataFrame, source_dim: DataFrame, limit: int = 30) -> DataFrame:

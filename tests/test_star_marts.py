@@ -119,7 +119,7 @@ def test_plans(spark, schema, plan, tmp_path):
     assert top.index("Join") < top.index("partial_count(1)")
     detail = plan(marts.detail(stored, dim, topics))
     assert detail.count("BroadcastHashJoin") == 2 and "hashpartitioning" not in detail
-    content = stored.withColumn("news_site", F.lit("A")).withColumnRenamed("article_id", "id").drop("news_source_id")
+    content = stored.withColumn("news_site", F.col("title")).withColumnRenamed("article_id", "id").drop("news_source_id")
     assert "BroadcastHashJoin" in plan(star.build_fact(content, dim))
     monthly = plan(marts.by_month(stored))
     assert "ReadSchema: struct<year:string,month:string>" in monthly
