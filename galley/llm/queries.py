@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count
+from galley.llm import bpe_count, packing, token_store, two_pass_shuffle
 from galley.llm.common import table
+from galley.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,3 +30,29 @@ def bpe_heap_counts(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens of every document; over the limit are those with more than 1024."""
     counts = bpe_count.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+END_ID = 1  # appended to every document
+
+
+@query("op2_elias_fano_store")
+def elias_fano_store(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as binary token blocks, read back from the files."""
+    path = scratch_path(spark, "token-store")
+    token_store.write(table(spark, folder, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    return token_store.read(spark, path)
+
+
+@query("op6_two_pass_shuffle")
+def two_pass(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in random order in 24 shards, read back from the files."""
+    path = scratch_path(spark, "shuffled")
+    two_pass_shuffle.write_shuffled(table(spark, folder, "documents"), path, shards=24)
+    written = spark.read.schema("doc_id long, text string, slot long, shard int").parquet(path)
+    return two_pass_shuffle.digest(written)
+
+
+@query("op10_dominance_packing")
+def dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, 4096)
