@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -70,3 +71,26 @@ def text_or_empty(name: str = "text") -> Column:
 def id_and_text(docs: DataFrame) -> DataFrame:
     """Only the two columns an operator works on, so that other columns cannot clash."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator[pa.Table]:
+    """Runs of rows with equal ``keys`` (integers) of a partition sorted by them, one table each."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        for c in columns:
+            changed[1:] |= c[1:] != c[:-1]
+        cuts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)

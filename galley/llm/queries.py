@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count, packing, token_store, two_pass_shuffle
+from galley.llm import bpe_count, packing, super_minhash, token_store, two_pass_shuffle
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -56,3 +56,9 @@ def two_pass(spark: SparkSession, folder: str) -> DataFrame:
 def dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents packed into sequences of 4096 tokens."""
     return packing.pack(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID, 4096)
+
+
+@query("op4_super_minhash")
+def near_duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of documents whose sets of two-word shingles are similar to 0.8 or more."""
+    return super_minhash.near_duplicates(table(spark, folder, "documents"), k=2).drop("name")
