@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count, packing, super_minhash, token_store, two_pass_shuffle
+from galley.llm import bpe_count, decision_list, packing, super_minhash, token_store, two_pass_shuffle
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -62,3 +62,9 @@ def dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
 def near_duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are similar to 0.8 or more."""
     return super_minhash.near_duplicates(table(spark, folder, "documents"), k=2).drop("name")
+
+
+@query("op8_decision_list")
+def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document under the base rule and the rules learned from the labels."""
+    return decision_list.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
