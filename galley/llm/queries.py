@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count, decision_list, packing, super_minhash, token_store, two_pass_shuffle
+from galley.llm import bpe_count, containment, decision_list, packing, super_minhash, token_store, two_pass_shuffle
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -68,3 +68,28 @@ def near_duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """Every document under the base rule and the rules learned from the labels."""
     return decision_list.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query(
+    "op9_containment_minhash",
+    r"""
+    WITH d AS (SELECT doc_id AS id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+         b AS (SELECT item_id AS id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM benchmark),
+         dw AS (SELECT id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+         bw AS (SELECT id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM b),
+         dr AS (SELECT id, n, i, concat_ws(' ', x, lead(x) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS s
+                FROM dw WINDOW o AS (PARTITION BY id ORDER BY i)),
+         br AS (SELECT id, n, i, concat_ws(' ', x, lead(x) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS s
+                FROM bw WINDOW o AS (PARTITION BY id ORDER BY i)),
+         ds AS (SELECT DISTINCT id AS doc_id, s FROM dr WHERE i <= greatest(n - 4, 1)),
+         bs AS (SELECT DISTINCT id AS item_id, s FROM br WHERE i <= greatest(n - 4, 1)),
+         n AS (SELECT item_id, count(*) AS n_shingles FROM bs GROUP BY item_id)
+    SELECT doc_id, item_id, n_shingles, count(*) AS n_shared
+    FROM ds JOIN bs USING (s) JOIN n USING (item_id)
+    GROUP BY doc_id, item_id, n_shingles HAVING 100 * count(*) >= 80 * n_shingles
+    """,
+)
+def contained_items(spark: SparkSession, folder: str) -> DataFrame:
+    """Every test item that a document contains to 80 % or more."""
+    found = containment.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "n_shingles", "n_shared")
