@@ -73,8 +73,8 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "op9_containment_minhash",
     r"""
-    WITH d AS (SELECT doc_id AS id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
-         b AS (SELECT item_id AS id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM benchmark),
+    WITH d AS (SELECT doc_id AS id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+         b AS (SELECT item_id AS id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
          dw AS (SELECT id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
          bw AS (SELECT id, len(w) AS n, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM b),
          dr AS (SELECT id, n, i, concat_ws(' ', x, lead(x) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o) AS s
