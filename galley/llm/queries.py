@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count, containment, decision_list, packing, super_minhash, token_store, two_pass_shuffle
+from galley.llm import bpe_count, containment, decision_list, packing, suffix_dedup, super_minhash, token_store, two_pass_shuffle
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -93,3 +93,9 @@ def contained_items(spark: SparkSession, folder: str) -> DataFrame:
     """Every test item that a document contains to 80 % or more."""
     found = containment.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "n_shingles", "n_shared")
+
+
+@query("op1_suffix_dedup")
+def suffix_dedup_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document without the bytes that a repeated 400-byte string covers."""
+    return suffix_dedup.digest(suffix_dedup.without_repeats(table(spark, folder, "documents"), 400))
