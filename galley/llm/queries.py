@@ -61,7 +61,9 @@ def dominance_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op4_super_minhash")
 def near_duplicate_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Groups of documents whose sets of two-word shingles are similar to 0.8 or more."""
-    return super_minhash.near_duplicates(table(spark, folder, "documents"), k=2).drop("name")
+    return super_minhash.near_duplicates(table(spark, folder, "documents"), k=2).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
 
 
 @query("op8_decision_list")

@@ -108,12 +108,12 @@ def _describe_all(docs: DataFrame, k: int) -> DataFrame:
         for batch in batches:
             got = [_describe(t, k) for t in utf8(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary()),
+                [batch.column(0), batch.column(2), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.binary()),
                  pa.array([g[2] for g in got], pa.list_(pa.int64())), pa.array([g[3] for g in got], pa.binary())],
-                ["doc_id", "n_shingles", "name", "bands", "slots"],
+                ["doc_id", "text_key", "n_shingles", "name", "bands", "slots"],
             )
 
-    return map_batches(docs, run, "doc_id long, n_shingles long, name binary, bands array<long>, slots binary")
+    return map_batches(docs, run, "doc_id long, text_key long, n_shingles long, name binary, bands array<long>, slots binary")
 
 
 def _least_agreement(percent: int) -> int:
@@ -236,13 +236,14 @@ def _class_texts(rows: DataFrame, names: DataFrame, k: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, name`` per row of ``docs`` (doc_id, text).
+    """``doc_id, text_key, n_shingles, component_id, kept, component`` per row of ``docs`` (doc_id, text).
 
     Documents are linked when 100 x common shingles >= ``percent`` x all shingles of both.
-    ``kept``: the document is the one its group is named by. ``name``: the class, null for an empty set.
+    ``kept``: the document is the one its group is named by. ``component`` names the group even
+    where no id is known; it is null for an empty set.
     """
     stage = Stage(docs.sparkSession, "minhash")
-    rows = id_and_text(docs)
+    rows = id_and_text(docs).withColumn("text_key", F.xxhash64("text"))
     described = stage.save(_describe_all(rows, k), "described")
     classes = stage.save(
         described.filter("name is not null").groupBy("name").agg(
@@ -280,9 +281,37 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
         "name", "doc_id", F.coalesce("component", "name").alias("component")
     )
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    groups_of = stage.save(named.select("name", "component").join(ids, "component").select("name", "component_id"), "groups")
+    groups_of = stage.save(named.select("name", "component").join(ids, "component").select("name", "component", "component_id"), "groups")
     stage.free("classes", "members", "texts", "links", "stars-out", "undecided", "more", "all-out")
 
-    out = described.select("doc_id", "n_shingles", "name").join(groups_of, "name", "left")
+    out = described.select("doc_id", "text_key", "n_shingles", "name").join(groups_of, "name", "left")
     own = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "name")
+    return out.select(
+        "doc_id", "text_key", "n_shingles", own.alias("component_id"), F.col("doc_id").eqNullSafe(own).alias("kept"), "component"
+    )
+
+
+
+def one_of_each(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
+    """One row of each group, with all columns of ``docs``: that of the smallest id.
+
+    Documents with an empty set are linked with nothing and all stay. In a group without any id
+    the text with the smallest hash stays. Of equal rows one stays.
+    """
+    stage = Stage(docs.sparkSession, "one-of-each")
+    found = near_duplicates(docs, k, percent)
+    copies = found.groupBy("component", "doc_id", "text_key").agg(F.count("*").alias("copies"), F.first("n_shingles").alias("size"))
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), "doc_id", "text_key", "copies")).alias("x")
+    chosen = copies.filter("size > 0").groupBy("component").agg(first).select("x.*", F.lit(False).alias("empty"))
+    empty = copies.filter("size = 0").select(F.isnull("doc_id").alias("none"), "doc_id", "text_key", "copies", F.lit(True).alias("empty"))
+    chosen = stage.save(
+        chosen.union(empty).select(F.col("doc_id").alias("id__"), F.col("text_key").alias("key__"), "copies", "empty").distinct(), "chosen"
+    )
+    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
+    same = docs["doc_id"].cast("long").eqNullSafe(chosen["id__"]) & (F.xxhash64(text) == chosen["key__"])
+    once = docs.join(chosen.filter("copies = 1 or empty"), same, "left_semi")
+    repeated = chosen.filter("copies > 1 and not empty")
+    if repeated.isEmpty():
+        return once
+    more = docs.join(repeated, same).dropDuplicates(["id__", "key__"])
+    return once.union(more.select(*[docs[c] for c in docs.columns]))
