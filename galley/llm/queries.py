@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count, containment, decision_list, packing, suffix_dedup, super_minhash, token_store, two_pass_shuffle
+from galley.llm import bpe_count, chat_tree, containment, decision_list, packing, suffix_dedup, super_minhash, token_store, two_pass_shuffle
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -101,3 +101,14 @@ def contained_items(spark: SparkSession, folder: str) -> DataFrame:
 def suffix_dedup_bytes(spark: SparkSession, folder: str) -> DataFrame:
     """Every document without the bytes that a repeated 400-byte string covers."""
     return suffix_dedup.digest(suffix_dedup.without_repeats(table(spark, folder, "documents"), 400))
+
+
+@query("op3_prefix_tree")
+def prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts hold control strings, read back from the tree."""
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    path = scratch_path(spark, "chat-tree")
+    chat_tree.write(rows, path)
+    return chat_tree.digest(chat_tree.read(spark, path))
