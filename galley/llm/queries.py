@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from galley.llm import bpe_count, chat_tree, containment, decision_list, packing, suffix_dedup, super_minhash, token_store, two_pass_shuffle
+from galley.llm import bpe_count, chat_tree, containment, decision_list, host_text, packing, suffix_dedup, super_minhash, token_store, two_pass_shuffle
 from galley.llm.common import table
 from galley.session import scratch_path
 
@@ -112,3 +112,9 @@ def prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "chat-tree")
     chat_tree.write(rows, path)
     return chat_tree.digest(chat_tree.read(spark, path))
+
+
+@query("op5_host_runs")
+def page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    return host_text.main_text(table(spark, folder, "pages"))

@@ -31,7 +31,6 @@ A symbol is a byte, or a word (a run of bytes other than space and 0x09 to 0x0D)
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -87,14 +86,18 @@ def _chunks(text: _Text, unit: Unit, length: int) -> tuple[np.ndarray, ...]:
     return first, last, prefix, whole
 
 
+def _scope(value: int) -> np.uint64:
+    return U(value & ((1 << 64) - 1))
+
+
 def _tuples(docs: DataFrame, unit: Unit, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, counts = [], []
-            for data in utf8(batch.column(2)):
+            for data, scope in zip(utf8(batch.column(2)), batch.column(3).to_pylist()):
                 text = _Text(data, unit)
                 rows = _chunks(text, unit, length) if text.n >= length else tuple(np.zeros(0, dtype=t) for t in ("i8", "i8", "u8", "u8"))
-                found.append(rows)
+                found.append((*rows[:2], *(mix(r.astype(U) + _scope(scope)) for r in rows[2:])))
                 counts.append(len(rows[0]))
             at = pa.array(np.repeat(np.arange(len(counts)), counts))
             first, last, prefix, whole = (np.concatenate([f[i] for f in found]) if found else np.zeros(0) for i in range(4))
@@ -113,9 +116,9 @@ def _induced(texts: DataFrame, unit: Unit, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, starts, counts = [], [], []
-            for data, chunks in zip(utf8(batch.column(2)), batch.column(3).to_pylist()):
+            for data, scope, chunks in zip(utf8(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 at = np.unique(np.concatenate([np.arange(c["first"], c["last"] + 1) for c in chunks]))
-                names.append(_Text(data, unit).rolling.of(at, at + length))
+                names.append(mix(_Text(data, unit).rolling.of(at, at + length) + _scope(scope)))
                 starts.append(at)
                 counts.append(len(at))
             if not counts:
@@ -138,33 +141,38 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumnsRenamed({"doc_id": "id_", "text_key": "key_"})
 
 
-def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage) -> DataFrame:
+def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apart: bool = False) -> DataFrame:
     """``doc_id, text_key, runs``: the starts ``first`` to ``last`` of repeated substrings of each text.
 
-    ``docs``: doc_id, text_key, text. Texts without repeats have no row.
+    ``docs``: doc_id, text_key, text, scope. Only texts of the same scope (a long) are compared.
+    ``apart``: count only substrings that occur in different documents.
+    Texts without repeats have no row.
     """
-    tuples = stage.save(_tuples(docs, unit, length), "tuples")
-    shared = tuples.groupBy("prefix").count().filter("count > 1").select("prefix")
+    place = F.struct(*_KEY)
+    again = F.min(place) != F.max(place) if apart else F.count("*") > 1
+    tuples = stage.save(_tuples(docs.select(*_KEY, "text", "scope"), unit, length), "tuples")
+    shared = tuples.groupBy("prefix").agg(again.alias("again")).filter("again").select("prefix")
     left = stage.save(tuples.join(shared, "prefix"), "left")
     stage.free("tuples")
 
-    # One row per different stretch: how often it occurs, and one occurrence.
-    stretches = stage.save(
-        left.groupBy("prefix", "whole").agg(F.count("*").alias("n"), F.min(F.struct(*_KEY, "first", "last")).alias("one")), "stretches"
-    )
-    throughout = left.join(stretches.filter("n > 1").select("whole"), "whole").select(*_KEY, "first", "last")
+    # One row per different stretch: whether it repeats, and where it occurs (at the two ends if in different documents).
+    where = F.struct(*_KEY, "first", "last")
+    ends = F.array_distinct(F.array(F.min(where), F.max(where))) if apart else F.array(F.min(where))
+    stretches = stage.save(left.groupBy("prefix", "whole").agg(again.alias("again"), ends.alias("ends")), "stretches")
+    throughout = left.join(stretches.filter("again").select("whole").distinct(), "whole").select(*_KEY, "first", "last")
     throughout = stage.save(throughout, "throughout")
     stage.free("left")
-    open_ = stretches.groupBy("prefix").agg(F.min("n").alias("least")).filter("least = 1").select("prefix")
+    open_ = stretches.filter("not again").select("prefix").distinct()
     chunks = (
-        stretches.join(open_, "prefix").select("one.*").groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
+        stretches.join(open_, "prefix").select(F.explode("ends").alias("one")).select("one.*")
+        .groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
     )
     chunks = stage.save(_keyed(chunks), "chunks")
     stage.free("stretches")
 
-    single = docs.join(chunks, _same(docs, chunks)).select(*_KEY, "text", "chunks")
+    single = docs.join(chunks, _same(docs, chunks)).select(*_KEY, "text", "scope", "chunks")
     single = stage.save(_induced(single, unit, length), "single")
-    twice = single.groupBy("name").count().filter("count > 1").select("name")
+    twice = single.groupBy("name").agg(again.alias("again")).filter("again").select("name")
     single = single.join(twice, "name").select(*_KEY, "first", F.col("first").alias("last"))
     runs = throughout.union(single).groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     runs = stage.save(runs, "runs")
@@ -172,8 +180,8 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage) -> D
     return runs
 
 
-def _spans(text: _Text, runs: list[dict], length: int) -> list[tuple[int, int]]:
-    """Maximal byte spans that the substrings at ``runs`` cover."""
+def covered(runs: list[dict], length: int) -> list[tuple[int, int]]:
+    """Maximal spans of symbols that the substrings at ``runs`` cover."""
     if not runs:
         return []
     first = np.array([r["first"] for r in runs])
@@ -183,13 +191,17 @@ def _spans(text: _Text, runs: list[dict], length: int) -> list[tuple[int, int]]:
     new = np.ones(len(first), dtype=bool)
     new[1:] = first[1:] > reach[:-1]
     at = np.flatnonzero(new)
-    return [text.span(int(first[a]), int(reach[b - 1])) for a, b in zip(at, np.append(at[1:], len(first)))]
+    return [(int(first[a]), int(reach[b - 1])) for a, b in zip(at, np.append(at[1:], len(first)))]
+
+
+def _spans(text: _Text, runs: list[dict], length: int) -> list[tuple[int, int]]:
+    return [text.span(a, b) for a, b in covered(runs, length)]
 
 
 def _with_runs(docs: DataFrame, length: int, unit: Unit) -> DataFrame:
     """``docs`` with all columns, ``text_key`` and ``runs`` (null if nothing repeats)."""
     stage = Stage(docs.sparkSession, "suffixes")
-    keyed = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    keyed = id_and_text(docs).select("doc_id", F.xxhash64("text").alias("text_key"), "text", F.lit(0).cast("long").alias("scope"))
     return _keyed(repeated_starts(keyed, length, unit, stage))
 
 
