@@ -150,11 +150,15 @@ def _tally(rows: DataFrame, cuts: dict[str, list[float]]) -> dict[str, list[tupl
     return out
 
 
-def _best(tally: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]]) -> tuple[Condition | None, int, int]:
+def _best(
+    tally: dict[str, list[tuple[int, int]]], cuts: dict[str, list[float]], without: set[str] = frozenset()
+) -> tuple[Condition | None, int, int]:
     """The condition with the best FOIL gain, with the bad and good rows that it leaves."""
     total_p, total_n = (sum(x[i] for x in tally[FEATURES[0]]) for i in (0, 1))
     best, found = 1e-9, (None, total_p, total_n)
     for f in FEATURES:
+        if f in without:
+            continue
         p = n = 0
         for at, t in enumerate(cuts[f]):
             p, n = p + tally[f][at][0], n + tally[f][at][1]
@@ -183,12 +187,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> list[Rule]:
     }
     rows = stage.save(rows.withColumns(bins).repartition(2), "binned")
     rules: list[Rule] = []
-    left = F.lit(True)
-    for _ in range(MAX_RULES):
+    left, failed = F.lit(True), set()
+    while len(rules) < MAX_RULES:
         rule: Rule = ()
         grow = rows.filter(left & (F.col("fold") < 2))
         for _ in range(MAX_CONDITIONS):
-            condition, p, n = _best(_tally(grow.filter(_covers(rule)), cuts), cuts)
+            condition, p, n = _best(_tally(grow.filter(_covers(rule)), cuts), cuts, set() if rule else failed)
             if condition is None:
                 break
             rule = (*rule, condition)
@@ -208,7 +212,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> list[Rule]:
         at = max(range(len(starts)), key=lambda i: (worth[i], seen[f"p{i}"]))
         p, n = seen[f"p{at}"] + seen[f"gp{at}"], seen[f"n{at}"] + seen[f"gn{at}"]
         if p < LEAST_COVERED or p < LEAST_PRECISION * (p + n):
-            break
+            failed.add(rule[0].feature)  # begin the next rule with another feature
+            continue
         rules.append(starts[at])
         left = left & ~_covers(starts[at])
     stage.free()
