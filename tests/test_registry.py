@@ -3,6 +3,7 @@ import pytest
 
 import __spark_entry__ as entry_point
 from check import TABLES, canonical
+from galley.registry.base import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,16 +14,20 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, sf, duck, name):
-    got = canonical(entry_point.queries()[name](spark, sf).toPandas())
-    want = canonical(duck.sql(entry_point.oracle_sql()[name]).df())
+    got = canonical(QUERIES[name](spark, sf).toPandas())
+    want = canonical(duck.sql(ORACLES[name]).df())
     assert list(got.columns) == list(want.columns)
     assert got.equals(want)
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_entry_point_has_every_query():
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLES) <= set(entry_point.oracle_sql())
 
 
 def test_flagship(spark):
