@@ -59,6 +59,6 @@ def version_key(column: str | Column) -> Column:
 
 
 def words(column: str | Column, min_length: int = 1) -> Column:
-    """Every maximal run of a-z in the lower-cased text that is long enough."""
-    pattern = rf"([a-z]{{{min_length},}})"
+    """Every maximal run of letters, of any script, in the lower-cased text that is long enough."""
+    pattern = rf"(\p{{L}}{{{min_length},}})"
     return F.regexp_extract_all(F.lower(_col(column)), F.lit(pattern), 1)

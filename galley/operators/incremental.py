@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from galley.operators.joins import sized
 from galley.session import materialize
@@ -16,14 +16,24 @@ def high_water_marks(stored: DataFrame, group: str = "content_type") -> DataFram
 
 
 def after_marks(incoming: DataFrame, marks: DataFrame, group: str = "content_type") -> DataFrame:
-    """Items updated after their type's mark; a type with no mark is taken whole.
+    """Items updated at or after their type's mark; a type with no mark is taken whole.
 
-    The marks are staged and measured first, so the incoming side is not shuffled onto a
-    handful of type values.
+    An item as old as the mark may still be unseen, and taking it again is harmless, as the
+    upsert repeats nothing. An item without an update time is held against the publication
+    mark; without either time it is taken. The marks are staged and measured first, so the
+    incoming side is not shuffled onto a handful of type values.
     """
-    marks = materialize(marks.select(group, "max_updated_at"), "marks")
-    newer = F.col("max_updated_at").isNull() | (F.col("updated_at") > F.col("max_updated_at"))
-    return incoming.join(sized(marks), group, "left").filter(newer).drop("max_updated_at")
+    mark = F.struct("max_updated_at", "max_published_at").alias("_mark")
+    marks = materialize(marks.select(F.col(group).alias("_group"), mark), "marks")
+
+    def reached(item: str) -> Column:
+        limit = F.col(f"_mark.max_{item}")
+        return limit.isNull() | (F.col(item) >= limit)
+
+    published = F.col("published_at").isNull() | reached("published_at")
+    new = F.when(F.col("updated_at").isNotNull(), reached("updated_at")).otherwise(published)
+    known = incoming.join(sized(marks), F.col(group) == F.col("_group"), "left")
+    return known.filter(F.col("_mark").isNull() | new).select(*incoming.columns)
 
 
 def within_dates(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from galley.session import materialize
 
@@ -10,6 +10,17 @@ from galley.session import materialize
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def byte_setting(spark: SparkSession, key: str, default: str) -> int:
+    """A size setting in bytes: a number, or one with a unit such as ``10m`` or ``64KB``."""
+    text = spark.conf.get(key, default).strip().lower()
+    number = text.rstrip("bkmgtp")
+    unit = text[len(number) :]
+    return int(number) * _UNITS[unit[:1]]
+
+
 def text_bytes(df: DataFrame) -> int:
     """Size of the rows written out as JSON text: one distributed pass, one number back."""
     size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))).cast("long"))
@@ -25,31 +36,17 @@ def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only after measuring that it fits under ``limit``.
 
     Spark already broadcasts by itself what it estimates under its own threshold, so that is
-    left alone. Anything else is computed once, stored, and measured there. A frame larger
+    left alone; a threshold of -1 forbids broadcasts, here too. Anything else is computed once, stored, and measured there. A frame larger
     than ``limit`` is returned unmarked: the join then shuffles on its key, and AQE splits a
     key that holds too many rows.
     """
-    threshold = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760").lower().rstrip("b")
-    if threshold.isdecimal() and estimated_bytes(df) <= int(threshold):
+    threshold = byte_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold", "10485760")
+    if threshold < 0 or estimated_bytes(df) <= threshold:
         return df
     stored = materialize(df, "dimension")
     return F.broadcast(stored) if text_bytes(stored) <= limit else stored
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core for costly per-row work on an input too small to be split that far.
-
-    A table that lies in one file, or one row group, arrives as one task. Such an input is
-    cheap to redistribute; one that fills the cluster by itself is left where it is.
-    """
-    spark = df.sparkSession
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes", "134217728").lower().rstrip("b")
-    cores = spark.sparkContext.defaultParallelism
-    if split.isdecimal() and estimated_bytes(df) < cores * int(split):
-        return df.repartition(cores)
-    return df
-
-
 def join_dimension(
     facts: DataFrame,
     dimension: DataFrame,

@@ -84,7 +84,9 @@ def layer_counts(layers: dict[tuple[str, str], DataFrame]) -> DataFrame:
 
 
 def below_minimum(counts: DataFrame, minimum: dict[tuple[str, str], int]) -> DataFrame:
-    """Layer counts that fall short of the least acceptable number."""
+    """Layers that fall short of the least acceptable number; one that is absent counts 0."""
     rows = [(layer, entity, n) for (layer, entity), n in minimum.items()]
     least = constant_rows(counts.sparkSession, rows, "layer string, entity string, min_count long")
-    return counts.join(least, ["layer", "entity"]).filter(F.col("row_count") < F.col("min_count"))
+    found = least.join(counts, ["layer", "entity"], "left")
+    found = found.select("layer", "entity", F.coalesce("row_count", F.lit(0).cast("long")).alias("row_count"), "min_count")
+    return found.filter(F.col("row_count") < F.col("min_count"))

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from galley.operators.dedup import top_n_per_key
 from galley.operators.joins import sized
 from galley.session import materialize
 
@@ -78,8 +79,6 @@ def cap_per_group(
         return df
     threshold = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
     if n <= threshold:
-        window = Window.partitionBy(*group).orderBy(*map(_as_column, order_by))
-        numbered = df.withColumn("_n", F.row_number().over(window))
-    else:
-        numbered = number_rows(df, order_by, group, "_n")
+        return top_n_per_key(df, group, [*map(_as_column, order_by)], n)
+    numbered = number_rows(df, order_by, group, "_n")
     return numbered.filter(F.col("_n") <= n).drop("_n")

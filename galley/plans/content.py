@@ -4,19 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from galley.functions.text import words
-from galley.operators.dedup import one_per_key
-from galley.operators.joins import join_dimension, spread
+from galley.operators.dedup import top_n_per_key
+from galley.operators.joins import join_dimension
 from galley.session import materialize
 
-# English function words of four letters or more (fixed values).
+# English function words (fixed values).
 STOP_WORDS = (
-    "about", "after", "also", "been", "from", "have", "into", "more", "over", "than", "that", "their",
-    "them", "then", "there", "these", "they", "this", "were", "what", "when", "which", "will", "with",
+    "about", "after", "also", "an", "and", "are", "as", "at", "be", "been", "but", "by", "for", "from",
+    "had", "has", "have", "he", "her", "his", "if", "in", "into", "is", "it", "its", "more", "no", "not",
+    "of", "on", "or", "over", "she", "so", "than", "that", "the", "their", "them", "then", "there", "these",
+    "they", "this", "to", "was", "we", "were", "what", "when", "which", "will", "with", "you",
 )
-MIN_LENGTH = 4
+# Single letters say nothing; names such as ESA or UN do.
+MIN_LENGTH = 2
 
 
 def term_counts(
@@ -27,7 +30,7 @@ def term_counts(
     A document's words leave its task already counted, so long texts shuffle as their
     vocabulary, not as their length.
     """
-    tokens = spread(docs.select(*key, text)).select(*key, F.explode(words(text, min_length)).alias("term"))
+    tokens = docs.select(*key, F.explode(words(text, min_length)).alias("term"))
     return tokens.groupBy(*key, "term").agg(F.count("*").alias("tf"))
 
 
@@ -55,9 +58,7 @@ def keywords(
     # Six decimals in plain double arithmetic; round() would go through decimals on every row.
     score = F.rint(F.col("tf") * F.col("idf") * 1e6) / 1e6
     scored = counts.join(idf, "term").select(*key, "term", score.alias("score"))
-    window = Window.partitionBy(*key).orderBy(F.desc("score"), "term")
-    ranked = scored.withColumn("rank", F.row_number().over(window))
-    return ranked.filter(F.col("rank") <= k).select(*key, "rank", "term", "score")
+    return top_n_per_key(scored, key, [F.desc("score"), "term"], k, "rank").select(*key, "rank", "term", "score")
 
 
 def entities(
@@ -65,22 +66,43 @@ def entities(
     key: Sequence[str],
     text: str,
     gazetteer: DataFrame,
-    min_length: int = 1,
     terms: DataFrame | None = None,
 ) -> DataFrame:
-    """Mentions per document of each (entity, kind) in the gazetteer, matched as single words."""
+    """Mentions per document of each (entity, kind) in the gazetteer, however many words a name has.
+
+    Names are split into words as texts are. One-word names are looked up among the counted
+    words. For longer ones every place of a name's first word is looked up, and the words
+    that follow it there are compared; only those places leave the text. Mentions of a name
+    may overlap each other.
+    """
+    names = gazetteer.select("entity", "kind", words("entity").alias("_name")).filter(F.size("_name") > 0).distinct()
     if terms is None:
-        terms = term_counts(docs, key, text, min_length)
-    known = gazetteer.select(F.lower("entity").alias("term"), "entity", "kind").distinct()
-    hits = join_dimension(terms, known, "term", "inner")
-    return hits.groupBy(*key, "entity", "kind").agg(F.sum("tf").alias("mentions"))
+        terms = term_counts(docs, key, text, 1)
+    single = names.filter(F.size("_name") == 1).select(F.col("_name")[0].alias("term"), "entity", "kind")
+    found = join_dimension(terms, single, "term", "inner").select(*key, "entity", "kind", "tf")
+    longer = names.filter(F.size("_name") > 1).withColumn("term", F.col("_name")[0])
+    length = longer.agg(F.max(F.size("_name"))).first()[0]
+    if length:
+        # As many words from each place on as the longest name has, not the whole text.
+        tokens = docs.select(*key, words(text).alias("_words"))
+        places = tokens.select(
+            *key, F.explode_outer(F.transform("_words", lambda w, i: F.slice("_words", i + 1, F.lit(length)))).alias("_from")
+        ).withColumn("term", F.col("_from")[0])
+        hits = join_dimension(places, longer, "term", "inner")
+        hits = hits.filter(F.slice("_from", F.lit(1), F.size("_name")) == F.col("_name"))
+        found = found.unionByName(hits.select(*key, "entity", "kind", F.lit(1).cast("long").alias("tf")))
+    return found.groupBy(*key, "entity", "kind").agg(F.sum("tf").alias("mentions"))
 
 
 def rule_topics(terms: DataFrame, key: Sequence[str], rules: DataFrame) -> DataFrame:
-    """Best (topic, weight) of each document that meets a rule: summed weights, ties by name."""
-    hits = join_dimension(terms, rules, "term", "inner")
+    """Best (topic, weight) of each document that meets a rule: summed weights, ties by name.
+
+    Rule terms are compared without regard to case; a term given twice for a topic counts twice.
+    """
+    folded = rules.groupBy("topic", F.lower("term").alias("term")).agg(F.sum("weight").alias("weight"))
+    hits = join_dimension(terms, folded, "term", "inner")
     weights = hits.groupBy(*key, "topic").agg(F.sum(F.col("tf") * F.col("weight")).alias("weight"))
-    return one_per_key(weights, key, [F.desc("weight"), F.col("topic")])
+    return top_n_per_key(weights, key, [F.desc("weight"), F.col("topic")])
 
 
 def topics(
@@ -104,6 +126,7 @@ def enrich(
     k: int = 5,
     stop_words: Sequence[str] = STOP_WORDS,
     other: str = "other",
+    min_length: int = MIN_LENGTH,
 ) -> DataFrame:
     """One row per document: its columns, topic, ranked keywords, and entities found.
 
@@ -112,7 +135,7 @@ def enrich(
     distinct entities of one text.
     """
     terms = materialize(term_counts(docs, key, text, 1), "terms")
-    ranked = keywords(docs, key, text, k, stop_words, terms=terms)
+    ranked = keywords(docs, key, text, k, stop_words, min_length, terms)
     top = ranked.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("rank", "term", "score"))).alias("_k"))
     keyword = F.transform("_k", lambda x: F.struct(x["term"].alias("term"), x["score"].alias("score")))
     top = top.select(*key, keyword.alias("keywords"))

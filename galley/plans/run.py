@@ -8,19 +8,21 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from galley.functions.dates import parse_run_date
+from galley.functions.dates import parse_run_date, parse_timestamp
 from galley.functions.literals import empty_rows
 from galley.operators.conform import conform, split_by_value, union_content
 from galley.operators.dedup import first_per_key, sortable
+from galley.operators.incremental import after_marks, high_water_marks
 from galley.operators.quality import content_rules, layer_counts, quarantine
 from galley.operators.ranking import cap_per_group
 from galley.plans import content as text_analysis
 from galley.plans import marts, silver, star
-from galley.schemas import BRONZE_CONTENT, BRONZE_INFO, CONTENT_KEY, CONTENT_TABLES, DATE_PARTS, TABLES
-from galley.session import configure, get_session, materialize, scratch_root
+from galley.schemas import BRONZE_CONTENT, BRONZE_INFO, CONTENT_KEY, CONTENT_TABLES, DATE_PARTS, INGESTION_PARTS, TABLES
+from galley.session import configure, get_session, materialize, scratch_root, scratch_scope
 from galley.sources import bronze, files, landed
 from galley.sources.tables import (
     UpsertResult,
@@ -77,33 +79,63 @@ def stored(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
 def store(df: DataFrame, layout: Layout, name: str, **options) -> UpsertResult:
     """Upsert into a table of the layout with its declared schema, key and partitioning."""
     spec = TABLES[name]
-    return upsert(conform(df, spec.schema), layout.table(name), spec.keys, spec.partition_cols, **options)
+    schema = spec.schema if is_path(layout.table(name)) else None
+    return upsert(conform(df, spec.schema), layout.table(name), spec.keys, spec.partition_cols, schema=schema, **options)
+
+
+def only_new(spark: SparkSession, layout: Layout, items: DataFrame) -> DataFrame:
+    """Landed items at or beyond the newest stored ones of their type."""
+    marks = high_water_marks(published_content(spark, layout))
+    texts = {c: F.col(f"_text_{c}") for c in ("published_at", "updated_at")}
+    timed = items.withColumns({f"_text_{c}": F.col(c) for c in texts}).withColumns({c: parse_timestamp(c) for c in texts})
+    return after_marks(timed, marks).withColumns(texts).select(*items.columns)
 
 
 def ingest(
-    spark: SparkSession, layout: Layout, ingestion_date: str, max_items: int | str | None = None
+    spark: SparkSession,
+    layout: Layout,
+    ingestion_date: str,
+    max_items: int | str | None = None,
+    incremental: bool = False,
 ) -> dict[str, int]:
-    """Landed pages to the raw layer; returns rows fetched, left after dedup, and written."""
+    """Landed pages to the raw layer; returns rows fetched, left after dedup, and written.
+
+    Pages under ``landed=<date>`` folders are read for the ingestion date alone. All inputs are
+    looked up before anything is written; without an info folder there is no info record.
+    ``incremental`` takes only items at or beyond what the cleaned layer holds.
+    """
     fetched, deduped = Observation(), Observation()
     count = F.count("*").alias("n")
-    items = landed.read_pages(spark, layout.landing)
+    info_folder = f"{layout.landing.rstrip('/')}/endpoint=info"
+    if days := files.matching(spark, f"{info_folder}/landed=*"):
+        info_folder = next((d for d in days if d.endswith(f"landed={ingestion_date}")), f"{info_folder}/landed={ingestion_date}")
+    info = landed.read_info(spark, info_folder) if files.exists(spark, info_folder) else None
+    items = landed.read_pages(spark, layout.landing, landed=ingestion_date)
+    if incremental:
+        items = only_new(spark, layout, items)
     items = cap_per_group(items, ["content_type"], ["arrival", *sortable(items, ["arrival", "content_type"])], max_items)
     items = items.observe(fetched, count)
     unique = first_per_key(items, CONTENT_KEY, ["arrival", *sortable(items, ["arrival", *CONTENT_KEY])])
     written = bronze.write_bronze(unique.observe(deduped, count), None, layout.bronze, ingestion_date)
-    info = landed.read_info(spark, f"{layout.landing.rstrip('/')}/endpoint=info")
     info_rows = bronze.write_bronze(None, info, layout.bronze, ingestion_date)
     # AQE drops an empty stage together with its counts; nothing written means nothing fetched.
     seen = (fetched.get["n"], deduped.get["n"]) if written else (0, 0)
     return {"fetched": seen[0] + info_rows, "deduped": seen[1] + info_rows, "written": written + info_rows}
 
 
-def silver_phase(spark: SparkSession, layout: Layout, ingestion_date: str) -> dict[str, UpsertResult]:
+def silver_phase(
+    spark: SparkSession, layout: Layout, ingestion_date: str, replace_newer: bool = False
+) -> dict[str, UpsertResult | int]:
     """One ingestion day, cleaned, checked, and upserted into the table of each type.
 
     The deduplicated day is computed once and stored by type; each table then reads its own.
+    A stored row that was updated later than the day's row stays, so a day can be run again at
+    any time; ``replace_newer`` lets the day win. ``unrouted`` counts the rows of no known type
+    and ``unreadable_lists`` the info rows whose site list cannot be read; with a quarantine
+    folder they are kept there.
     """
-    raw = bronze.read_bronze(spark, layout.bronze, ingestion_date).filter(F.col("content_type") != "info")
+    raw = bronze.read_bronze(spark, layout.bronze, ingestion_date)
+    raw = raw.filter(F.lower(F.coalesce("content_type", F.lit(""))) != "info")
     cleaned = silver.clean_content(raw)
     if layout.quarantine:
         rules = content_rules(tuple(CONTENT_TABLES), "1900-01-01", "2999-12-31")
@@ -111,11 +143,18 @@ def silver_phase(spark: SparkSession, layout: Layout, ingestion_date: str) -> di
         cleaned, bad = quarantine(cleaned, rules)
         bad.write.mode("overwrite").parquet(f"{layout.quarantine.rstrip('/')}/ingestion_date={ingestion_date}")
     by_type = materialize(silver.stamp_ingestion(cleaned, ingestion_date), "by_type", partition_by=("content_type",))
+    newer_by = None if replace_newer else "updated_at"
     results = {
-        name: store(df, layout, name, check_unique=False, staged=True)
+        name: store(df, layout, name, newer_by=newer_by, check_unique=False, staged=True)
         for name, df in split_by_value(by_type, "content_type", CONTENT_TABLES).items()
     }
+    known = F.coalesce(F.col("content_type").isin(*CONTENT_TABLES), F.lit(False))
+    results["unrouted"] = raw.filter(~known).count()
     raw_info = bronze.read_bronze(spark, layout.bronze, ingestion_date, "info")
+    unreadable = silver.unreadable_sites(raw_info)
+    results["unreadable_lists"] = unreadable.count()
+    if layout.quarantine and results["unreadable_lists"]:
+        unreadable.write.mode("overwrite").parquet(f"{layout.quarantine.rstrip('/')}_info/ingestion_date={ingestion_date}")
     results["info"] = store(silver.clean_info(raw_info, ingestion_date), layout, "info", check_unique=False)
     return results
 
@@ -151,24 +190,60 @@ def dims_phase(spark: SparkSession, layout: Layout) -> dict[str, UpsertResult]:
     }
 
 
-def facts_phase(spark: SparkSession, layout: Layout, published_date: str | None = None) -> UpsertResult:
-    """Facts for one publication day, or for everything; no rows still create the table."""
+def loaded_on(content: DataFrame, ingestion_date: str) -> Column:
+    """Whether a cleaned row was loaded on that day."""
+    day = parse_run_date(ingestion_date)
+    return reduce(lambda a, b: a & b, [F.col(c) == F.lit(v) for c, v in zip(INGESTION_PARTS, day)])
+
+
+def facts_phase(
+    spark: SparkSession, layout: Layout, published_date: str | None = None, ingestion_date: str | None = None
+) -> UpsertResult:
+    """Facts for one publication day, for what was loaded on one day, or for everything.
+
+    With ``ingestion_date`` items whose source had no id so far are looked at again, as the
+    dimension may know it by now. No rows still create the table.
+    """
     content = published_content(spark, layout, published_date)
-    facts = star.build_fact(content, stored(spark, layout, "dim_news_source"))
+    sources = stored(spark, layout, "dim_news_source")
+    incremental = published_date is None and ingestion_date is not None and table_exists(spark, layout.table("fact_article"))
+    if incremental:
+        loaded = loaded_on(content, ingestion_date)
+        unnamed = stored(spark, layout, "fact_article").filter(F.col("news_source_id").isNull())
+        unnamed = unnamed.select(F.col("article_id").alias("id"), "content_type")
+        again = content.filter(F.col("news_site").isNotNull() & ~F.coalesce(loaded, F.lit(False)))
+        again = again.join(unnamed, ["content_type", "id"], "left_semi").join(sources.select("news_site"), "news_site", "left_semi")
+        content = content.filter(loaded).unionByName(again.select(*content.columns))
+    facts = star.build_fact(content, sources)
     # A run over everything repeats nearly all stored facts; leave those where they are.
-    return store(facts, layout, "fact_article", skip_unchanged=published_date is None)
+    full = published_date is None and not incremental
+    return store(facts, layout, "fact_article", skip_unchanged=full, check_unique=False)
 
 
-def aggregates_phase(spark: SparkSession, layout: Layout) -> None:
-    """Stored trend tables, regenerated from the stored star alone."""
+def aggregates_phase(spark: SparkSession, layout: Layout, facts: UpsertResult | None = None) -> None:
+    """Stored trend tables, counted from the stored star alone.
+
+    ``facts``: what the fact upsert of this run touched; only those months are counted again.
+    """
     fact = stored(spark, layout, "fact_article")
+    topics, sources = stored(spark, layout, "dim_topic"), stored(spark, layout, "dim_news_source")
     tables = {
-        "agg_topic_day": marts.by_topic_period(fact, stored(spark, layout, "dim_topic"), marts.DAY),
-        "agg_source_month": marts.by_source_month(fact, stored(spark, layout, "dim_news_source")),
+        "agg_month": marts.by_month,
+        "agg_topic_day": lambda f: marts.by_topic_period(f, topics, marts.DAY),
+        "agg_topic_month": lambda f: marts.by_topic_period(f, topics, marts.MONTH),
+        "agg_source_day": lambda f: marts.by_source_period(f, sources, marts.DAY),
+        "agg_source_month": lambda f: marts.by_source_month(f, sources),
     }
-    for name, df in tables.items():
-        spec = TABLES[name]
-        replace_table(conform(df, spec.schema), layout.table(name), spec.partition_cols)
+    months = None
+    if facts is not None and facts.partitions is not None:
+        months = sorted({p[:2] for p in facts.partitions})
+    for name, build in tables.items():
+        spec, where = TABLES[name], layout.table(name)
+        if months is None or not is_path(where) or not table_exists(spark, where):
+            replace_table(conform(build(fact), spec.schema), where, spec.partition_cols)
+        elif months:
+            touched = fact.filter(F.concat_ws("/", "year", "month").isin(["/".join(m) for m in months]))
+            replace_table(conform(build(touched), spec.schema), where, spec.partition_cols, months)
 
 
 def counts(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -191,8 +266,16 @@ def run(
     max_items: int | str | None = None,
     gazetteer: DataFrame | None = None,
     rules: DataFrame | None = None,
+    incremental: bool = False,
+    replace_newer: bool = False,
+    full_facts: bool = False,
 ) -> dict[str, object]:
-    """Run the asked phases in order and return what each reported."""
+    """Run the asked phases in order and return what each reported.
+
+    With an ingestion date the facts of that day's load are merged, all facts without one or
+    with ``full_facts``. Aggregates after a fact phase are counted again for its months only.
+    What a phase stages is deleted when the phase ends.
+    """
     configure(spark)
     chosen = parse_phases(phases)
     for date in (ingestion_date, published_date):
@@ -206,15 +289,31 @@ def run(
     for name in TABLES:
         if is_path(layout.table(name)):
             finish_pending(spark, layout.table(name))
+    done: dict[str, object] = {}
     steps = {
-        "ingest": lambda: ingest(spark, layout, ingestion_date, max_items),
-        "silver": lambda: silver_phase(spark, layout, ingestion_date),
+        "ingest": lambda: ingest(spark, layout, ingestion_date, max_items, incremental),
+        "silver": lambda: silver_phase(spark, layout, ingestion_date, replace_newer),
         "content": lambda: content_phase(spark, layout, gazetteer, rules, published_date),
         "dims": lambda: dims_phase(spark, layout),
-        "facts": lambda: facts_phase(spark, layout, published_date),
-        "aggregates": lambda: aggregates_phase(spark, layout),
+        "facts": lambda: facts_phase(spark, layout, published_date, None if full_facts else ingestion_date),
+        "aggregates": lambda: aggregates_phase(spark, layout, done.get("facts")),
     }
-    return {phase: steps[phase]() for phase in chosen}
+    for phase in chosen:
+        with scratch_scope(spark):
+            done[phase] = steps[phase]()
+    return done
+
+
+def parse_catalogs(settings: list[str]) -> dict[str, dict[str, str]]:
+    """``lake.impl=some.Class`` and the like, by catalog name."""
+    catalogs: dict[str, dict[str, str]] = {}
+    for text in settings:
+        name, _, rest = text.partition(".")
+        key, found, value = rest.partition("=")
+        if not (name and key and found):
+            raise ValueError(f"catalog setting {text!r} is not NAME.KEY=VALUE")
+        catalogs.setdefault(name, {})[key] = value
+    return catalogs
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -227,8 +326,14 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--gazetteer", help="Parquet of (entity, kind)")
     p.add_argument("--rules", help="Parquet of (topic, term, weight)")
     p.add_argument("--phases", default=DEFAULT_PHASES, help=",".join(PHASES))
+    p.add_argument("--catalog", action="append", default=[], metavar="NAME.KEY=VALUE", help="catalog setting; KEY impl names the class")
+    for name in ("incremental", "replace_newer", "full_facts"):
+        p.add_argument(f"--{name}", action="store_true")
     args = p.parse_known_args(argv)[0]
-    spark = get_session()
+    spark = get_session(catalogs=parse_catalogs(args.catalog))
+    for namespace in (args.silver, args.gold):
+        if not is_path(namespace):
+            spark.sql("CREATE NAMESPACE IF NOT EXISTS " + ".".join(f"`{part}`" for part in namespace.split(".")))
     side_tables = {
         name: spark.read.parquet(path) if path else None
         for name, path in (("gazetteer", args.gazetteer), ("rules", args.rules))
@@ -241,6 +346,9 @@ def main(argv: list[str] | None = None) -> int:
         args.published_date,
         args.max_items,
         **side_tables,
+        incremental=args.incremental,
+        replace_newer=args.replace_newer,
+        full_facts=args.full_facts,
     )
     files.delete(spark, scratch_root(spark))
     return 0

@@ -2,28 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from galley.functions.dates import parse_run_date, parse_timestamp, with_date_parts
-from galley.functions.text import parse_list
-from galley.operators.conform import conform, split_by_value
+from galley.functions.dates import parse_run_date, with_date_parts
+from galley.functions.text import blank_to_null, not_blank, parse_records
+from galley.operators.conform import conform
 from galley.operators.dedup import highest_version_per_key, latest_per_key
-from galley.schemas import (
-    CONTENT_KEY,
-    CONTENT_TABLES,
-    DATE_PARTS,
-    INGESTION_PARTS,
-    SILVER_CONTENT,
-    SILVER_INFO,
-)
+from galley.operators.quality import normalise
+from galley.schemas import CONTENT_KEY, DATE_PARTS, INGESTION_PARTS, ITEM, SILVER_INFO
+
+# Columns of an item that hold lists of records.
+NESTED = ("authors", "launches", "events")
 
 
 def clean_content(bronze: DataFrame) -> DataFrame:
-    """Newest version per (type, id), its dates parsed and its publication date parts set.
+    """Newest version per (type, id), its dates parsed, its texts trimmed, its date parts set.
 
     Times are parsed before they are compared: as text, ``...23Z`` sorts after ``...23.6Z``.
     """
-    parsed = bronze.withColumns({c: parse_timestamp(c) for c in ("published_at", "updated_at")})
+    parsed = normalise(bronze, ("title", "news_site"), ("published_at", "updated_at"))
     return with_date_parts(latest_per_key(parsed, CONTENT_KEY), "published_at")
 
 
@@ -32,24 +29,26 @@ def stamp_ingestion(df: DataFrame, ingestion_date) -> DataFrame:
     return with_date_parts(df, parse_run_date(ingestion_date), INGESTION_PARTS)
 
 
-def content_tables(bronze: DataFrame, ingestion_date, tables: dict[str, str] = CONTENT_TABLES) -> dict[str, DataFrame]:
-    """Cleaned rows per table name. The deduplicated frame is shared; persist it upstream."""
-    stamped = stamp_ingestion(bronze, ingestion_date)
-    return {
-        name: conform(df, SILVER_CONTENT)
-        for name, df in split_by_value(stamped, "content_type", tables).items()
-    }
-
-
 def explode_sites(info: DataFrame) -> DataFrame:
-    """One row per official site. An empty, blank or unreadable list gives no row.
+    """One row per official site, trimmed. An empty, blank or unreadable list gives no row.
 
     ``news_sites`` may be a native array or list text.
     """
-    sites = F.col("news_sites")
-    if isinstance(info.schema["news_sites"].dataType, T.StringType):
-        sites = parse_list(sites)
-    return info.withColumn("news_site", F.explode(sites)).drop("news_sites")
+    return info.withColumn("news_site", F.explode(_sites(info))).drop("news_sites").withColumn(
+        "news_site", blank_to_null("news_site")
+    )
+
+
+def _sites(info: DataFrame) -> Column:
+    listed = isinstance(info.schema["news_sites"].dataType, T.StringType)
+    return parse_records("news_sites", "array<string>") if listed else F.col("news_sites")
+
+
+def unreadable_sites(info: DataFrame) -> DataFrame:
+    """Info rows whose list holds something but cannot be read; ``explode_sites`` has no rows for them."""
+    if not isinstance(info.schema["news_sites"].dataType, T.StringType):
+        return info.limit(0)
+    return info.filter(not_blank("news_sites") & _sites(info).isNull())
 
 
 def clean_info(bronze_info: DataFrame, ingestion_date) -> DataFrame:
@@ -59,6 +58,27 @@ def clean_info(bronze_info: DataFrame, ingestion_date) -> DataFrame:
     return highest_version_per_key(dated, ["news_site", *DATE_PARTS])
 
 
+def with_native_lists(items: DataFrame) -> DataFrame:
+    """A raw layer that stores nested columns as list text, brought to native arrays."""
+    texts = {c for c, kind in items.dtypes if kind == "string"}
+    return items.withColumns({c: parse_records(c, ITEM[c].dataType.simpleString()) for c in NESTED if c in texts})
+
+
+def explode_launches(items: DataFrame) -> DataFrame:
+    """One row per launch; an item without launches keeps a row."""
+    return _one_each(items, "launches", {"launch_id": "launch_id", "provider": "launch_provider"})
+
+
+def explode_events(items: DataFrame) -> DataFrame:
+    """One row per event; an item without events keeps a row."""
+    return _one_each(items, "events", {"event_id": "event_id", "provider": "event_provider"})
+
+
+def _one_each(items: DataFrame, column: str, fields: dict[str, str]) -> DataFrame:
+    one = items.withColumn("_one", F.explode_outer(column)).drop(column)
+    return one.select("*", *[F.col(f"_one.{f}").alias(name) for f, name in fields.items()]).drop("_one")
+
+
 def explode_authors(items: DataFrame) -> DataFrame:
     """One row per author with the account names flattened; an item without authors keeps a row."""
     return items.withColumn("author", F.explode_outer("authors")).drop("authors").select(

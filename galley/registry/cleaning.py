@@ -20,7 +20,7 @@ from galley.registry.base import (
     with_parts,
 )
 from galley.registry.base import FACT as FACT_SQL
-from galley.schemas import AUTHOR, SOCIALS
+from galley.schemas import AUTHOR, EVENT, LAUNCH, SOCIALS
 
 _TABLES = {"click": "clicks", "view": "views", "purchase": "purchases"}
 
@@ -41,12 +41,14 @@ _VERSIONS = "SELECT event_type AS content_type, user_id AS id, ts AS updated_at,
 
 @query(
     "p1_split_by_type",
-    """SELECT CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' ELSE 'purchases' END AS table_name,
-              event_id, value
-       FROM events WHERE event_type IN ('click', 'view', 'purchase')""",
+    """SELECT CASE event_type WHEN 'click' THEN 'clicks' WHEN 'view' THEN 'views' WHEN 'purchase' THEN 'purchases'
+                              ELSE 'unrouted' END AS table_name, event_id, value FROM events""",
 )
 def p1_split_by_type(spark, folder):
-    parts = conform.split_by_value(table(spark, folder, "events"), "event_type", _TABLES)
+    """Every event in the table of its type; types without a table are told, not lost."""
+    events = table(spark, folder, "events")
+    parts = conform.split_by_value(events, "event_type", _TABLES)
+    parts["unrouted"] = events.filter(~F.coalesce(F.col("event_type").isin(*_TABLES), F.lit(False)))
     named = [df.select(F.lit(name).alias("table_name"), "event_id", "value") for name, df in parts.items()]
     return conform.union_all(named)
 
@@ -228,6 +230,50 @@ def g2_explode_authors(spark, folder):
     return silver.explode_authors(items).select("id", "author_name", "x", "youtube")
 
 
+@query(
+    "g2_explode_launches",
+    with_parts(CONTENT)
+    + """SELECT id, segment AS launch_id, writer AS launch_provider FROM content WHERE title <> 'F'
+         UNION ALL SELECT id, news_site, NULL FROM content WHERE title = 'P'
+         UNION ALL SELECT id, NULL, NULL FROM content WHERE title = 'F'""",
+)
+def g2_explode_launches(spark, folder):
+    """Items with two launches, one, or none."""
+    one = F.struct(F.col("segment").alias("launch_id"), F.col("writer").alias("provider")).cast(LAUNCH)
+    two = F.struct(F.col("news_site").alias("launch_id"), F.lit(None).cast("string").alias("provider")).cast(LAUNCH)
+    launches = F.when(F.col("title") == "P", F.array(one, two)).when(F.col("title") == "O", F.array(one))
+    items = content(spark, folder).select("id", launches.alias("launches"))
+    return silver.explode_launches(items).select("id", "launch_id", "launch_provider")
+
+
+@query(
+    "g2_explode_events",
+    with_parts(CONTENT)
+    + """SELECT id, CAST(id % 1000 AS INTEGER) AS event_id, news_site AS event_provider FROM content WHERE title = 'O'
+         UNION ALL SELECT id, NULL, NULL FROM content WHERE title <> 'O'""",
+)
+def g2_explode_events(spark, folder):
+    """Items with one event, with an empty list, or without a list."""
+    one = F.struct((F.col("id") % 1000).cast("int").alias("event_id"), F.col("news_site").alias("provider")).cast(EVENT)
+    events = F.when(F.col("title") == "O", F.array(one)).when(F.col("title") == "P", F.array().cast(T.ArrayType(EVENT)))
+    items = content(spark, folder).select("id", events.alias("events"))
+    return silver.explode_events(items).select("id", "event_id", "event_provider")
+
+
+@query(
+    "g2_parse_records",
+    with_parts(CONTENT)
+    + """SELECT id, writer AS author_name, CASE WHEN title = 'P' THEN segment END AS x FROM content WHERE title <> 'F'
+         UNION ALL SELECT id, NULL, NULL FROM content WHERE title = 'F'""",
+)
+def g2_parse_records(spark, folder):
+    """Authors from a raw layer that holds lists as text, None inside."""
+    account = F.when(F.col("title") == "P", F.concat(F.lit("'"), F.col("segment"), F.lit("'"))).otherwise("None")
+    text = F.concat(F.lit("[{'name': '"), F.col("writer"), F.lit("', 'socials': {'x': "), account, F.lit(", 'youtube': None}}]"))
+    items = content(spark, folder).select("id", F.when(F.col("title") != "F", text).otherwise("[]").alias("authors"))
+    return silver.explode_authors(silver.with_native_lists(items)).select("id", "author_name", "x")
+
+
 _DIRTY = """
 dirty AS (
   SELECT CASE WHEN title = 'F' THEN NULL ELSE id END AS id, content_type,
@@ -347,3 +393,18 @@ def v4_layer_counts(spark, folder):
             ("gold", "dim_news_source"): source_dim(spark, folder),
         }
     )
+
+
+@query(
+    "v4_below_minimum",
+    """SELECT * FROM (
+         SELECT 'bronze' AS layer, 'events' AS entity, COUNT(*) AS row_count, (SELECT COUNT(*) FROM lineitem) AS min_count FROM events
+         UNION ALL SELECT 'silver', 'reports', 0, 1) WHERE row_count < min_count""",
+)
+def v4_below_minimum(spark, folder):
+    """A layer that is too small, one that is large enough, one that is not there."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").count()
+    counts = quality.layer_counts(
+        {("bronze", "events"): table(spark, folder, "events"), ("silver", "orders"): table(spark, folder, "orders")}
+    )
+    return quality.below_minimum(counts, {("bronze", "events"): lines, ("silver", "orders"): 1, ("silver", "reports"): 1})

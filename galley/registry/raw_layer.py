@@ -125,6 +125,18 @@ def s6_inspect(spark, folder):
     return schema.withColumn("row_count", size.scalar())
 
 
+@query(
+    "s6_inspect_rows",
+    """SELECT s_suppkey AS id, 'info' AS content_type, '4.' || s_suppkey || '.0' AS version, n_name || '|' || s_name AS news_sites
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey < 50""",
+)
+def s6_inspect_rows(spark, folder):
+    """The rows shown: here all of what is asked for, as no more than fifty fit."""
+    rows = bronze.read_bronze(spark, _two_loads(spark, folder), content_type="info").filter(F.col("id") < 50)
+    shown = bronze.inspect(rows)[2]
+    return shown.select("id", "content_type", "version", F.concat_ws("|", "news_sites").alias("news_sites"))
+
+
 @query(
     "k1_bronze_roundtrip",
     with_parts(CONTENT)
@@ -158,34 +170,33 @@ def k2_nested_json(spark, folder):
 
 @query(
     "k3_split_sink",
-    """SELECT 'info' AS sink, COALESCE(NULLIF(o_orderkey, 0), 0) AS id, kind AS content_type, COALESCE(version, '') AS version
+    """SELECT 'info' AS sink, COALESCE(NULLIF(o_orderkey, 0), 0) AS id, 'info' AS content_type, COALESCE(version, '') AS version
        FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'Info' WHEN '2-HIGH' THEN 'INFO' WHEN '3-MEDIUM' THEN NULL ELSE 'blog' END AS kind,
                     CASE WHEN o_orderstatus = 'F' THEN '4.1.0' END AS version FROM orders)
        WHERE LOWER(kind) = 'info'
        UNION ALL
-       SELECT 'content', o_orderkey, kind, version
+       SELECT 'content', o_orderkey, kind, NULL
        FROM (SELECT *, CASE o_orderpriority WHEN '1-URGENT' THEN 'Info' WHEN '2-HIGH' THEN 'INFO' WHEN '3-MEDIUM' THEN NULL ELSE 'blog' END AS kind,
                     CASE WHEN o_orderstatus = 'F' THEN '4.1.0' END AS version FROM orders)
        WHERE kind IS NULL OR LOWER(kind) <> 'info'""",
 )
 def k3_split_sink(spark, folder):
-    """Rows routed by type without regard to case, info rows with their gaps filled."""
+    """Mixed rows sent to the sink: routed by type without regard to case, info gaps filled; both read back."""
     priority = F.col("o_orderpriority")
     kind = (
         F.when(priority == "1-URGENT", "Info").when(priority == "2-HIGH", "INFO").when(priority != "3-MEDIUM", "blog")
     )
     records = table(spark, folder, "orders").select(
-        F.nullif(F.col("o_orderkey"), F.lit(0).cast("long")).alias("_id"),
         F.col("o_orderkey").alias("id"),
         kind.alias("content_type"),
         F.when(F.col("o_orderstatus") == "F", "4.1.0").alias("version"),
     )
-    rows, info_rows = bronze.split_info(records)
-    filled = bronze.fill_info(info_rows.drop("id").withColumnRenamed("_id", "id"))
-    columns = ("sink", "id", "content_type", "version")
-    return (
-        filled.withColumn("sink", F.lit("info")).select(*columns)
-        .unionByName(rows.withColumn("sink", F.lit("content")).select(*columns))
+    path = scratch_path(spark, "split")
+    bronze.write_bronze(records, None, path, "2024-02-01")
+    info_rows = bronze.read_bronze(spark, path, "2024-02-01", "info")
+    rows = bronze.read_bronze(spark, path, "2024-02-01").filter(F.coalesce("content_type", F.lit("")) != "info")
+    return info_rows.select(F.lit("info").alias("sink"), "id", "content_type", "version").unionByName(
+        rows.select(F.lit("content").alias("sink"), "id", "content_type", F.lit(None).cast("string").alias("version"))
     )
 
 
@@ -221,16 +232,24 @@ def w7_cap_per_type_large(spark, folder):
 
 @query(
     "i1_watermark_filter",
-    """WITH marks AS (SELECT event_type, MAX(ts) AS mark FROM events
-                      WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND event_type <> 'signup' GROUP BY event_type)
-       SELECT event_id AS id, event_type AS content_type, ts AS updated_at
-       FROM events LEFT JOIN marks USING (event_type) WHERE mark IS NULL OR ts > mark""",
+    """WITH items AS (SELECT event_id AS id, event_type AS content_type,
+                             CASE WHEN event_id % 13 <> 0 THEN date_trunc('day', ts) END AS published_at,
+                             CASE WHEN event_id % 7 <> 0 THEN date_trunc('hour', ts) END AS updated_at, ts FROM events),
+            marks AS (SELECT content_type, MAX(updated_at) AS u, MAX(published_at) AS p FROM items
+                      WHERE ts < TIMESTAMP '2024-01-16 00:00:00' AND content_type <> 'signup' GROUP BY content_type)
+       SELECT id, items.content_type, updated_at FROM items LEFT JOIN marks USING (content_type)
+       WHERE CASE WHEN updated_at IS NOT NULL THEN u IS NULL OR updated_at >= u
+                  ELSE published_at IS NULL OR p IS NULL OR published_at >= p END""",
 )
 def i1_watermark_filter(spark, folder):
-    """Half a month is stored, one type not at all; what of everything is new?"""
-    items = _events_as_items(spark, folder)
+    """Half a month is stored, one type not at all; times tie and are missing. What of everything is new?"""
+    items = _events_as_items(spark, folder).withColumn("ts", F.col("updated_at"))
+    items = items.withColumns({
+        "published_at": F.when(F.col("id") % 13 != 0, F.date_trunc("day", "ts").cast("timestamp_ntz")),
+        "updated_at": F.when(F.col("id") % 7 != 0, F.date_trunc("hour", "ts").cast("timestamp_ntz")),
+    })
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    kept = items.filter((F.col("updated_at") < cut) & (F.col("content_type") != "signup"))
+    kept = items.filter((F.col("ts") < cut) & (F.col("content_type") != "signup"))
     return after_marks(items, high_water_marks(kept)).select("id", "content_type", "updated_at")
 
 

@@ -292,3 +292,75 @@ def c5_source_monthly(spark, folder):
     path = scratch_path(spark, "agg_source_month")
     replace_table(monthly, path, _MONTHLY)
     return read_table(spark, path, monthly.schema).select(*monthly.columns)
+
+
+@query(
+    "c5_topic_monthly",
+    STAR
+    + """SELECT content_type, topic_name, year, month, article_count FROM (
+           SELECT content_type, year, month, COUNT(*) AS article_count FROM fact GROUP BY ALL)
+         LEFT JOIN topic_dim ON content_type = topic_id""",
+)
+def c5_topic_monthly(spark, folder):
+    """Topic counts per month, stored; one year is then counted again and replaced alone."""
+    facts, path = fact(spark, folder), scratch_path(spark, "agg_topic_month")
+    monthly = marts.by_topic_period(facts, _topics(spark), marts.MONTH)
+    replace_table(monthly, path, _MONTHLY)
+    again = facts.filter(F.col("year") == "1996")
+    months = [(r["year"], r["month"]) for r in again.select("year", "month").distinct().collect()]
+    replace_table(marts.by_topic_period(again, _topics(spark), marts.MONTH), path, _MONTHLY, months)
+    return read_table(spark, path, monthly.schema).select(*monthly.columns)
+
+
+@query(
+    "c5_source_daily",
+    STAR
+    + """SELECT news_site, year, month, day, COUNT(*) AS article_count
+         FROM fact LEFT JOIN source_dim USING (news_source_id) GROUP BY ALL""",
+)
+def c5_source_daily(spark, folder):
+    """Source counts per day, stored by month."""
+    daily = marts.by_source_period(fact(spark, folder), source_dim(spark, folder), marts.DAY)
+    path = scratch_path(spark, "agg_source_day")
+    replace_table(daily, path, _MONTHLY)
+    return read_table(spark, path, daily.schema).select(*daily.columns)
+
+
+@query("c5_monthly", STAR + "SELECT year, month, COUNT(*) AS article_count FROM fact GROUP BY ALL")
+def c5_monthly(spark, folder):
+    """Totals per month, stored."""
+    monthly = marts.by_month(fact(spark, folder))
+    path = scratch_path(spark, "agg_month")
+    replace_table(monthly, path, _MONTHLY)
+    return read_table(spark, path, monthly.schema).select(*monthly.columns)
+
+
+@query(
+    "k5_upsert_schema",
+    with_parts(CONTENT, _SLICES)
+    + """SELECT f.*, NULL AS note FROM first_slice f WHERE NOT EXISTS (
+           SELECT 1 FROM second_slice s WHERE s.content_type = f.content_type AND s.id = f.id)
+         UNION ALL SELECT s.*, CASE WHEN f.id IS NOT NULL THEN 'seen ' ELSE 'new ' END || s.id FROM second_slice s
+           LEFT JOIN first_slice f ON s.content_type = f.content_type AND s.id = f.id""",
+)
+def k5_upsert_schema(spark, folder):
+    """The second slice brings one column more; then it comes again without that column, and nothing is erased."""
+    first, second = _first_slice(spark, folder), _second_slice(spark, folder)
+    seen = second.join(first.select(*_KEYS).withColumn("_seen", F.lit(True)), list(_KEYS), "left")
+    note = F.concat(F.when(F.col("_seen"), "seen ").otherwise("new "), F.col("id").cast("string"))
+    wide = seen.select(*_COLUMNS, note.alias("note"))
+    path = scratch_path(spark, "items")
+    upsert(first, path, _KEYS, _MONTHLY)
+    upsert(wide, path, _KEYS, _MONTHLY)
+    upsert(second, path, _KEYS, _MONTHLY, missing="keep")
+    return read_table(spark, path, wide.schema)
+
+
+@query("q9_replay_old_day", _MERGED)
+def q9_replay_old_day(spark, folder):
+    """Both days are loaded, then the first day runs again: what it holds in older versions stays out."""
+    first = _first_slice(spark, folder)
+    path = scratch_path(spark, "items")
+    for batch in (first, _second_slice(spark, folder), first):
+        upsert(batch, path, _KEYS, _MONTHLY, newer_by="updated_at")
+    return read_table(spark, path, first.schema)

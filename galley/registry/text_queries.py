@@ -15,13 +15,17 @@ from galley.sources.tables import read_table, upsert
 _KEY = ("doc_id",)
 
 # Rules that tell the corpus languages apart by common words: topic, term, weight (fixed values).
+# One term is written with a capital letter: case does not count.
 RULES = [
     ("english", "that", 2), ("english", "with", 1), ("english", "this", 1),
     ("french", "pour", 2), ("french", "dans", 1), ("french", "elle", 1),
-    ("german", "nicht", 2), ("german", "sich", 1), ("german", "keit", 1),
-    ("spanish", "para", 2), ("spanish", "mente", 1), ("spanish", "como", 1),
+    ("german", "nicht", 2), ("german", "sich", 1), ("german", "der", 1),
+    ("spanish", "para", 2), ("spanish", "Los", 1), ("spanish", "como", 1),
 ]
-_RULES = "rules AS (SELECT * FROM (VALUES " + ", ".join(map(str, RULES)) + ") AS t(topic, term, weight))"
+_RULES = (
+    "rules AS (SELECT topic, lower(word) AS term, weight FROM (VALUES "
+    + ", ".join(map(str, RULES)) + ") AS t(topic, word, weight))"
+)
 
 # Host labels of the web pages stand for entities, their top-level domain for the kind.
 _HOST = r"://(?:[a-z]+\.)?([a-z]+)\.example\.([a-z]+)"
@@ -41,11 +45,11 @@ _GAZETTEER = f"""gazetteer AS (
   SELECT DISTINCT regexp_extract(url, '{_HOST}', 1) AS entity, regexp_extract(url, '{_HOST}', 2) AS kind
   FROM pages WHERE regexp_extract(url, '{_HOST}', 1) <> '')"""
 
-_TERMS = """terms AS (
+_TERMS = r"""terms AS (
   SELECT doc_id, term, COUNT(*) AS tf FROM (
-    SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS term FROM documents) GROUP BY ALL)"""
+    SELECT doc_id, unnest(regexp_extract_all(lower(text), '\p{L}+')) AS term FROM documents) GROUP BY ALL)"""
 _KEYWORDS = f"""counts AS (
-  SELECT * FROM terms WHERE length(term) >= 4 AND term NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})
+  SELECT * FROM terms WHERE length(term) >= 2 AND term NOT IN ({", ".join(f"'{w}'" for w in STOP_WORDS)})
 ), spread AS (SELECT term, COUNT(*) AS df FROM counts GROUP BY term
 ), scored AS (
   SELECT doc_id, term, ROUND(tf * ln((1.0 + (SELECT COUNT(*) FROM documents)) / (1.0 + df)), 6) AS score
@@ -84,6 +88,37 @@ def c2_entities(spark, folder):
     return text_analysis.entities(_docs(spark, folder), _KEY, "text", _gazetteer(spark, folder))
 
 
+def _phrases(spark, folder):
+    """Names of one word and of two: host labels, and the first two words of every benchmark item."""
+    first = F.split(F.lower("text"), " ")
+    items = spark.read.schema("item_id long, text string").parquet(f"{folder}/benchmark.parquet")
+    pairs = items.select(F.concat_ws(" ", first[0], first[1]).alias("entity"), F.lit("opening").alias("kind"))
+    clean = pairs.filter(F.col("entity").rlike(r"^\p{L}+ \p{L}+$"))
+    return _gazetteer(spark, folder).unionByName(clean).distinct()
+
+
+@query(
+    "c2_entities_phrases",
+    r"""WITH pairs AS (
+          SELECT DISTINCT array_to_string(string_split(lower(text), ' ')[1:2], ' ') AS entity, 'opening' AS kind FROM benchmark
+        ), hosts AS (
+          SELECT DISTINCT regexp_extract(url, '://(?:[a-z]+\.)?([a-z]+)\.example\.([a-z]+)', 1) AS entity,
+                 regexp_extract(url, '://(?:[a-z]+\.)?([a-z]+)\.example\.([a-z]+)', 2) AS kind FROM pages
+        ), tokens AS (
+          SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS i
+          FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents)
+        ), two AS (
+          SELECT doc_id, term || ' ' || lead(term) OVER (PARTITION BY doc_id ORDER BY i) AS term FROM tokens
+        ), names AS (
+          SELECT * FROM pairs WHERE regexp_matches(entity, '^\p{L}+ \p{L}+$') UNION ALL SELECT * FROM hosts WHERE entity <> '')
+        SELECT doc_id, entity, kind, COUNT(*) AS mentions
+        FROM (SELECT doc_id, term FROM tokens UNION ALL SELECT doc_id, term FROM two) JOIN names ON term = entity GROUP BY ALL""",
+)
+def c2_entities_phrases(spark, folder):
+    """Names of two words beside names of one."""
+    return text_analysis.entities(_docs(spark, folder), _KEY, "text", _phrases(spark, folder))
+
+
 @query("c3_topic", _with(_TERMS, _RULES, _TOPICS) + "SELECT doc_id, topic, weight FROM topics")
 def c3_topic(spark, folder):
     return text_analysis.topics(_docs(spark, folder), _KEY, "text", _rules(spark))
@@ -105,7 +140,7 @@ def c4_enriched(spark, folder):
     dated = with_date_parts(analysed.join(orders, "doc_id", "left"), "o_orderdate")
     enriched = dated.select("doc_id", "topic", "keywords", "entities", "year", "month")
     path = scratch_path(spark, "enriched")
-    upsert(enriched, path, _KEY, ("year", "month"))
+    upsert(enriched, path, _KEY, ("year", "month"), check_unique=False)
     stored = read_table(spark, path, enriched.schema)
     entity = F.transform("entities", lambda e: F.concat_ws(":", e["entity"], e["kind"], e["mentions"].cast("string")))
     words = F.transform("keywords", lambda k: k["term"])

@@ -86,6 +86,11 @@ FACT_ARTICLE = _struct(
     ]
 )
 AGG_TOPIC = _struct([("content_type", STRING), ("topic_name", STRING), *_PARTS, ("article_count", LONG)])
+AGG_TOPIC_MONTH = _struct(
+    [("content_type", STRING), ("topic_name", STRING), ("year", STRING), ("month", STRING), ("article_count", LONG)]
+)
+AGG_SOURCE_DAY = _struct([("news_site", STRING), *_PARTS, ("article_count", LONG)])
+AGG_MONTH = _struct([("year", STRING), ("month", STRING), ("article_count", LONG)])
 AGG_SOURCE = _struct([("news_site", STRING), ("year", STRING), ("month", STRING), ("article_count", LONG)])
 
 
@@ -113,6 +118,9 @@ TABLES = {
         Table("dim_topic", DIM_TOPIC, ("topic_id",)),
         Table("fact_article", FACT_ARTICLE, ("article_id", "content_type"), DATE_PARTS),
         Table("agg_topic_day", AGG_TOPIC, ("content_type", *DATE_PARTS), ("year", "month")),
+        Table("agg_topic_month", AGG_TOPIC_MONTH, ("content_type", "year", "month"), ("year", "month")),
+        Table("agg_source_day", AGG_SOURCE_DAY, ("news_site", *DATE_PARTS), ("year", "month")),
+        Table("agg_month", AGG_MONTH, ("year", "month"), ("year", "month")),
         Table("agg_source_month", AGG_SOURCE, ("news_site", "year", "month"), ("year", "month")),
     )
 }

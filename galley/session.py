@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,8 +66,9 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a temporary folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    master = spark.sparkContext.master
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="galley-"))
         folder = spark.sparkContext.getCheckpointDir()
@@ -76,9 +80,26 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/galley/{spark.sparkContext.applicationId}"
 
 
+_scope: ContextVar[str] = ContextVar("scratch_scope", default="")
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Staged copies made inside are deleted at the end; nothing lazy may be read from them later."""
+    from galley.sources import files
+
+    name = f"scope-{uuid.uuid4().hex}/"
+    token = _scope.set(_scope.get() + name)
+    try:
+        yield
+    finally:
+        files.delete(spark, f"{scratch_root(spark)}/{_scope.get()}".rstrip("/"))
+        _scope.reset(token)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}/{_scope.get()}{label}-{uuid.uuid4().hex}"
 
 
 def materialize(

@@ -64,15 +64,27 @@ def write_bronze(
     ingestion_date: str | dt.date | None = None,
     content_schema: T.StructType = BRONZE_CONTENT,
 ) -> int:
-    """Append one run's items and info record under its ingestion date (default: today, UTC)."""
+    """Append one run's items and info record under its ingestion date (default: today, UTC).
+
+    Info records among the items keep their version and site list: they are written as info.
+    """
     run_date = parse_run_date(ingestion_date or dt.datetime.now(dt.timezone.utc).date())
     written = 0
+    records = []
     if items is not None:
+        items, among = split_info(items)
+        # Only rows with a version or site list can be info records that would lose something.
+        if {"version", "news_sites"} & set(items.columns):
+            records.append(among)
+        else:
+            items = items.union(among)
         dated = with_date_parts(items, run_date)
         written += append_partitioned(conform(dated, content_schema), path)
     if info is not None:
-        dated = with_date_parts(fill_info(info), run_date)
-        written += append_partitioned(conform(dated, BRONZE_INFO), path)
+        records.append(info)
+    for record in records:
+        filled = fill_info(record).withColumn("content_type", F.lit("info"))
+        written += append_partitioned(conform(with_date_parts(filled, run_date), BRONZE_INFO), path)
     return written
 
 

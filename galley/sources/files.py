@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
+_MOVES_AT_ONCE = 16
+
 
 def _path(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -42,15 +46,19 @@ def replace(spark: SparkSession, source: str, target: str, folders: list[str]) -
     """
     fs, _ = _path(spark, source)
     as_path = spark._jvm.org.apache.hadoop.fs.Path
-    for folder in folders:
+
+    def move(folder: str) -> None:
         src, dst = as_path(f"{source}/{folder}".rstrip("/")), as_path(f"{target}/{folder}".rstrip("/"))
         if not fs.exists(src):
-            continue
+            return
         if not fs.delete(dst, True):
             fs.mkdirs(dst.getParent())
         if not fs.rename(src, dst):
             raise OSError(f"could not move {source}/{folder} to {target}")
 
+    with ThreadPoolExecutor(_MOVES_AT_ONCE) as pool:
+        list(pool.map(move, folders))
+
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that is either there as a whole or not at all."""

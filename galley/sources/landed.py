@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from galley.functions.literals import empty_rows
 from galley.operators.conform import union_all
 from galley.schemas import INFO_RECORD, PAGE
+from galley.sources import files
 
 # Endpoint folder to content type (fixed values).
 CONTENT_TYPE_BY_ENDPOINT = {"articles": "article", "blogs": "blog", "reports": "report", "info": "info"}
@@ -52,17 +54,26 @@ def read_pages(
     content_type: str | None = None,
     schema: T.StructType = PAGE,
     multi_line: bool = False,
+    landed: str | None = None,
 ) -> DataFrame:
     """Items of all pages under ``path``.
 
     With ``content_type`` the path holds that type alone. Otherwise the path has
-    ``endpoint=<name>`` folders and the type follows from the folder.
+    ``endpoint=<name>`` folders and the type follows from the folder. Where those hold
+    ``landed=<date>`` folders, ``landed`` names the day to read; the others are not listed.
     ``multi_line`` is for one pretty-printed page per file; one page per line splits better.
     """
     if content_type is not None:
         pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
         return flatten_pages(pages).withColumn("content_type", F.lit(content_type))
-    pages = spark.read.schema(with_endpoint(schema)).option("multiLine", multi_line).json(path)
+    root = path.rstrip("/")
+    reader = spark.read.schema(with_endpoint(schema)).option("multiLine", multi_line)
+    days = files.matching(spark, f"{root}/endpoint=*/landed=*") if landed else []
+    if days:
+        asked = files.matching(spark, f"{root}/endpoint=*/landed={landed}")
+        pages = reader.option("basePath", root).json(asked) if asked else empty_rows(spark, with_endpoint(schema))
+    else:
+        pages = reader.json(root)
     content = pages.filter(F.col("endpoint") != "info")
     return tag_type(flatten_pages(content, ("endpoint",))).drop("endpoint")
 

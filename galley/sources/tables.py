@@ -30,6 +30,8 @@ class UpsertResult:
     batch_rows: int
     null_key_rows: int
     touched_partitions: int
+    # Which ones, as folder names of each partition column; None where it is not known.
+    partitions: tuple[tuple[str, ...], ...] | None = None
 
 
 def is_path(table: str) -> bool:
@@ -67,6 +69,8 @@ def upsert(
     check_unique: bool = True,
     staged: bool = False,
     skip_unchanged: bool = False,
+    schema: T.StructType | None = None,
+    missing: str = "error",
 ) -> UpsertResult:
     """Matched keys take the batch row, new keys are added, other rows stay; nothing is deleted.
 
@@ -76,13 +80,24 @@ def upsert(
     batches that only read stored files and need not be copied before they are used again.
     ``skip_unchanged`` first drops batch rows equal to the stored row, for batches that repeat
     most of the table: path partitions in which nothing changed are then not rewritten.
+
+    The table's own columns and types hold: those declared in ``schema``, or else those stored.
+    A batch that lacks a stored column is an error, as a full row cannot be replaced by part of
+    one; ``missing="keep"`` fills the gap from the stored row instead (NULL for a new key). A
+    column the table lacks is added to a path table, older rows having NULL, and is an error
+    for a catalog table.
     """
+    if missing not in ("error", "keep"):
+        raise ValueError("missing is 'error' or 'keep'")
     spark = df.sparkSession
     if is_path(table):
         finish_pending(spark, table)
     exists = table_exists(spark, table)
-    if exists and not is_path(table):
-        df = conform(df, spark.table(table).schema)
+    if exists:
+        fitted = _fitted(df, table, keys, partition_cols, schema, missing)
+        # A batch filled up from the table reads what is about to be rewritten: it has to be copied.
+        staged = staged and set(fitted.columns) <= set(df.columns)
+        df = fitted
     if not exists and not check_unique:
         return _load(df, table, keys, partition_cols)
     scratch = scratch_path(spark, "upsert")
@@ -90,7 +105,7 @@ def upsert(
         batch = df if staged else materialize(df, path=f"{scratch}/batch")
         facts = _batch_facts(batch, keys, check_unique)
         batch = batch.filter(_usable(keys))
-        touched = 0
+        touched: list | None = [] if is_path(table) and exists else None
         if not exists:
             _create(_clustered(batch, partition_cols), table, partition_cols)
         elif is_path(table):
@@ -100,7 +115,44 @@ def upsert(
             _merge(batch, table, keys, newer_by)
     finally:
         files.delete(spark, scratch)
-    return UpsertResult(not exists, facts["rows"], facts["nulls"], touched)
+    places = None if touched is None else tuple(map(tuple, touched))
+    return UpsertResult(not exists, facts["rows"], facts["nulls"], len(touched or ()), places)
+
+
+def _fitted(
+    df: DataFrame,
+    table: str,
+    keys: Sequence[str],
+    partition_cols: Sequence[str],
+    schema: T.StructType | None,
+    missing: str,
+) -> DataFrame:
+    """The batch with the columns and types of the stored table."""
+    spark = df.sparkSession
+    if schema is None:
+        # Nothing is declared: the files tell, all of them, as a later batch may have added a column.
+        schema = _stored_schema(spark, table) or df.schema
+        # Folder names carry no types: the batch tells those of the partition columns.
+        typed = {c: df.schema[c] for c in partition_cols if c in df.columns}
+        schema = T.StructType([typed.get(f.name, f) for f in schema.fields])
+    added = [f for f in df.schema.fields if f.name not in schema.names]
+    if added and not is_path(table):
+        raise ValueError(f"{table} has no columns {[f.name for f in added]}")
+    absent = [c for c in schema.names if c not in df.columns]
+    if absent and missing == "error":
+        raise ValueError(f"the batch for {table} lacks the columns {absent}")
+    if absent:
+        kept = read_table(spark, table, schema if is_path(table) else None).select(*keys, *absent)
+        df = df.join(kept, list(keys), "left")
+    return conform(df, T.StructType([*schema.fields, *added]))
+
+
+def _stored_schema(spark: SparkSession, table: str) -> T.StructType | None:
+    if not is_path(table):
+        return spark.table(table).schema
+    if not files.matching(spark, f"{table}/[!_.]*"):
+        return None
+    return spark.read.option("mergeSchema", True).parquet(table).schema
 
 
 def _load(df: DataFrame, table: str, keys: Sequence[str], partition_cols: Sequence[str]) -> UpsertResult:
@@ -155,13 +207,23 @@ def _create(df: DataFrame, table: str, partition_cols: Sequence[str]) -> None:
         df.writeTo(table).create()
 
 
-def replace_table(df: DataFrame, table: str, partition_cols: Sequence[str] = ()) -> None:
-    """Store ``df`` as the whole content of a derived table; it must not be computed from it."""
+def replace_table(
+    df: DataFrame, table: str, partition_cols: Sequence[str] = (), only: Sequence[Sequence[str]] | None = None
+) -> None:
+    """Store ``df`` as the whole content of a derived table; it must not be computed from it.
+
+    ``only`` names partitions of an existing path table by their values: ``df`` is then the
+    content of those, and the others stay. The old content stays readable until the new one
+    has been written.
+    """
     laid_out = _clustered(df, partition_cols)
-    if is_path(table):
-        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-            *partition_cols
-        ).parquet(table)
+    if is_path(table) and not files.exists(df.sparkSession, table):
+        _create(laid_out, table, partition_cols)
+    elif is_path(table):
+        finish_pending(df.sparkSession, table)
+        laid_out.write.mode("overwrite").partitionBy(*partition_cols).parquet(_beside(table, "_prepared"))
+        folders = None if only is None else [files.partition_folder(df.sparkSession, partition_cols, v) for v in only]
+        _publish(df.sparkSession, table, partition_cols, folders)
     elif partition_cols:
         laid_out.writeTo(table).partitionedBy(*map(F.col, partition_cols)).createOrReplace()
     else:
@@ -198,7 +260,7 @@ def _upsert_path(
     skip_unchanged: bool,
     facts: dict,
     scratch: str,
-) -> int:
+) -> list[list[str]]:
     """Rewrite only the partitions the batch lands in or takes rows out of.
 
     A row may move to another date, so the stored place of every batch key is looked up
@@ -206,6 +268,8 @@ def _upsert_path(
     part of the key a match cannot lie elsewhere, and only the batch's partitions are scanned.
     """
     spark = batch.sparkSession
+    if partition_cols and not files.folders_below(spark, table, len(partition_cols)):
+        return _append(batch, table, partition_cols, _partitions(batch, partition_cols))
     stored = spark.read.schema(batch.schema).parquet(table)
     in_key_range = reduce(
         lambda a, b: a & b,
@@ -219,7 +283,7 @@ def _upsert_path(
     if skip_unchanged:
         batch = materialize(_changed(batch, lookup.filter(at_home), keys), path=f"{scratch}/changed")
         if batch.isEmpty():
-            return 0
+            return []
     if set(partition_cols) <= set(keys):
         lookup = lookup.filter(at_home)
     batch_keys = batch.select(*keys)
@@ -238,17 +302,33 @@ def _upsert_path(
     if partition_cols:
         touched = _partitions(batch.select(*partition_cols).union(hits.select(*partition_cols)), partition_cols)
         if not touched:
-            return 0
+            return []
+        if not any(files.exists(spark, f"{table}/{files.partition_folder(spark, partition_cols, v)}") for v in touched):
+            return _append(batch, table, partition_cols, touched)
         stored = stored.filter(_in_partitions(partition_cols, touched))
     merged = stored.join(batch_keys, list(keys), "left_anti").unionByName(batch)
     prepared = _beside(table, "_prepared")
     _clustered(merged, partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(prepared)
-    folders = [files.partition_folder(spark, partition_cols, values) for values in touched] or [""]
-    filled = files.folders_below(spark, prepared, len(partition_cols))
+    _publish(spark, table, partition_cols, [files.partition_folder(spark, partition_cols, v) for v in touched] or [""])
+    return touched
+
+
+def _append(
+    batch: DataFrame, table: str, partition_cols: Sequence[str], touched: list[list[str]]
+) -> list[list[str]]:
+    """Rows for partitions that do not exist yet: nothing stored has to be read or moved."""
+    _clustered(batch, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(table)
+    return touched
+
+
+def _publish(spark: SparkSession, table: str, partition_cols: Sequence[str], folders: list[str] | None) -> None:
+    """Put the prepared folders in place of ``folders``, or of all that the table has."""
+    filled = files.folders_below(spark, _beside(table, "_prepared"), len(partition_cols))
+    if folders is None:
+        folders = files.folders_below(spark, table, len(partition_cols)) if files.exists(spark, table) else []
     note = {"replace": filled, "empty": sorted(set(folders) - set(filled))}
     files.write_text(spark, _beside(table, "_pending"), json.dumps(note))
     finish_pending(spark, table)
-    return len(touched)
 
 
 def _changed(batch: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from galley.operators.conform import split_by_value
 from galley.plans import silver
 from galley.plans.run import Layout, store
 from galley.schemas import CONTENT_TABLES, PAGE
-from galley.session import materialize
+from galley.session import materialize, scratch_scope
 from galley.sources.landed import flatten_pages, tag_type, with_endpoint
 
 
@@ -30,10 +30,11 @@ def upsert_stream(items: DataFrame, layout: Layout, ingestion_date: str, checkpo
     """
 
     def load(batch: DataFrame, _batch_id: int) -> None:
-        cleaned = silver.stamp_ingestion(silver.clean_content(batch), ingestion_date)
-        by_type = materialize(cleaned, "stream", partition_by=("content_type",))
-        for name, df in split_by_value(by_type, "content_type", CONTENT_TABLES).items():
-            store(df, layout, name, newer_by="updated_at", check_unique=False, staged=True)
+        with scratch_scope(batch.sparkSession):
+            cleaned = silver.stamp_ingestion(silver.clean_content(batch), ingestion_date)
+            by_type = materialize(cleaned, "stream", partition_by=("content_type",))
+            for name, df in split_by_value(by_type, "content_type", CONTENT_TABLES).items():
+                store(df, layout, name, newer_by="updated_at", check_unique=False, staged=True)
 
     return (
         items.writeStream.foreachBatch(load)

@@ -62,7 +62,7 @@ def test_versions_sort_by_number(spark):
 
 def test_words(spark):
     df = spark.createDataFrame([("The NASA-ESA crew, été 4you; ab",)], "t string")
-    assert df.select(words("t")).first()[0] == ["the", "nasa", "esa", "crew", "t", "you", "ab"]
+    assert df.select(words("t")).first()[0] == ["the", "nasa", "esa", "crew", "été", "you", "ab"]
     assert df.select(words("t", 4)).first()[0] == ["nasa", "crew"]
 
 
@@ -166,7 +166,12 @@ def test_marks(spark):
     marks = incremental.high_water_marks(stored)
     assert rows(marks) == [("article", at(3), at(5))]
     incoming = spark.createDataFrame([("article", 1, at(1), at(5)), ("article", 3, at(6), at(6)), ("blog", 9, at(1), at(1))], schema)
-    assert rows(incremental.after_marks(incoming, marks), "id") == [(3,), (9,)]
+    # As old as the mark: taken again, as it may be another item of that moment.
+    assert rows(incremental.after_marks(incoming, marks), "id") == [(1,), (3,), (9,)]
+    gaps = spark.createDataFrame(
+        [("article", 4, at(2), None), ("article", 5, at(3), None), ("article", 6, None, None), ("article", 7, at(9), at(4)), (None, 8, at(1), at(1))], schema
+    )
+    assert rows(incremental.after_marks(gaps, marks), "id") == [(5,), (6,), (8,)]
     nothing_stored = incremental.high_water_marks(stored.limit(0))
     assert incremental.after_marks(incoming, nothing_stored).count() == 3
 

@@ -23,7 +23,7 @@ def _docs(spark, texts=TEXTS):
 
 
 def brute_keywords(texts, k):
-    counts = {d: Counter(w for w in re.findall("[a-z]+", (t or "").lower()) if len(w) >= 4 and w not in STOP_WORDS) for d, t in texts.items()}
+    counts = {d: Counter(w for w in re.findall(r"[^\W\d_]+", (t or "").lower()) if len(w) >= 2 and w not in STOP_WORDS) for d, t in texts.items()}
     spread = Counter(w for c in counts.values() for w in c)
     out = []
     for d, c in counts.items():
@@ -76,3 +76,30 @@ def test_words_are_counted_before_they_are_shuffled_and_only_once(spark, sf):
     text = df._jdf.queryExecution().executedPlan().toString()
     assert "ReusedExchange" in text
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
+
+
+def test_words_of_any_script(spark):
+    texts = {1: "Zürich und Élodie; Übergröße", 2: "España: corazón NIÑO", 3: "Союз стартовал с Байконура", 4: "ESA, ISS and the x 42"}
+    got = rows(content.term_counts(_docs(spark, texts), ["id"], "text", 1), "id", "term")
+    want = [
+        (1, "zürich"), (1, "und"), (1, "élodie"), (1, "übergröße"), (2, "españa"), (2, "corazón"), (2, "niño"),
+        (3, "союз"), (3, "стартовал"), (3, "с"), (3, "байконура"), (4, "esa"), (4, "iss"), (4, "and"), (4, "the"), (4, "x"),
+    ]
+    assert got == sorted(want, key=repr)
+    kept = {r[2] for r in rows(content.keywords(_docs(spark, texts), ["id"], "text", k=9), "id", "rank", "term")}
+    assert {"esa", "iss", "союз"} <= kept and not {"the", "x", "с"} & kept
+
+
+def test_names_of_several_words(spark):
+    names = [("Blue Origin", "company"), ("New York", "place"), ("New York Times", "company"), ("NASA", "company"), ("Ariane 5 ESC", "vehicle"), ("!!", "none")]
+    texts = {1: "Blue Origin and blue\norigin; New York, the New York Times", 2: "origin blue NASA new", 3: None, 4: "ariane esc"}
+    gazetteer = spark.createDataFrame(names + names[:1], "entity string, kind string")
+    assert rows(content.entities(_docs(spark, texts), ["id"], "text", gazetteer)) == [
+        (1, "Blue Origin", "company", 2), (1, "New York Times", "company", 1), (1, "New York", "place", 2),
+        (2, "NASA", "company", 1), (4, "Ariane 5 ESC", "vehicle", 1),
+    ]
+
+
+def test_rule_terms_are_folded(spark):
+    rules = spark.createDataFrame([("space", "NASA", 2), ("space", "nasa", 1), ("other", "crew", 2)], "topic string, term string, weight long")
+    assert rows(content.topics(_docs(spark, {1: "NASA and crew"}), ["id"], "text", rules)) == [(1, "space", 3)]

@@ -7,6 +7,7 @@ from test_sources import item, land, page
 
 from galley.plans import run as flow
 from galley.plans.run import Layout, parse_phases, run, stored
+from galley.session import scratch_root
 from galley.sources import bronze, files
 from galley.streaming.landed_stream import stream_items, upsert_stream
 
@@ -135,3 +136,65 @@ def test_stream_loads_what_landed_and_ignores_late_old_versions(spark, layout, t
     late.write_text(json.dumps(page(item(1, title="v1", updated_at="2024-01-02T04:00:00Z"), item(3), last=True)))
     assert load() == [(1, "v2"), (2, "t2"), (3, "t3")]
     assert load() == [(1, "v2"), (2, "t2"), (3, "t3")]
+
+
+ITEM_DAY = {"published_at": "2024-01-02T00:00:00Z"}
+
+
+def test_an_old_day_run_again_does_not_win(spark, layout, tmp_path):
+    land(tmp_path / "one", "articles", page(item(1, title="old", updated_at="2024-01-02T00:00:00Z", **ITEM_DAY), last=True))
+    land(tmp_path / "two", "articles", page(item(1, title=" new ", updated_at="2024-01-03T00:00:00Z", **ITEM_DAY), last=True))
+    for day, folder in (("2024-04-01", "one"), ("2024-04-02", "two")):
+        run(spark, Layout(layout.bronze, layout.silver, layout.gold, str(tmp_path / folder)), "ingest,silver", ingestion_date=day)
+    run(spark, layout, "silver", ingestion_date="2024-04-01")
+    assert rows(stored(spark, layout, "articles"), "id", "title") == [(1, "new")]
+    run(spark, layout, "silver", ingestion_date="2024-04-01", replace_newer=True)
+    assert rows(stored(spark, layout, "articles"), "id", "title") == [(1, "old")]
+
+
+def test_rows_of_no_known_type_are_counted_and_no_info_folder_is_no_info(spark, layout, tmp_path):
+    land(tmp_path / "landing", "videos", page(item(1, updated_at="2024-01-02T00:00:00Z", **ITEM_DAY), last=True))
+    done = run(spark, Layout(layout.bronze, layout.silver, layout.gold, layout.landing), "ingest,silver", ingestion_date="2024-04-01")
+    assert done["ingest"]["written"] == 1 and done["silver"]["unrouted"] == 1 and done["silver"]["unreadable_lists"] == 0
+    run(spark, layout, "silver", ingestion_date="2024-04-01")
+    assert spark.read.parquet(layout.quarantine).count() == 1
+    assert bronze.read_bronze(spark, layout.bronze, "2024-04-01").count() == 1
+
+
+def test_a_second_day_reads_and_counts_only_what_is_new(spark, layout, tmp_path):
+    landing, info = tmp_path / "landing", {"version": "4.9.0", "news_sites": ["A"]}
+    first = [item(1, news_site="A", updated_at="2024-01-02T00:00:00Z", **ITEM_DAY), item(2, news_site="B", updated_at="2024-01-02T00:00:00Z", **ITEM_DAY)]
+    for day, items, sites in (("2024-04-01", first, ["A"]), ("2024-04-02", [item(3, news_site="A", published_at="2024-02-05T00:00:00Z", updated_at="2024-02-05T00:00:00Z")], ["A", "B"])):
+        for endpoint, content in (("articles", page(*items, last=True)), ("info", info | {"news_sites": sites})):
+            folder = landing / f"endpoint={endpoint}" / f"landed={day}"
+            folder.mkdir(parents=True)
+            (folder / "1.json").write_text(content if isinstance(content, str) else json.dumps(content))
+    where = Layout(layout.bronze, layout.silver, layout.gold, str(landing))
+    done = run(spark, where, "ingest,silver,dims,facts,aggregates", ingestion_date="2024-04-01")
+    assert done["ingest"]["fetched"] == 3
+    done = run(spark, where, "ingest,silver,dims,facts,aggregates", ingestion_date="2024-04-02", incremental=True)
+    assert done["ingest"]["fetched"] == 2
+    # The item whose site was listed on the second day has its id now.
+    assert rows(stored(spark, where, "fact_article"), "article_id", "news_source_id") == [(1, 1), (2, 2), (3, 1)]
+    assert set(done["facts"].partitions) == {("2024", "01", "02"), ("2024", "02", "05")}
+    assert rows(stored(spark, where, "agg_month"), "year", "month", "article_count") == [("2024", "01", 2), ("2024", "02", 1)]
+    assert rows(stored(spark, where, "agg_source_day"), "news_site", "day", "article_count") == [("A", "02", 1), ("A", "05", 1), ("B", "02", 1)]
+    before = sorted(files.matching(spark, f"{where.table('agg_month')}/year=2024/month=01/*"))
+    land(tmp_path / "third", "articles", page(item(4, published_at="2024-02-06T00:00:00Z", updated_at="2024-02-06T00:00:00Z"), last=True))
+    third = Layout(layout.bronze, layout.silver, layout.gold, str(tmp_path / "third"))
+    run(spark, third, "ingest,silver,facts,aggregates", ingestion_date="2024-04-03")
+    assert rows(stored(spark, where, "agg_month"), "year", "month", "article_count") == [("2024", "01", 2), ("2024", "02", 2)]
+    assert sorted(files.matching(spark, f"{where.table('agg_month')}/year=2024/month=01/*")) == before
+
+
+def test_phases_leave_no_staged_copies(spark, layout, tmp_path):
+    before = files.matching(spark, f"{scratch_root(spark)}/*")
+    _land_first_day(tmp_path)
+    run(spark, layout, "ingest,silver,dims,facts,aggregates", ingestion_date="2024-04-01")
+    assert files.matching(spark, f"{scratch_root(spark)}/*") == before
+
+
+def test_catalog_arguments():
+    assert flow.parse_catalogs(["lake.impl=some.Class", "lake.warehouse=/w"]) == {"lake": {"impl": "some.Class", "warehouse": "/w"}}
+    with pytest.raises(ValueError, match="NAME.KEY=VALUE"):
+        flow.parse_catalogs(["lake"])

@@ -3,8 +3,8 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from galley.functions.literals import constant_rows, empty_rows
-from galley.operators.joins import estimated_bytes, spread
-from galley.session import DEFAULTS, materialize, register_catalog, scratch_path, shared_dir, warehouse_uri
+from galley.operators.joins import byte_setting, estimated_bytes, sized
+from galley.session import DEFAULTS, materialize, register_catalog, scratch_path, scratch_scope, shared_dir, warehouse_uri
 from galley.sources import files
 
 
@@ -34,6 +34,8 @@ def test_only_a_local_session_gets_a_folder_of_its_own():
     assert shared_dir(local) == shared_dir(local) == local.folder
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_Session("yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("local-cluster[2,1,1024]"))
 
 
 def test_session_settings(spark):
@@ -69,14 +71,30 @@ def test_literal_frames(spark):
     assert constant_rows(spark, [], "t string").columns == ["t"]
 
 
-def test_only_a_small_input_is_spread(spark, tmp_path):
-    df = spark.range(100).repartition(1)
-    df.write.parquet(f"{tmp_path}/t")
-    small = spark.read.parquet(f"{tmp_path}/t")
-    assert "RoundRobinPartitioning(8)" in spread(small)._jdf.queryExecution().executedPlan().toString()
-    large = small.join(small.withColumnRenamed("id", "other"))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "1b")
+@pytest.mark.parametrize("setting, size", [("-1", -1), ("10m", 10 << 20), ("64KB", 64 << 10), ("12b", 12), ("300", 300)])
+def test_size_settings(spark, setting, size):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", setting)
+    try:
+        assert byte_setting(spark, "spark.sql.autoBroadcastJoinThreshold", "0") == size
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_threshold_of_minus_one_forbids_broadcasts(spark):
+    small = spark.range(10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        assert spread(large) is large
+        assert sized(small) is small
     finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_staged_copies_end_with_their_scope(spark):
+    with scratch_scope(spark):
+        path = scratch_path(spark, "t")
+        materialize(spark.range(3), path=path)
+        with scratch_scope(spark):
+            inner = scratch_path(spark, "t")
+            materialize(spark.range(3), path=inner)
+        assert files.exists(spark, path) and not files.exists(spark, inner)
+    assert not files.exists(spark, path)

@@ -1,5 +1,6 @@
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from galley.sources import files, tables
 from galley.sources.tables import ensure_table, finish_pending, read_table, replace_table, table_exists, upsert
@@ -206,3 +207,48 @@ def test_catalog_identifier_without_row_level_support(spark):
             upsert(df, name, ["topic_id"])
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _stored_three(spark, path):
+    upsert(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], "id long, part string, extra string"), path, ["id"], ["part"])
+
+
+def test_a_narrow_batch_is_refused_or_keeps_what_is_stored(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    _stored_three(spark, path)
+    narrow = spark.createDataFrame([(3, "a"), (1, "b")], "id long, part string")
+    with pytest.raises(ValueError, match="lacks the columns .*extra"):
+        upsert(narrow, path, ["id"], ["part"])
+    schema = "id long, part string, extra string"
+    assert rows(read_table(spark, path), "id", "extra") == [(1, "x"), (2, "y")]
+    upsert(narrow, path, ["id"], ["part"], missing="keep")
+    assert rows(spark.read.schema(schema).parquet(path), "id", "part", "extra") == [(1, "b", "x"), (2, "b", "y"), (3, "a", None)]
+
+
+def test_a_wide_batch_adds_a_column(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    _stored_three(spark, path)
+    upsert(spark.createDataFrame([(2, "b", "z", 7), (4, "c", "w", 8)], "id long, part string, extra string, n int"), path, ["id"], ["part"])
+    schema = "id long, part string, extra string, n int"
+    assert rows(spark.read.schema(schema).parquet(path), "id", "extra", "n") == [(1, "x", None), (2, "z", 7), (4, "w", 8)]
+    upsert(spark.createDataFrame([(4, "c", "v")], "id long, part string, extra string"), path, ["id"], ["part"], missing="keep")
+    assert rows(spark.read.schema(schema).parquet(path), "id", "extra", "n") == [(1, "x", None), (2, "z", 7), (4, "v", 8)]
+
+
+def test_a_retyped_batch_takes_the_stored_types(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    _stored_three(spark, path)
+    upsert(spark.createDataFrame([("1", "a", 5)], "id string, part string, extra int"), path, ["id"], ["part"])
+    stored = read_table(spark, path)
+    assert stored.schema["id"].dataType.simpleString() == "bigint"
+    assert rows(stored, "id", "extra") == [(1, "5"), (2, "y")]
+
+
+def test_replacing_some_partitions_leaves_the_others(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "n long, part string")
+    replace_table(df, path, ["part"])
+    replace_table(df.filter("part = 'b'").withColumn("n", F.col("n") * 10), path, ["part"], [("b",), ("c",)])
+    assert rows(spark.read.schema("n long, part string").parquet(path)) == [(1, "a"), (20, "b")]
+    replace_table(df.limit(0), path, ["part"])
+    assert rows(spark.read.schema("n long, part string").parquet(path)) == []
