@@ -55,6 +55,15 @@ class Stage:
             files.delete(self.spark, self.paths.pop(name))
 
 
+def splittable(keys: DataFrame) -> DataFrame:
+    """Rows of an aggregate, spread anew before a join on their key.
+
+    Joined as it is, the aggregate's own shuffle would serve the join too, and then Spark cannot
+    split a hot key of the other side over several tasks.
+    """
+    return keys.hint("rebalance")
+
+
 def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
@@ -94,3 +103,14 @@ def groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterator
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """``row, doc_id, text``: all columns in one struct, so that none can clash with a helper column.
+
+    ``select("row.*")`` gives the documents back.
+    """
+    return docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs["doc_id"].cast("long").alias("doc_id"),
+        F.coalesce(docs["text"].cast("string"), F.lit("")).alias("text"),
+    )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from galley.llm.common import Stage
+from galley.llm.common import Stage, splittable
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -17,12 +17,12 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     if large:
         smallest = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        moved = both.join(smallest, "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        moved = both.join(splittable(smallest), "a").filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         down = both.filter(F.col("b") < F.col("a"))
         smallest = down.groupBy("a").agg(F.min("b").alias("m"))
         moved = (
-            down.join(smallest, "a")
+            down.join(splittable(smallest), "a")
             .select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
             .select("e.a", "e.b")
         )

@@ -19,7 +19,7 @@ from math import log2
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from galley.llm.common import Stage
+from galley.llm.common import Stage, boxed
 
 SAMPLE = 40_000  # labelled rows that are used at most: those with the smallest hashes of their ids
 CUTS = 24  # thresholds per feature and label
@@ -244,6 +244,6 @@ def keep(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rules = learn(docs, labels)
     # A condition on a column that is not deterministic stays above the features; pushed below
     # them, it would be worked out from the text once for every mention.
-    rows = with_features(docs).withColumn(_P + "place", F.monotonically_increasing_id())
+    rows = with_features(boxed(docs)).withColumn(_P + "place", F.monotonically_increasing_id())
     passed = ~F.col(_P + "base_failed") & (rule_number(rules) == 0) & (F.col(_P + "place") >= 0)
-    return rows.filter(passed).select(*docs.columns)
+    return rows.filter(passed).select("row.*")

@@ -38,7 +38,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from galley.llm.common import Stage, id_and_text, map_batches, utf8
+from galley.llm.common import Stage, boxed, id_and_text, map_batches, splittable, utf8
 from galley.llm.rolling import Rolling, U, mix, sliding_argmin, word_hashes
 
 
@@ -152,19 +152,19 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
     again = F.min(place) != F.max(place) if apart else F.count("*") > 1
     tuples = stage.save(_tuples(docs.select(*_KEY, "text", "scope"), unit, length), "tuples")
     shared = tuples.groupBy("prefix").agg(again.alias("again")).filter("again").select("prefix")
-    left = stage.save(tuples.join(shared, "prefix"), "left")
+    left = stage.save(tuples.join(splittable(shared), "prefix"), "left")
     stage.free("tuples")
 
     # One row per different stretch: whether it repeats, and where it occurs (at the two ends if in different documents).
     where = F.struct(*_KEY, "first", "last")
     ends = F.array_distinct(F.array(F.min(where), F.max(where))) if apart else F.array(F.min(where))
     stretches = stage.save(left.groupBy("prefix", "whole").agg(again.alias("again"), ends.alias("ends")), "stretches")
-    throughout = left.join(stretches.filter("again").select("whole").distinct(), "whole").select(*_KEY, "first", "last")
+    throughout = left.join(splittable(stretches.filter("again").select("whole").distinct()), "whole").select(*_KEY, "first", "last")
     throughout = stage.save(throughout, "throughout")
     stage.free("left")
     open_ = stretches.filter("not again").select("prefix").distinct()
     chunks = (
-        stretches.join(open_, "prefix").select(F.explode("ends").alias("one")).select("one.*")
+        stretches.join(splittable(open_), "prefix").select(F.explode("ends").alias("one")).select("one.*")
         .groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
     )
     chunks = stage.save(_keyed(chunks), "chunks")
@@ -173,7 +173,7 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
     single = docs.join(chunks, _same(docs, chunks)).select(*_KEY, "text", "scope", "chunks")
     single = stage.save(_induced(single, unit, length), "single")
     twice = single.groupBy("name").agg(again.alias("again")).filter("again").select("name")
-    single = single.join(twice, "name").select(*_KEY, "first", F.col("first").alias("last"))
+    single = single.join(splittable(twice), "name").select(*_KEY, "first", F.col("first").alias("last"))
     runs = throughout.union(single).groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     runs = stage.save(runs, "runs")
     stage.free("throughout", "chunks", "single")
@@ -254,10 +254,8 @@ def cleaned(docs: DataFrame, length: int, unit: Unit = WORDS) -> DataFrame:
     ``n_chars``, where there is one, follows the text. Null text stays null.
     """
     runs = _with_runs(docs, length, unit)
-    same = docs["doc_id"].cast("long").eqNullSafe(runs["id_"]) & (
-        F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == runs["key_"]
-    )
-    rows = docs.join(runs, same, "left")
+    rows = boxed(docs)
+    rows = rows.join(runs, rows["doc_id"].eqNullSafe(runs["id_"]) & (F.xxhash64("text") == runs["key_"]), "left")
 
     @F.pandas_udf("string")
     def cut(texts, found):
@@ -269,9 +267,12 @@ def cleaned(docs: DataFrame, length: int, unit: Unit = WORDS) -> DataFrame:
             out.append(text)
         return texts.__class__(out, dtype=object)
 
-    text = F.when(F.col("runs").isNull(), F.col("text")).otherwise(cut("text", "runs"))
-    rows = rows.withColumn("text", text)
+    text = F.when(F.col("runs").isNotNull(), cut("text", "runs"))
+    rows = rows.select("row", text.alias("cut"))
+    changed = {"text": F.col("cut")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("runs").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return rows.select(*docs.columns)
+        changed["n_chars"] = F.length("cut").cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[
+        F.when(F.col("cut").isNotNull(), changed[c]).otherwise(F.col("row")[c]).alias(c) if c in changed else F.col("row")[c].alias(c)
+        for c in docs.columns
+    ])

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from galley.llm.common import Stage, groups, id_and_text, map_batches, utf8
+from galley.llm.common import Stage, boxed, groups, id_and_text, map_batches, splittable, utf8
 from galley.llm.components import components
 from galley.llm.rolling import U, mix, word_hashes
 
@@ -218,7 +218,7 @@ def _searched_whole(members: DataFrame, k: int, percent: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
 
     size = members.groupBy("bucket").agg(F.ceil(F.sum(F.octet_length("text")) / BLOCK_TEXT).alias("size"))
-    dealt = _in_blocks(members.join(size, "bucket"), F.greatest(F.col("size"), F.lit(1)))
+    dealt = _in_blocks(members.join(splittable(size), "bucket"), F.greatest(F.col("size"), F.lit(1)))
     dealt = dealt.select("bucket", "first", "second", "block", "name", "component", "text")
     return map_batches(dealt, run, "a binary, b binary").distinct()
 
@@ -253,12 +253,12 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     )
     banded = classes.select("name", F.explode("bands").alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    held = banded.join(buckets, "bucket").join(classes.select("name", "slots"), "name")
+    held = banded.join(splittable(buckets), "bucket").join(classes.select("name", "slots"), "name")
     members = stage.save(_agreeing(held, percent), "members")
 
     # Every class against the smallest of each of its buckets.
     centers = members.groupBy("bucket").agg(F.min("name").alias("b"))
-    pairs = members.join(centers, "bucket").filter("name != b").select(F.col("name").alias("a"), "b").distinct()
+    pairs = members.join(splittable(centers), "bucket").filter("name != b").select(F.col("name").alias("a"), "b").distinct()
     texts = stage.save(_class_texts(rows, members.select("name").distinct(), k), "texts")
     pairs = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     links = stage.save(_confirmed(pairs, k, percent), "links")
@@ -272,7 +272,7 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
         labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
         .filter("n > 2 and x != y").select("bucket")
     )
-    undecided = stage.save(labelled.join(mixed, "bucket").join(texts, "name"), "undecided")
+    undecided = stage.save(labelled.join(splittable(mixed), "bucket").join(texts, "name"), "undecided")
     more = stage.save(_searched_whole(undecided, k, percent), "more")
     final = components(links.union(more), stage, "all")
 
@@ -307,11 +307,10 @@ def one_of_each(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     chosen = stage.save(
         chosen.union(empty).select(F.col("doc_id").alias("id__"), F.col("text_key").alias("key__"), "copies", "empty").distinct(), "chosen"
     )
-    text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    same = docs["doc_id"].cast("long").eqNullSafe(chosen["id__"]) & (F.xxhash64(text) == chosen["key__"])
-    once = docs.join(chosen.filter("copies = 1 or empty"), same, "left_semi")
+    rows = boxed(docs)
+    same = rows["doc_id"].eqNullSafe(chosen["id__"]) & (F.xxhash64("text") == chosen["key__"])
+    once = rows.join(chosen.filter("copies = 1 or empty"), same, "left_semi").select("row.*")
     repeated = chosen.filter("copies > 1 and not empty")
     if repeated.isEmpty():
         return once
-    more = docs.join(repeated, same).dropDuplicates(["id__", "key__"])
-    return once.union(more.select(*[docs[c] for c in docs.columns]))
+    return once.union(rows.join(repeated, same).dropDuplicates(["id__", "key__"]).select("row.*"))
