@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from galley.llm.common import Stage
+from galley.llm.common import Stage, boxed
 
 WORDS = 5
 PERCENT = 80
@@ -95,14 +95,18 @@ def matches(docs: DataFrame, items: DataFrame, stage: Stage | None = None) -> Da
         .select(
             "doc_id", "text_key", "item_id", F.size("shingles").cast("long").alias("n_shingles"),
             F.size(F.array_intersect(_texts("words"), "shingles")).cast("long").alias("n_shared"),
+            F.monotonically_increasing_id().alias("place"),
         )
     )
-    return checked.filter(100 * F.col("n_shared") >= PERCENT * F.col("n_shingles"))
+    # With a column that is not deterministic the condition stays above the shingles. Pushed below,
+    # it would split the text again for every shingle.
+    return checked.filter((100 * F.col("n_shared") >= PERCENT * F.col("n_shingles")) & (F.col("place") >= 0)).drop("place")
 
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that contain no item, with all their columns."""
     stage = Stage(docs.sparkSession, "containment")
     leaks = stage.save(matches(docs, items, stage).select(F.col("doc_id").alias("id_"), F.col("text_key").alias("key_")).distinct(), "leaks")
-    same = docs["doc_id"].cast("long").eqNullSafe(leaks["id_"]) & (F.xxhash64(F.coalesce(docs["text"].cast("string"), F.lit(""))) == leaks["key_"])
-    return docs.join(leaks, same, "left_anti")
+    rows = boxed(docs)
+    same = rows["doc_id"].eqNullSafe(leaks["id_"]) & (_text_key() == leaks["key_"])
+    return rows.join(leaks, same, "left_anti").select("row.*")
