@@ -14,7 +14,8 @@ and each level goes on only with suffixes that share a long enough prefix with a
    all its substrings. A chunk whose whole stretch occurs twice repeats throughout.
 3. Level 2. In the classes that are left over, the starts inside a chunk are induced one by one:
    their names have the full common prefix ``length``. Of chunks that are equal throughout, one
-   stands for all.
+   stands for all (if only repeats across documents count: one at each end, and every chunk of
+   a stretch that stays in one document).
 
 Names are 64-bit hashes instead of ranks; the tuples, never the texts, are sorted. The sorts are
 Spark's: runs on disk, merged by priority queues, with the shuffle in front; a name that very
@@ -161,14 +162,14 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
     stretches = stage.save(left.groupBy("prefix", "whole").agg(again.alias("again"), ends.alias("ends")), "stretches")
     throughout = left.join(splittable(stretches.filter("again").select("whole").distinct()), "whole").select(*_KEY, "first", "last")
     throughout = stage.save(throughout, "throughout")
-    stage.free("left")
     open_ = stretches.filter("not again").select("prefix").distinct()
-    chunks = (
-        stretches.join(splittable(open_), "prefix").select(F.explode("ends").alias("one")).select("one.*")
-        .groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
-    )
+    chunks = stretches.join(splittable(open_), "prefix").select(F.explode("ends").alias("one")).select("one.*")
+    if apart:  # A stretch of one document only may occur there many times; each of them is induced.
+        own = stretches.filter("not again").select("prefix", "whole")
+        chunks = chunks.union(left.join(splittable(own), ["prefix", "whole"]).select(*_KEY, "first", "last"))
+    chunks = chunks.groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
     chunks = stage.save(_keyed(chunks), "chunks")
-    stage.free("stretches")
+    stage.free("stretches", "left")
 
     single = docs.join(chunks, _same(docs, chunks)).select(*_KEY, "text", "scope", "chunks")
     single = stage.save(_induced(single, unit, length), "single")
