@@ -111,7 +111,7 @@ def prefix_tree(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
     path = scratch_path(spark, "chat-tree")
     chat_tree.write(rows, path)
-    return chat_tree.digest(chat_tree.read(spark, path))
+    return chat_tree.read_digest(spark, path)
 
 
 @query("op5_host_runs")
