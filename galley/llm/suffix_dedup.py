@@ -162,6 +162,8 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
     stretches = stage.save(left.groupBy("prefix", "whole").agg(again.alias("again"), ends.alias("ends")), "stretches")
     throughout = left.join(splittable(stretches.filter("again").select("whole").distinct()), "whole").select(*_KEY, "first", "last")
     throughout = stage.save(throughout, "throughout")
+    if not apart:
+        stage.free("left")
     open_ = stretches.filter("not again").select("prefix").distinct()
     chunks = stretches.join(splittable(open_), "prefix").select(F.explode("ends").alias("one")).select("one.*")
     if apart:  # A stretch of one document only may occur there many times; each of them is induced.
@@ -169,7 +171,7 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
         chunks = chunks.union(left.join(splittable(own), ["prefix", "whole"]).select(*_KEY, "first", "last"))
     chunks = chunks.groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("chunks"))
     chunks = stage.save(_keyed(chunks), "chunks")
-    stage.free("stretches", "left")
+    stage.free("stretches", *(["left"] if apart else []))
 
     single = docs.join(chunks, _same(docs, chunks)).select(*_KEY, "text", "scope", "chunks")
     single = stage.save(_induced(single, unit, length), "single")
