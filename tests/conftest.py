@@ -4,7 +4,8 @@ from pathlib import Path
 import pytest
 from pyspark.sql import SparkSession
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+_HERE = Path(__file__).resolve().parent
+sys.path[:0] = [str(_HERE.parent), str(_HERE)]
 
 from galley.session import configure, scratch_root  # noqa: E402
 from galley.sources import files  # noqa: E402
@@ -32,12 +33,6 @@ def sf():
     return "/root/testdata/sf0.001"
 
 
-def rows(df, *columns):
-    """Sorted plain tuples, for comparing small results."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
 @pytest.fixture(scope="session")
 def plan():
     def text(df) -> str:

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F, types as T
 
 from galley.functions.dates import parse_run_date, with_date_parts, with_text_date_parts
@@ -14,7 +14,7 @@ from galley.plans import silver
 
 def test_list_text(spark):
     cases = {
-        "['SpaceNews', 'Virgin Galactic']": ["SpaceNews", "Virgin Galactic"],
+        "['Orbit Daily', 'Virgin Galactic']": ["Orbit Daily", "Virgin Galactic"],
         "['Only']": ["Only"],
         "[\"O'Hara\", 'B']": ["O'Hara", "B"],
         "['say \\'hi\\' \"now\"']": ["say 'hi' \"now\""],

@@ -2,7 +2,7 @@ import math
 import re
 from collections import Counter
 
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from galley.plans import content

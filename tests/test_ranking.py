@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 
 from galley.operators.ranking import cap_per_group, number_rows, parse_cap
