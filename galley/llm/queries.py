@@ -17,6 +17,7 @@ from galley.llm import (
     importance,
     packing,
     suffix_dedup,
+    suffix_tree,
     super_minhash,
     token_store,
     two_pass_shuffle,
@@ -216,3 +217,9 @@ def fenwick_fim(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
         F.sha2(fill_middle.restored(), 256).alias("restored_sha256"),
     )
+
+
+@query("op13_suffix_tree_scores")
+def suffix_tree_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document under the words alone and under the suffix tree learned from six sevenths of them."""
+    return suffix_tree.score(table(spark, folder, "documents"))
