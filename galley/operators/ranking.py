@@ -54,6 +54,33 @@ def number_rows(
     )
 
 
+def running_sums(
+    df: DataFrame, order_by: Sequence[str | Column], columns: Sequence[str], group: Sequence[str] = ()
+) -> DataFrame:
+    """Adds ``<column>_sum`` for each of ``columns``: the sum up to and with the row, in every ``group``.
+
+    Range-partitioned like ``number_rows``: a window runs inside each task's stretch of a group,
+    and a small table of stretch totals says what earlier tasks hold. ``order_by`` must be a
+    total order within the group.
+    """
+    keys = [*map(_as_column, group), *map(_as_column, order_by)]
+    laid_out = materialize(df.repartitionByRange(*keys).withColumn("_task", F.spark_partition_id()), "summed")
+    stretch = Window.partitionBy(*group, "_task")
+    totals = laid_out.groupBy(*group, "_task").agg(*[F.sum(c).alias(f"_{c}") for c in columns])
+    earlier = Window.partitionBy(*group).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select(*group, "_task", *[F.coalesce(F.sum(f"_{c}").over(earlier), F.lit(0)).alias(f"_{c}") for c in columns])
+    totals = sized(materialize(totals, "totals"))
+    inside = laid_out.select(
+        "*", *[F.sum(c).over(stretch.orderBy(*map(_as_column, order_by)).rowsBetween(Window.unboundedPreceding, 0)).alias(f"{c}_sum") for c in columns]
+    )
+    same = F.col("l._task") == F.col("r._task")
+    for g in group:
+        same = same & F.col(f"l.{g}").eqNullSafe(F.col(f"r.{g}"))
+    return inside.alias("l").join(totals.alias("r"), same).select(
+        *[F.col(f"l.`{c}`") for c in df.columns], *[(F.col(f"l.{c}_sum") + F.col(f"r._{c}")).alias(f"{c}_sum") for c in columns]
+    )
+
+
 def parse_cap(value: int | str | None) -> int | None:
     """A cap argument: a whole number, or NULL / blank / all / todo / full for no cap.
 

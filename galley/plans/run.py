@@ -37,7 +37,7 @@ from galley.sources.tables import (
 # Every phase, in the only order they can depend on each other.
 PHASES = ("ingest", "silver", "content", "dims", "facts", "aggregates")
 DEFAULT_PHASES = "silver,dims,facts"
-_SILVER_NAMES = (*CONTENT_TABLES.values(), "info", "enriched")
+_SILVER_NAMES = (*CONTENT_TABLES.values(), "info", "enriched", "item_terms", "word_stats", "word_delta", "word_items")
 
 
 @dataclass(frozen=True)
@@ -97,12 +97,16 @@ def ingest(
     ingestion_date: str,
     max_items: int | str | None = None,
     incremental: bool = False,
+    load: str = "main",
+    envelopes: DataFrame | None = None,
 ) -> dict[str, int]:
     """Landed pages to the raw layer; returns rows fetched, left after dedup, and written.
 
     Pages under ``landed=<date>`` folders are read for the ingestion date alone. All inputs are
     looked up before anything is written; without an info folder there is no info record.
-    ``incremental`` takes only items at or beyond what the cleaned layer holds.
+    ``incremental`` takes only items at or beyond what the cleaned layer holds. A load of the same
+    name and date that ran before is replaced; loads of other names stay. ``envelopes``: the pages,
+    where they have been read already.
     """
     fetched, deduped = Observation(), Observation()
     count = F.count("*").alias("n")
@@ -110,19 +114,43 @@ def ingest(
     if days := files.matching(spark, f"{info_folder}/landed=*"):
         info_folder = next((d for d in days if d.endswith(f"landed={ingestion_date}")), f"{info_folder}/landed={ingestion_date}")
     info = landed.read_info(spark, info_folder) if files.exists(spark, info_folder) else None
-    items = landed.read_pages(spark, layout.landing, landed=ingestion_date)
+    if envelopes is None:
+        envelopes = landed.read_envelopes(spark, layout.landing, landed=ingestion_date)
+    items = landed.items_of(envelopes)
     if incremental:
         items = only_new(spark, layout, items)
     items = cap_per_group(items, ["content_type"], ["arrival", *sortable(items, ["arrival", "content_type"])], max_items)
     items = items.observe(fetched, count)
     unique = first_per_key(items, CONTENT_KEY, ["arrival", *sortable(items, ["arrival", *CONTENT_KEY])])
-    written = bronze.write_bronze(unique.observe(deduped, count), None, layout.bronze, ingestion_date)
-    info_rows = bronze.write_bronze(None, info, layout.bronze, ingestion_date)
+    written = bronze.write_bronze(unique.observe(deduped, count), None, layout.bronze, ingestion_date, load=load)
+    info_rows = bronze.write_bronze(None, info, layout.bronze, ingestion_date, load=load)
     # AQE drops an empty stage together with its counts; nothing written means nothing fetched.
     seen = (fetched.get["n"], deduped.get["n"]) if written else (0, 0)
     return {"fetched": seen[0] + info_rows, "deduped": seen[1] + info_rows, "written": written + info_rows}
 
 
+def arrival(envelopes: DataFrame, layout: Layout, ingestion_date: str) -> dict[str, int]:
+    """What of the landed listings did not arrive as it should.
+
+    Counts ``broken_pages`` (no items could be read), ``partly_read`` pages, and places of the
+    listings that are ``missing``, ``repeated`` or ``beyond`` the declared total. With a quarantine
+    folder the pages and the ranges are kept there.
+    """
+    broken = landed.broken_pages(envelopes)
+    gaps = materialize(landed.chain_gaps(envelopes), "gaps")
+    partly = F.col("reason") == "partly read"
+    pages = broken.agg(F.count_if(~partly).alias("broken_pages"), F.count_if(partly).alias("partly_read")).first().asDict()
+    places = {r["kind"]: r["n"] for r in gaps.groupBy("kind").agg(F.sum(F.col("until") - F.col("first")).alias("n")).collect()}
+    if layout.quarantine:
+        root = layout.quarantine.rstrip("/")
+        kept = {"pages": (broken, sum(pages.values())), "gaps": (gaps, len(places))}
+        for name, (df, n) in kept.items():
+            path = f"{root}_{name}/ingestion_date={ingestion_date}"
+            if n or files.exists(df.sparkSession, path):
+                df.write.mode("overwrite").parquet(path)
+    return {**pages, **{kind: places.get(kind, 0) for kind in ("missing", "repeated", "beyond")}}
+
+
 def silver_phase(
     spark: SparkSession, layout: Layout, ingestion_date: str, replace_newer: bool = False
 ) -> dict[str, UpsertResult | int]:
@@ -172,10 +200,13 @@ def content_phase(
     rules: DataFrame,
     published_date: str | None = None,
 ) -> UpsertResult:
-    """Keywords, entities and topic of every item, from its title and summary."""
+    """Keywords, entities and topic of every item, from its title and summary.
+
+    Keywords are scored by statistics kept over all items ever analysed, not by those of the day.
+    """
     docs = published_content(spark, layout, published_date)
     docs = docs.withColumn("text", F.concat_ws(" ", "title", "summary"))
-    enriched = text_analysis.enrich(docs, CONTENT_KEY, "text", gazetteer, rules, ("published_at", *DATE_PARTS))
+    enriched = text_analysis.enrich(docs, CONTENT_KEY, "text", gazetteer, rules, ("published_at", *DATE_PARTS), place=layout.table)
     return store(enriched, layout, "enriched", check_unique=False)
 
 
@@ -269,8 +300,9 @@ def run(
     incremental: bool = False,
     replace_newer: bool = False,
     full_facts: bool = False,
+    load: str = "main",
 ) -> dict[str, object]:
-    """Run the asked phases in order and return what each reported.
+    """Run the asked phases in order and return what each reported; with ``ingest`` comes ``arrival``.
 
     With an ingestion date the facts of that day's load are merged, all facts without one or
     with ``full_facts``. Aggregates after a fact phase are counted again for its months only.
@@ -290,8 +322,15 @@ def run(
         if is_path(layout.table(name)):
             finish_pending(spark, layout.table(name))
     done: dict[str, object] = {}
+
+    def pages() -> DataFrame:
+        # Read once: the pages are looked at as items, as broken texts, and as intervals.
+        envelopes = materialize(landed.read_envelopes(spark, layout.landing, landed=ingestion_date), "pages")
+        done["arrival"] = arrival(envelopes, layout, ingestion_date)
+        return envelopes
+
     steps = {
-        "ingest": lambda: ingest(spark, layout, ingestion_date, max_items, incremental),
+        "ingest": lambda: ingest(spark, layout, ingestion_date, max_items, incremental, load, pages()),
         "silver": lambda: silver_phase(spark, layout, ingestion_date, replace_newer),
         "content": lambda: content_phase(spark, layout, gazetteer, rules, published_date),
         "dims": lambda: dims_phase(spark, layout),
@@ -327,6 +366,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--rules", help="Parquet of (topic, term, weight)")
     p.add_argument("--phases", default=DEFAULT_PHASES, help=",".join(PHASES))
     p.add_argument("--catalog", action="append", default=[], metavar="NAME.KEY=VALUE", help="catalog setting; KEY impl names the class")
+    p.add_argument("--load", default="main", help="name of the raw load; running it again replaces it")
     for name in ("incremental", "replace_newer", "full_facts"):
         p.add_argument(f"--{name}", action="store_true")
     args = p.parse_known_args(argv)[0]
@@ -349,6 +389,7 @@ def main(argv: list[str] | None = None) -> int:
         incremental=args.incremental,
         replace_newer=args.replace_newer,
         full_facts=args.full_facts,
+        load=args.load,
     )
     files.delete(spark, scratch_root(spark))
     return 0

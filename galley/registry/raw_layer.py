@@ -42,6 +42,72 @@ def s1_flatten_pages(spark, folder):
     return items.select("id", "title", "published_at", "arrival", "declared_total", "content_type")
 
 
+_PAGE_SQL = """
+    SELECT CASE WHEN event_id % 5 < 3 THEN 'articles' ELSE 'blogs' END AS endpoint, 3 * event_id AS start,
+           CASE WHEN event_id % 7 = 0 THEN 5 WHEN event_id % 11 = 0 THEN 1 ELSE 3 END AS n,
+           3 * (SELECT max(event_id) FROM events) - 1 AS total,
+           CASE WHEN event_id % 17 = 0 THEN 'unreadable' WHEN event_id % 19 = 0 THEN 'no results'
+                WHEN event_id % 23 = 0 THEN 'partly read' END AS reason, event_id
+    FROM events WHERE event_id % 13 <> 5"""
+
+
+def _damaged_pages(spark, folder) -> str:
+    """Two listings of three places a page, as landed JSON lines: some pages are longer or shorter,
+    never landed, cut off, error messages, or hold a field of another type."""
+    n, at = F.col("event_id"), 3 * F.col("event_id")
+    size = F.when(n % 7 == 0, 5).when(n % 11 == 0, 1).otherwise(3)
+    events = table(spark, folder, "events").select("event_id").filter(n % 13 != 5)
+    total = table(spark, folder, "events").agg((3 * F.max("event_id") - 1).alias("t")).scalar()
+    flag = F.when((n % 23 == 0) & (n % 17 != 0), F.lit('"no"')).otherwise(F.lit("true"))
+    item = F.transform(F.sequence(at, at + size - 1), lambda i: F.concat(F.lit('{"id":'), i.cast("string"), F.lit(',"featured":'), flag, F.lit("}")))
+    link = F.concat(F.lit("https://example.org/?limit=3&offset="), (at + 3).cast("string"))
+    page = F.concat(
+        F.lit('{"count":'), total.cast("string"), F.lit(',"next":"'), link, F.lit('","results":['), F.array_join(item, ","), F.lit("]}")
+    )
+    line = F.when(n % 17 == 0, F.expr("substring(page, 1, length(page) - 4)")).when(
+        n % 19 == 0, F.concat(F.lit('{"next":"'), link, F.lit('"}'))
+    ).otherwise(F.col("page"))
+    path = scratch_path(spark, "landing")
+    endpoint = F.when(n % 5 < 3, "articles").otherwise("blogs").alias("endpoint")
+    events.withColumn("page", page).select(line.alias("value"), endpoint).write.partitionBy("endpoint").text(path)
+    return path
+
+
+@query(
+    "s1_chain_gaps",
+    f"""
+    WITH pages AS ({_PAGE_SQL}),
+         good AS (SELECT * FROM pages WHERE reason IS NULL OR reason = 'partly read'),
+         borders AS (
+           SELECT endpoint, start AS place, 1 AS d, 0 AS f FROM good UNION ALL SELECT endpoint, start + n, -1, 0 FROM good
+           UNION ALL SELECT DISTINCT endpoint, 0, 0, 1 FROM pages UNION ALL SELECT DISTINCT endpoint, total, 0, -1 FROM pages),
+         added AS (SELECT endpoint, place, sum(d) AS d, sum(f) AS f FROM borders GROUP BY endpoint, place),
+         summed AS (SELECT endpoint, place, sum(d) OVER w AS d, sum(f) OVER w AS f, lead(place) OVER w AS until FROM added
+                    WINDOW w AS (PARTITION BY endpoint ORDER BY place)),
+         kinds AS (SELECT endpoint, place, until, CASE WHEN d >= 2 THEN 'repeated' WHEN d = 1 AND f = 0 THEN 'beyond'
+                          WHEN d = 0 AND f > 0 THEN 'missing' END AS kind FROM summed WHERE until IS NOT NULL),
+         runs AS (SELECT *, CASE WHEN kind IS DISTINCT FROM lag(kind) OVER (PARTITION BY endpoint ORDER BY place) THEN 1 ELSE 0 END AS new FROM kinds),
+         numbered AS (SELECT *, sum(new) OVER (PARTITION BY endpoint ORDER BY place) AS run FROM runs)
+    SELECT endpoint, kind, min(place) AS first, max(until) AS until FROM numbered WHERE kind IS NOT NULL GROUP BY endpoint, kind, run
+    """,
+)
+def s1_chain_gaps(spark, folder):
+    """Places of two listings that the landed pages do not hold exactly once."""
+    return landed.chain_gaps(landed.read_envelopes(spark, _damaged_pages(spark, folder)))
+
+
+@query(
+    "s1_corrupt_pages",
+    f"""SELECT endpoint, reason, CAST(CASE WHEN reason <> 'no results' THEN total END AS BIGINT) AS declared_total, start + 3 AS next_start
+        FROM ({_PAGE_SQL}) WHERE reason IS NOT NULL""",
+)
+def s1_corrupt_pages(spark, folder):
+    """Every page that is not as declared, with what its text still tells."""
+    broken = landed.broken_pages(landed.read_envelopes(spark, _damaged_pages(spark, folder)))
+    following = F.regexp_extract("page", r"offset=(\d+)", 1).cast("long")
+    return broken.select("endpoint", "reason", "declared_total", following.alias("next_start"))
+
+
 @query("s2_tag_type", f"SELECT event_id, event_type AS endpoint, {_TAG} AS content_type FROM events")
 def s2_tag_type(spark, folder):
     events = table(spark, folder, "events").select("event_id", F.col("event_type").alias("endpoint"))
@@ -128,12 +194,12 @@ def s6_inspect(spark, folder):
 @query(
     "s6_inspect_rows",
     """SELECT s_suppkey AS id, 'info' AS content_type, '4.' || s_suppkey || '.0' AS version, n_name || '|' || s_name AS news_sites
-       FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_suppkey < 50""",
+       FROM supplier JOIN nation ON s_nationkey = n_nationkey ORDER BY s_suppkey LIMIT 50""",
 )
 def s6_inspect_rows(spark, folder):
-    """The rows shown: here all of what is asked for, as no more than fifty fit."""
-    rows = bronze.read_bronze(spark, _two_loads(spark, folder), content_type="info").filter(F.col("id") < 50)
-    shown = bronze.inspect(rows)[2]
+    """The rows shown: the first fifty of the info rows of both days."""
+    rows = bronze.read_bronze(spark, _two_loads(spark, folder), content_type="info")
+    shown = bronze.inspect(rows, order_by=("id",))[2]
     return shown.select("id", "content_type", "version", F.concat_ws("|", "news_sites").alias("news_sites"))
 
 
@@ -154,6 +220,26 @@ def k1_bronze_roundtrip(spark, folder):
     )
 
 
+@query(
+    "k1_rerun_same_day",
+    with_parts(CONTENT)
+    + """SELECT content_type, COUNT(*) AS row_count, CAST(SUM(id) AS BIGINT) AS id_sum FROM (
+           SELECT content_type, id FROM content WHERE content_type <> '5-LOW'
+           UNION ALL SELECT content_type, id FROM content WHERE id % 10 = 0
+           UNION ALL SELECT 'info', s_suppkey FROM supplier)
+         GROUP BY content_type""",
+)
+def k1_rerun_same_day(spark, folder):
+    """One day in two loads, the first of them run twice: the second run knows one type less."""
+    items = content(spark, folder)
+    path = scratch_path(spark, "bronze")
+    bronze.write_bronze(items, info(spark, folder), path, "2024-02-01", load="morning")
+    bronze.write_bronze(items.filter(F.col("id") % 10 == 0), None, path, "2024-02-01", load="evening")
+    bronze.write_bronze(items.filter(F.col("content_type") != "5-LOW"), info(spark, folder), path, "2024-02-01", load="morning")
+    rows = bronze.read_bronze(spark, path, "2024-02-01")
+    return rows.groupBy("content_type").agg(F.count("*").alias("row_count"), F.sum("id").alias("id_sum"))
+
+
 @query(
     "k2_nested_json",
     with_parts(CONTENT)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from galley.functions.dates import with_date_parts
 from galley.functions.literals import constant_rows
 from galley.plans import content as text_analysis
+from galley.plans import word_stats
 from galley.plans.content import STOP_WORDS
 from galley.registry.base import query, table
-from galley.session import scratch_path
+from galley.session import materialize, scratch_path
 from galley.sources.tables import read_table, upsert
 
 _KEY = ("doc_id",)
@@ -83,39 +86,60 @@ def c1_keywords(spark, folder):
     return text_analysis.keywords(_docs(spark, folder), _KEY, "text")
 
 
+@query("c1_incremental", _with(_TERMS, _KEYWORDS) + "SELECT doc_id, rank, term, score FROM keywords")
+def c1_incremental(spark, folder):
+    """Three batches, of which the first holds older texts of some items of the last: scored as in one run."""
+    docs = _docs(spark, folder)
+    third, updated = F.col("doc_id") % 3, F.col("doc_id") % 4 == 0
+    older = docs.filter((third == 2) & updated).withColumn("text", F.concat(F.lit("formerly this "), F.substring("text", 1, 300)))
+    root = scratch_path(spark, "words")
+    for batch in (docs.filter(third == 0).union(older), docs.filter(third == 1), docs.filter(third == 2)):
+        terms = text_analysis.term_counts(batch, _KEY, "text", 1)
+        word_stats.learn(materialize(terms, "terms"), batch, _KEY, lambda name: f"{root}/{name}")
+    stats = word_stats.stats(spark, lambda name: f"{root}/{name}")
+    return text_analysis.keywords(docs, _KEY, "text", stats=stats)
+
+
 @query("c2_entities", _with(_TERMS, _GAZETTEER, _ENTITIES) + "SELECT doc_id, entity, kind, mentions FROM entities")
 def c2_entities(spark, folder):
     return text_analysis.entities(_docs(spark, folder), _KEY, "text", _gazetteer(spark, folder))
 
 
+_OPENINGS = {"couple": 2, "line": 3, "verse": 6}
+
+
 def _phrases(spark, folder):
-    """Names of one word and of two: host labels, and the first two words of every benchmark item."""
-    first = F.split(F.lower("text"), " ")
+    """Names of one word and of several: host labels, and the beginnings of every benchmark item."""
     items = spark.read.schema("item_id long, text string").parquet(f"{folder}/benchmark.parquet")
-    pairs = items.select(F.concat_ws(" ", first[0], first[1]).alias("entity"), F.lit("opening").alias("kind"))
-    clean = pairs.filter(F.col("entity").rlike(r"^\p{L}+ \p{L}+$"))
-    return _gazetteer(spark, folder).unionByName(clean).distinct()
+    written = F.split("text", " ")
+    openings = [
+        items.select(F.array_join(F.slice(written, 1, n), " ").alias("entity"), F.lit(kind).alias("kind")) for kind, n in _OPENINGS.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), openings, _gazetteer(spark, folder)).distinct()
 
 
 @query(
     "c2_entities_phrases",
-    r"""WITH pairs AS (
-          SELECT DISTINCT array_to_string(string_split(lower(text), ' ')[1:2], ' ') AS entity, 'opening' AS kind FROM benchmark
-        ), hosts AS (
-          SELECT DISTINCT regexp_extract(url, '://(?:[a-z]+\.)?([a-z]+)\.example\.([a-z]+)', 1) AS entity,
-                 regexp_extract(url, '://(?:[a-z]+\.)?([a-z]+)\.example\.([a-z]+)', 2) AS kind FROM pages
-        ), tokens AS (
-          SELECT doc_id, unnest(w) AS term, generate_subscripts(w, 1) AS i
-          FROM (SELECT doc_id, regexp_extract_all(lower(text), '\p{L}+') AS w FROM documents)
-        ), two AS (
-          SELECT doc_id, term || ' ' || lead(term) OVER (PARTITION BY doc_id ORDER BY i) AS term FROM tokens
+    f"""WITH {_GAZETTEER}, written AS (SELECT string_split(text, ' ') AS w FROM benchmark
+        ), given AS (
+          SELECT * FROM gazetteer
+          UNION SELECT array_to_string(w[1:2], ' '), 'couple' FROM written
+          UNION SELECT array_to_string(w[1:3], ' '), 'line' FROM written
+          UNION SELECT array_to_string(w[1:6], ' '), 'verse' FROM written
         ), names AS (
-          SELECT * FROM pairs WHERE regexp_matches(entity, '^\p{L}+ \p{L}+$') UNION ALL SELECT * FROM hosts WHERE entity <> '')
+          SELECT DISTINCT entity, kind, regexp_extract_all(lower(entity), '\\p{{L}}+') AS w FROM given
+        ), texts AS (
+          SELECT doc_id, regexp_extract_all(lower(text), '\\p{{L}}+') AS w FROM documents
+        ), places AS (
+          SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts
+        ), runs AS (
+          SELECT doc_id, array_to_string(w[i:i + n - 1], ' ') AS run, n
+          FROM places, (SELECT DISTINCT len(w) AS n FROM names WHERE len(w) > 0) WHERE i + n - 1 <= len(w))
         SELECT doc_id, entity, kind, COUNT(*) AS mentions
-        FROM (SELECT doc_id, term FROM tokens UNION ALL SELECT doc_id, term FROM two) JOIN names ON term = entity GROUP BY ALL""",
+        FROM runs JOIN names ON run = array_to_string(names.w, ' ') AND n = len(names.w) GROUP BY ALL""",
 )
 def c2_entities_phrases(spark, folder):
-    """Names of two words beside names of one."""
+    """Names of two, three, six and more words beside names of one."""
     return text_analysis.entities(_docs(spark, folder), _KEY, "text", _phrases(spark, folder))
 
 

@@ -72,6 +72,9 @@ SILVER_ENRICHED = _struct(
     ]
 )
 
+WORD_STATS = _struct([("slot", STRING), ("term", STRING), ("df", LONG), ("before", LONG), ("batch", STRING)])
+WORD_DELTA = _struct([("term", STRING), ("delta", LONG), ("batch", STRING)])
+
 DIM_NEWS_SOURCE = _struct([("news_source_id", LONG), ("news_site", STRING), ("version", STRING)])
 DIM_TOPIC = _struct([("topic_id", STRING), ("topic_name", STRING)])
 FACT_ARTICLE = _struct(

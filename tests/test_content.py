@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
@@ -103,3 +104,27 @@ def test_names_of_several_words(spark):
 def test_rule_terms_are_folded(spark):
     rules = spark.createDataFrame([("space", "NASA", 2), ("space", "nasa", 1), ("other", "crew", 2)], "topic string, term string, weight long")
     assert rows(content.topics(_docs(spark, {1: "NASA and crew"}), ["id"], "text", rules)) == [(1, "space", 3)]
+
+
+@pytest.mark.parametrize("limit", [20_000, 1])
+def test_names_that_begin_alike_are_walked_word_by_word(spark, monkeypatch, limit):
+    monkeypatch.setattr(content, "_FIRST_WORDS", limit)
+    names = ["deep space", "deep space network", "Deep Space Network one", "deep sea", "one", "space network", "l'air du temps", "deep"]
+    gazetteer = spark.createDataFrame([(n, "k") for n in names] + [("deep space", "other")], "entity string, kind string")
+    docs = spark.createDataFrame(
+        [(1, "Deep space network one, deep-space."), (2, "deep"), (3, "L'air du temps; deep deep space"), (4, None), (5, "network one")],
+        "doc_id long, text string",
+    )
+    found = content.entities(docs, ["doc_id"], "text", gazetteer)
+    assert rows(found) == sorted([
+        (1, "Deep Space Network one", "k", 1), (1, "deep", "k", 2), (1, "deep space", "k", 2), (1, "deep space", "other", 2),
+        (1, "deep space network", "k", 1), (1, "one", "k", 1), (1, "space network", "k", 1), (2, "deep", "k", 1), (3, "deep", "k", 2),
+        (3, "deep space", "k", 1), (3, "deep space", "other", 1), (3, "l'air du temps", "k", 1), (5, "one", "k", 1),
+    ], key=repr)
+
+
+def test_the_prefix_table_has_a_row_for_each_node_and_name(spark):
+    names = spark.createDataFrame([("A b", "x", ["a", "b"]), ("A b c", "x", ["a", "b", "c"])], "entity string, kind string, words array<string>")
+    assert rows(content.prefix_table(names)) == sorted([
+        ("a", 1, None, None, True), ("a b", 2, "A b", "x", True), ("a b c", 3, "A b c", "x", False),
+    ], key=repr)

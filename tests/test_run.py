@@ -198,3 +198,18 @@ def test_catalog_arguments():
     assert flow.parse_catalogs(["lake.impl=some.Class", "lake.warehouse=/w"]) == {"lake": {"impl": "some.Class", "warehouse": "/w"}}
     with pytest.raises(ValueError, match="NAME.KEY=VALUE"):
         flow.parse_catalogs(["lake"])
+
+
+def test_what_did_not_arrive_is_told_and_kept(spark, layout, tmp_path):
+    folder = tmp_path / "landing"
+    land(folder, "articles", page(item(1), item(2), count=6), page(item(5), item(6), offset=4, count=6, last=True))
+    with open(folder / "endpoint=articles" / "pages.json", "a") as f:
+        f.write("\n" + json.dumps(page(item(3), item(4), offset=2, count=6))[:-20])
+    for _ in range(2):
+        done = run(spark, layout, "ingest,silver", ingestion_date="2024-04-01")
+        assert done["arrival"] == {"broken_pages": 1, "partly_read": 0, "missing": 2, "repeated": 0, "beyond": 0}
+    assert bronze.read_bronze(spark, layout.bronze, "2024-04-01").count() == 4
+    assert rows(spark.read.parquet(f"{layout.quarantine}_pages/ingestion_date=2024-04-01"), "endpoint", "reason") == [("articles", "unreadable")]
+    assert rows(spark.read.parquet(f"{layout.quarantine}_gaps/ingestion_date=2024-04-01")) == [("articles", "missing", 2, 4)]
+    run(spark, layout, "ingest", ingestion_date="2024-04-01", load="second")
+    assert bronze.read_bronze(spark, layout.bronze, "2024-04-01").count() == 8

@@ -138,3 +138,70 @@ def test_bad_run_date(spark, tmp_path):
 
 def test_item_schema_is_declared():
     assert [f.name for f in ITEM.fields][:3] == ["id", "title", "url"]
+
+
+def test_broken_pages_are_told_and_whole_ones_kept(spark, tmp_path):
+    whole, cut = json.dumps(page(item(1), item(2))), json.dumps(page(item(3), item(4), offset=2))[:-30]
+    mistyped = json.dumps(page({**item(5), "featured": "perhaps"}, item(6), offset=4))
+    error = json.dumps({"detail": "too many requests"})
+    target = tmp_path / "endpoint=articles"
+    target.mkdir()
+    (target / "pages.json").write_text("\n".join([whole, cut, mistyped, error]))
+    land(tmp_path, "info", {"version": "4.1.0", "news_sites": ["A"]})
+    envelopes = landed.read_envelopes(spark, str(tmp_path))
+    assert rows(landed.items_of(envelopes), "id", "featured") == [(1, None), (2, None), (5, None), (6, None)]
+    told = {r["reason"]: r["page"] for r in landed.broken_pages(envelopes).collect()}
+    assert set(told) == {"unreadable", "partly read", "no results"} and told["unreadable"] == cut
+
+
+def test_a_whole_file_that_is_cut_off_is_told(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(page(item(1)), indent=1))
+    (tmp_path / "b.json").write_text(json.dumps(page(item(2)), indent=1)[:-8])
+    envelopes = landed.read_envelopes(spark, str(tmp_path), multi_line=True)
+    assert rows(landed.broken_pages(envelopes), "reason") == [("unreadable",)]
+    assert landed.read_pages(spark, str(tmp_path), "article", multi_line=True).count() == 1
+
+
+def test_chain_gaps_of_a_listing_that_moved(spark, tmp_path):
+    pages = [page(item(1), item(2)), page(item(2), item(3), offset=1), page(item(9), offset=8), page(item(11), offset=10, last=True)]
+    land(tmp_path, "articles", *pages)
+    land(tmp_path, "blogs", page(item(1), item(2), count=2, last=True))
+    gaps = landed.chain_gaps(landed.read_envelopes(spark, str(tmp_path)))
+    assert rows(gaps) == [
+        ("articles", "beyond", 10, 11), ("articles", "missing", 3, 8), ("articles", "missing", 9, 10), ("articles", "repeated", 1, 2),
+    ]
+
+
+def test_a_named_load_run_again_replaces_itself(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    items = spark.createDataFrame([(i, ("article", "blog", None)[i % 3]) for i in range(9)], "id long, content_type string")
+    record = spark.createDataFrame([("4.1.0", ["A"])], "version string, news_sites array<string>")
+    for _ in range(2):
+        bronze.write_bronze(items, None, path, "2024-05-01", load="morning")
+        bronze.write_bronze(None, landed.info_item(record), path, "2024-05-01", load="morning")
+    bronze.write_bronze(items.filter("id < 2"), None, path, "2024-05-01", load="evening")
+    bronze.write_bronze(items, None, path, "2024-05-02", load="morning")
+    assert bronze.read_bronze(spark, path, "2024-05-01").count() == 9 + 1 + 2
+    bronze.write_bronze(items.filter("id = 0"), None, path, "2024-05-01", load="morning")
+    kept = bronze.read_bronze(spark, path, "2024-05-01")
+    assert rows(kept, "content_type", "id") == [("article", 0), ("article", 0), ("blog", 1), ("info", 0)]
+    bronze.write_bronze(items.limit(0), None, path, "2024-05-01", load="evening")
+    assert bronze.read_bronze(spark, path, "2024-05-01").count() == 2 and bronze.read_bronze(spark, path).count() == 2 + 9
+    with pytest.raises(ValueError):
+        bronze.write_bronze(items, None, path, "2024-05-01", load="a/b")
+
+
+def test_days_stored_without_loads_are_still_read(spark, tmp_path):
+    path = str(tmp_path / "bronze")
+    old = spark.createDataFrame([(1, "article")], "id long, content_type string")
+    shaped = bronze.conform(bronze.with_date_parts(old, ("2024", "05", "01")), BRONZE_CONTENT)
+    bronze.append_partitioned(shaped, path)
+    bronze.write_bronze(old, None, path, "2024-05-01")
+    bronze.write_bronze(old, None, path, "2024-05-02", load="x")
+    assert bronze.read_bronze(spark, path, "2024-05-01").count() == 2
+    assert bronze.read_bronze(spark, path, content_type="article").count() == 3
+
+
+def test_inspect_in_order(spark):
+    df = spark.range(200).repartition(7)
+    assert [r["id"] for r in bronze.inspect(df, n=3, order_by=("id",))[2].collect()] == [0, 1, 2]
