@@ -17,8 +17,9 @@ of the tree is a context of one to ``depth`` preceding symbols:
 Counts and look-ups share one exchange for each length. Texts are kept as blocks of at most
 ``BLOCK_TOKENS`` tokens, as codes of the block's own dictionary. A block sends its different (context,
 successor) pairs with their counts to buckets dealt by a hash of both, so that no context, however
-common, is one group; a bucket adds the counts up and answers each block. The vocabulary is counted
-and looked up in the same way, as tables joined by word.
+common, is one group; a bucket adds the counts up and answers each block, in the order asked. Words
+are counted and numbered in the same way, by exchange of the dictionaries. What is sent is packed:
+one row for a block and a bucket.
 
 * null text counts as empty: the end symbol alone
 * a null doc_id counts as an empty id where training texts are told from held-out ones
@@ -30,6 +31,7 @@ and looked up in the same way, as tables joined by word.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -38,32 +40,46 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from galley.llm.common import Stage, groups, id_and_text, map_batches, splittable, utf8
+from galley.llm.common import Stage, groups, id_and_text, map_batches, utf8
 from galley.llm.rolling import U, mix
 
 P_MIN, LEAST_COUNT, LEAST_GAIN, DEPTH = 2e-6, 4, 0.01, 3
-BLOCK_TOKENS = 1 << 20
+BLOCK_TOKENS = 1 << 18
 BUCKET_PAIRS = 1 << 20
 _STRETCH = 1 << 22  # bytes of a text that are split into words at once
-_END = b" "  # no word is a blank
+_END = b""  # no word is empty
 _SPACE = re.compile(rb"[\x09-\x0D ]")
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    data = b"".join(c.tobytes() for c in columns)
+def _compressed(data: bytes) -> bytes:
     return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
 
 
+def _plain(packed: bytes) -> bytes:
+    return pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), codec="zstd", asbytes=True)
+
+
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of one length, byte by byte: first bytes of all values, second bytes, and so on."""
+    return _compressed(b"".join(c.view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns))
+
+
 def _unpacked(packed: bytes, *kinds: str) -> list[np.ndarray]:
-    size = int.from_bytes(packed[:8], "little")
-    data = pa.decompress(packed[8:], size, codec="zstd", asbytes=True)
-    n, at, out = size // sum(np.dtype(k).itemsize for k in kinds), 0, []
+    data = _plain(packed)
+    n, at, out = len(data) // sum(np.dtype(k).itemsize for k in kinds), 0, []
     for kind in kinds:
-        out.append(np.frombuffer(data, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+        size = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * size
     return out
 
 
+def _steps(values: np.ndarray) -> np.ndarray:
+    """Differences of a rising column, which take less space; ``np.cumsum`` undoes them."""
+    return np.diff(values, prepend=values.dtype.type(0))
+
+
 # 1. Texts as blocks.
 
 
@@ -78,6 +94,10 @@ def _words(data: bytes) -> Iterator[list[bytes]]:
     yield data[at:].lower().split()
 
 
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+
+
 class _Writer:
     """Puts texts into blocks of one task."""
 
@@ -101,8 +121,8 @@ class _Writer:
                 part = run[at : at + max(self.size - self.scored, 1)]
                 at += len(part)
                 whole, known = before + part, self.known
-                for word in set(whole):
-                    known.setdefault(word, len(known))
+                for word in set(whole).difference(known):
+                    known[word] = len(known)
                 self.parts.append((key, doc_id, held, self.length, len(before)))
                 self.codes.append(np.fromiter(map(known.__getitem__, whole), np.uint32, len(whole)))
                 self.length += len(whole)
@@ -114,10 +134,21 @@ class _Writer:
     def flush(self) -> pa.RecordBatch:
         keys, ids, held, begins, skips = zip(*self.parts)
         self.blocks += 1
+        # The dictionary in the order of the words' hashes: a bucket is a range of hashes, and so of codes.
+        words = list(self.known)
+        order = np.argsort(_hashes(words), kind="stable")
+        code = np.empty(len(words), np.uint32)
+        code[order] = np.arange(len(words), dtype=np.uint32)
+        codes = code[np.concatenate(self.codes)]
+        lengths = np.diff([*begins, len(codes)])
+        at = np.arange(len(codes)) - np.repeat(begins, lengths)
+        use = (at >= np.repeat(skips, lengths)) & ~np.repeat(held, lengths)
         columns = {
             "block": pa.array([(self.task << 33) + self.blocks], pa.int64()),
-            "words": pa.array([list(self.known)], pa.list_(pa.binary())),
-            "codes": pa.array([np.concatenate(self.codes).astype("<u4").tobytes()], pa.binary()),
+            "size": pa.array([self.scored], pa.int64()),
+            "words": pa.array([_compressed(b" ".join([words[i] for i in order.tolist()]))], pa.binary()),
+            "n": pa.array([_packed(np.bincount(codes[use], minlength=len(words)).astype("<i8"))], pa.binary()),
+            "codes": pa.array([_packed(codes.astype("<u4"))], pa.binary()),
             "begins": pa.array([begins], pa.list_(pa.int32())),
             "skips": pa.array([skips], pa.list_(pa.int32())),
             "keys": pa.array([keys], pa.list_(pa.int64())),
@@ -137,6 +168,7 @@ def _ended(runs: Iterator[list[bytes]]) -> Iterator[list[bytes]]:
     yield last + [_END]
 
 
+_TEXT_COLUMNS = ("begins", "skips", "keys", "doc_ids", "held")
 _TEXTS = "begins array<int>, skips array<int>, keys array<long>, doc_ids array<long>, held array<boolean>"
 
 
@@ -149,7 +181,7 @@ def _blocks(docs: DataFrame, depth: int, size: int) -> DataFrame:
         if writer.parts:
             yield writer.flush()
 
-    return map_batches(docs, run, f"block long, words array<binary>, codes binary, {_TEXTS}")
+    return map_batches(docs, run, f"block long, size long, words binary, n binary, codes binary, {_TEXTS}")
 
 
 # 2. The tree, as far as it is known, and what a block makes of it.
@@ -182,8 +214,10 @@ class Tree:
 
     def longer(self, shorter: np.ndarray, first: np.ndarray, length: int) -> np.ndarray:
         """Numbers of the contexts of ``length`` from the numbers of their two parts; -1 for none."""
-        known = (shorter >= 0) & (first >= 0)
-        return np.where(known, _found(shorter * len(self.words) + first, self.keys[length - 2]), -1)
+        out = np.full(len(shorter), -1, np.int64)
+        at = np.flatnonzero((shorter >= 0) & (first >= 0))
+        out[at] = _found(shorter[at] * len(self.words) + first[at], self.keys[length - 2])
+        return out
 
     def spelled(self, context: np.ndarray, length: int) -> list[np.ndarray]:
         """The words of contexts, first word first, as numbers of contexts of one word."""
@@ -210,14 +244,16 @@ class _Block:
 
     def __init__(self, row: dict, tree: Tree):
         self.tree = tree
-        self.codes = np.frombuffer(row["codes"], "<u4").astype(np.int64)
+        self.codes = _unpacked(row["codes"], "<u4")[0].astype(np.int64)
         begins, skips = np.array(row["begins"], np.int64), np.array(row["skips"], np.int64)
         lengths = np.diff(np.append(begins, len(self.codes)))
         self.part = np.repeat(np.arange(len(begins)), lengths)
         self.offset = np.arange(len(self.codes)) - begins[self.part]
         self.scored = self.offset >= skips[self.part]
         self.training = ~np.array(row["held"], bool)[self.part]
-        self.ids, self.counts = _unpacked(row["known"], "<i8", "<i8")
+        known = [_unpacked(a["data"], "<i8", "<i8") for a in row["known"]]
+        self.ids = np.concatenate([np.cumsum(steps) for steps, _ in known])
+        self.counts = np.concatenate([count for _, count in known])
         self.answers = row.get("answers") or []
 
     def states(self) -> Iterator[np.ndarray]:
@@ -238,10 +274,16 @@ class _Block:
 
     def pairs(self, state: np.ndarray) -> tuple[np.ndarray, ...]:
         """The tokens whose (context, successor) is known, the different pairs, a token of each, and each token's pair."""
-        at = np.flatnonzero(self.scored & (state >= 0) & (self.ids[self.codes] >= 0))
+        at = np.flatnonzero(self.scored & (state >= 0) & (self.counts > 0)[self.codes])
         size = len(self.ids)
-        both, first, pair = np.unique(state[at] * size + self.codes[at], return_index=True, return_inverse=True)
-        return at, both // size, both % size, at[first], pair
+        both = state[at] * size + self.codes[at]
+        order = np.argsort(both)
+        new = np.ones(len(at), bool)
+        new[1:] = both[order[1:]] != both[order[:-1]]
+        pair = np.empty(len(at), np.int64)
+        pair[order] = np.cumsum(new) - 1
+        one = order[new]
+        return at, both[one] // size, both[one] % size, at[one], pair
 
     def walk(self) -> Iterator[tuple[np.ndarray, np.ndarray, tuple[np.ndarray, ...]]]:
         """For each length: probability of every token in shorter states, its context, and the pairs.
@@ -260,7 +302,6 @@ class _Block:
                 inside = np.flatnonzero((state >= 0) & tree.kept[n][state])
                 s = state[inside]
                 share = tree.successors[n][s]
-                self.probability = self.probability.copy()
                 self.probability[inside] = (count[inside] + share * self.probability[inside]) / (tree.total[n][s] + share)
 
     def _answered(self, n: int, context: np.ndarray, successor: np.ndarray) -> np.ndarray:
@@ -270,7 +311,7 @@ class _Block:
         if answers:
             bucket = _bucket(context, successor, answers[0]["buckets"])
             order = np.argsort(bucket, kind="stable")
-            out[order] = np.concatenate([_unpacked(a["counts"], "<i8")[0] for a in answers])
+            out[order] = np.concatenate([_unpacked(a["data"], "<i8")[0] for a in answers])
         return out
 
 
@@ -278,15 +319,112 @@ def _bucket(context: np.ndarray, successor: np.ndarray, buckets: int) -> np.ndar
     return (mix(mix(context.astype(U) + U(1)) + successor.astype(U)) % U(buckets)).astype(np.int64)
 
 
-def _with_answers(known: DataFrame, answers: list[DataFrame]) -> DataFrame:
-    out = known
+def _with_answers(blocks: DataFrame, answers: list[DataFrame]) -> DataFrame:
+    """The blocks with all that they have been answered so far."""
+    out = blocks
     for n, table in enumerate(answers):
         out = out.join(table.withColumnRenamed("answers", f"answers_{n}"), "block", "left")
-    columns = [F.col(f"answers_{n}") for n in range(len(answers))]
-    return out.select(*known.columns, F.array(*columns).alias("answers")) if answers else out
+    return out.select(*blocks.columns, F.array(*[f"answers_{n}" for n in range(len(answers))]).alias("answers")) if answers else out
+
+
+def _answers(counted: DataFrame, buckets: int) -> DataFrame:
+    """``block, answers``: what all buckets sent back to a block, in their order."""
+    answer = F.struct("bucket", F.lit(buckets).alias("buckets"), "data")
+    return counted.filter("kind = 'answer'").groupBy("block").agg(F.sort_array(F.collect_list(answer)).alias("answers"))
+
+
+_COUNTED = "kind string, bucket int, block long, data binary"
 
 
-# 3. One length: pairs to buckets, counts back to blocks.
+def _sent(kinds: list[str], bucket: int, blocks: list[int | None], data: list[bytes]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(kinds), pa.array([bucket] * len(data), pa.int32()), pa.array(blocks, pa.int64()), pa.array(data, pa.binary())],
+        ["kind", "bucket", "block", "data"],
+    )
+
+
+def _at_buckets(asked: DataFrame, buckets: int) -> DataFrame:
+    return asked.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
+
+
+# 3. Words: dictionaries to buckets, numbers and counts back.
+
+
+def _asked_words(blocks: DataFrame, buckets: int) -> DataFrame:
+    """``bucket, block, words, n``: the part of each block's dictionary that falls to a bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in (r for batch in batches for r in batch.to_pylist()):
+            words = _plain(row["words"]).split(b" ")
+            (n,) = _unpacked(row["n"], "<i8")
+            bucket = (_hashes(words).astype(U) * U(buckets)) >> U(32)
+            numbers, starts = np.unique(bucket, return_index=True)
+            ends = [*starts[1:].tolist(), len(words)]
+            parts = list(zip(starts.tolist(), ends))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(numbers.astype(np.int32)), pa.array([row["block"]] * len(parts), pa.int64()),
+                 pa.array([_compressed(b" ".join(words[a:b])) for a, b in parts], pa.binary()),
+                 pa.array([_packed(n[a:b]) for a, b in parts], pa.binary())],
+                ["bucket", "block", "words", "n"],
+            )
+
+    return map_batches(blocks.select("block", "words", "n"), run, "bucket int, block long, words binary, n binary")
+
+
+def _counted_words(asked: DataFrame, buckets: int) -> DataFrame:
+    """Answers hold number and count of each word (0 if not seen in training), numbers rising with the words'
+    hashes as in the dictionaries; ``words`` rows hold those of a bucket, an ``end`` row the number of the end symbol."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in groups(batches, ("bucket",)):
+            bucket = group.column("bucket")[0].as_py()
+            parts = [_plain(p).split(b" ") for p in group.column("words").to_pylist()]
+            # A block lists words of one hash in the order it met them: those are too few to matter for the space.
+            known = sorted(set().union(*parts), key=zlib.crc32)
+            known = dict(zip(known, range(len(known))))
+            codes = [np.fromiter([known[w] for w in words], np.int64, len(words)) for words in parts]
+            total = np.zeros(len(known), np.int64)
+            for code, packed in zip(codes, group.column("n").to_pylist()):
+                total[code] += _unpacked(packed, "<i8")[0]  # a block names a word once
+            ids = (bucket << 32) + np.arange(len(known))
+            data = [_packed(_steps(ids[c]), total[c]) for c in codes]
+            seen = total > 0
+            kinds, blocks = ["answer"] * len(data), group.column("block").to_pylist()
+            kinds.append("words")
+            data.append(_packed(ids[seen], total[seen]))
+            if _END in known:
+                kinds.append("end")
+                data.append(_packed(ids[known[_END] : known[_END] + 1]))
+            yield _sent(kinds, bucket, blocks + [None] * (len(kinds) - len(blocks)), data)
+
+    return map_batches(_at_buckets(asked, buckets), run, _COUNTED)
+
+
+def _totals(counted: DataFrame) -> tuple[int, int]:
+    """Training tokens and different words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = [_unpacked(p, "<i8", "<i8")[1] for batch in batches for p in batch.column(0).to_pylist()]
+        yield pa.RecordBatch.from_pydict({"tokens": pa.array([sum(int(c.sum()) for c in counts)]), "kinds": pa.array([sum(map(len, counts))])})
+
+    rows = map_batches(counted.filter("kind = 'words'").select("data"), run, "tokens long, kinds long")
+    row = rows.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"), F.coalesce(F.sum("kinds"), F.lit(0)).alias("kinds")).first()
+    return row["tokens"], row["kinds"]
+
+
+def _common(counted: DataFrame, least: int) -> np.ndarray:
+    """Sorted numbers of the words that occur often enough: 1 / ``p_min`` at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column(0).to_pylist():
+                ids, count = _unpacked(packed, "<i8", "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(ids[count >= least])], ["id"])
+
+    return np.sort(map_batches(counted.filter("kind = 'words'").select("data"), run, "id long").toArrow().column("id").to_numpy())
+
+
+# 4. One length: pairs to buckets, counts back to blocks.
 
 
 def _asked(blocks: DataFrame, tree: Tree, length: int, buckets: int) -> DataFrame:
@@ -300,11 +438,13 @@ def _asked(blocks: DataFrame, tree: Tree, length: int, buckets: int) -> DataFram
                     break
             successor = block.ids[code]
             n = np.bincount(pair[block.training[at]], minlength=len(context))
+            # What the shorter state gives the successor; at the root its count, which takes less space, tells it.
+            shorter = block.counts[code] if length == 1 else probability[first]
             bucket = _bucket(context, successor, buckets)
             order = np.argsort(bucket, kind="stable")
             numbers, starts = np.unique(bucket[order], return_index=True)
             out = [
-                _packed(context[o].astype("<i4"), successor[o].astype("<i8"), n[o].astype("<i8"), probability[first[o]].astype("<f8"))
+                _packed(_steps(context[o].astype("<i4")), successor[o].astype("<i8"), n[o].astype("<i8"), shorter[o].astype("<f4"))
                 for o in np.split(order, starts[1:])
             ] if len(order) else []
             yield pa.RecordBatch.from_arrays(
@@ -315,13 +455,16 @@ def _asked(blocks: DataFrame, tree: Tree, length: int, buckets: int) -> DataFram
     return map_batches(blocks, run, "bucket int, block long, pairs binary")
 
 
-def _counted(asked: DataFrame, buckets: int) -> DataFrame:
-    """``bucket, block, data``: the counts each block asked for, and without a block the bucket's pairs seen in training."""
+def _counted(asked: DataFrame, buckets: int, least: int) -> DataFrame:
+    """Answers hold the count of each pair asked for. Of the pairs seen in training, ``pairs`` rows hold context,
+    count and what the shorter state gives the successor, and ``frequent`` rows context and successor of those that
+    occur ``least`` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, ("bucket",)):
-            parts = [_unpacked(p, "<i4", "<i8", "<i8", "<f8") for p in group.column("pairs").to_pylist()]
-            context, successor, n, probability = (np.concatenate(c) for c in zip(*parts))
+            parts = [_unpacked(p, "<i4", "<i8", "<i8", "<f4") for p in group.column("pairs").to_pylist()]
+            context = np.concatenate([np.cumsum(p[0], dtype=np.int32) for p in parts])
+            successor, n, shorter = (np.concatenate([p[i] for p in parts]) for i in (1, 2, 3))
             order = np.lexsort((successor, context))
             new = np.ones(len(order), bool)
             new[1:] = (context[order[1:]] != context[order[:-1]]) | (successor[order[1:]] != successor[order[:-1]])
@@ -330,17 +473,14 @@ def _counted(asked: DataFrame, buckets: int) -> DataFrame:
             back = np.empty(len(order), np.int64)
             back[order] = total[np.cumsum(new) - 1]
             cuts = np.cumsum([len(p[0]) for p in parts])[:-1]
-            data = [_packed(c.astype("<i8")) for c in np.split(back, cuts)]
-            one = order[starts][total > 0]
-            data.append(_packed(context[one], successor[one], total[total > 0].astype("<i8"), probability[one]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([group.column("bucket")[0].as_py()] * len(data), pa.int32()),
-                 pa.array([*group.column("block").to_pylist(), None], pa.int64()), pa.array(data, pa.binary())],
-                ["bucket", "block", "data"],
-            )
+            data = [_packed(c) for c in np.split(back, cuts)]
+            seen, often = total > 0, total >= least
+            one, many = order[starts][seen], order[starts][often]
+            data += [_packed(_steps(context[one]), total[seen], shorter[one]), _packed(context[many], successor[many])]
+            blocks = group.column("block").to_pylist()
+            yield _sent(["answer"] * len(blocks) + ["pairs", "frequent"], group.column("bucket")[0].as_py(), [*blocks, None, None], data)
 
-    dealt = asked.repartitionById(buckets, "bucket").sortWithinPartitions("bucket")
-    return map_batches(dealt, run, "bucket int, block long, data binary")
+    return map_batches(_at_buckets(asked, buckets), run, _COUNTED)
 
 
 def _by_context(pairs: DataFrame, size: int, measure, names: tuple[str, ...]) -> list[np.ndarray]:
@@ -350,8 +490,9 @@ def _by_context(pairs: DataFrame, size: int, measure, names: tuple[str, ...]) ->
         sums = np.zeros((len(names), size))
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                context, _, count, probability = _unpacked(packed, "<i4", "<i8", "<i8", "<f8")
-                for row, values in zip(sums, measure(context, count, probability)):
+                steps, count, shorter = _unpacked(packed, "<i4", "<i8", "<f4")
+                context = np.cumsum(steps)
+                for row, values in zip(sums, measure(context, count, shorter.astype(float))):
                     row += np.bincount(context, weights=values, minlength=size)
         at = np.flatnonzero(sums.any(axis=0))
         yield pa.RecordBatch.from_arrays([pa.array(at), *[pa.array(s[at]) for s in sums]], ["context", *names])
@@ -364,17 +505,16 @@ def _by_context(pairs: DataFrame, size: int, measure, names: tuple[str, ...]) ->
     return list(out)
 
 
-def _frequent(pairs: DataFrame, least: int) -> tuple[np.ndarray, np.ndarray]:
+def _frequent(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Contexts and successors of the pairs that occur often enough: 1 / ``p_min`` at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for packed in batch.column(0).to_pylist():
-                context, successor, count, _ = _unpacked(packed, "<i4", "<i8", "<i8", "<f8")
-                at = count >= least
-                yield pa.RecordBatch.from_arrays([pa.array(context[at].astype(np.int64)), pa.array(successor[at])], ["context", "successor"])
+                context, successor = _unpacked(packed, "<i4", "<i8")
+                yield pa.RecordBatch.from_arrays([pa.array(context.astype(np.int64)), pa.array(successor)], ["context", "successor"])
 
-    found = map_batches(pairs.select("data"), run, "context long, successor long").toArrow()
+    found = map_batches(counted.filter("kind = 'frequent'").select("data"), run, "context long, successor long").toArrow()
     return found.column("context").to_numpy(), found.column("successor").to_numpy()
 
 
@@ -383,7 +523,8 @@ def _test(tree: Tree, pairs: DataFrame, length: int, least_gain: float) -> None:
     size = tree.size(length)
     total, successors = _by_context(pairs, size, lambda c, n, p: (n.astype(float), np.ones(len(n))), ("total", "kinds"))
 
-    def left_out(context: np.ndarray, n: np.ndarray, p: np.ndarray) -> list[np.ndarray]:
+    def left_out(context: np.ndarray, n: np.ndarray, shorter: np.ndarray) -> list[np.ndarray]:
+        p = (shorter + 1) / (tree.tokens + tree.kinds + 1) if length == 1 else shorter
         share = successors[context]
         estimate = (n - 1 + share * p) / (total[context] - 1 + share)
         return [n * np.log(estimate / p)]
@@ -394,40 +535,7 @@ def _test(tree: Tree, pairs: DataFrame, length: int, least_gain: float) -> None:
     tree.kept.append((total > 0) & (gain >= least_gain * total))
 
 
-# 4. All of it.
-
-
-def _vocabulary(blocks: DataFrame) -> DataFrame:
-    """``word, n, id`` of all training tokens."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, row in enumerate(batch.drop_columns(["words"]).to_pylist()):
-                codes = np.frombuffer(row["codes"], "<u4")
-                begins, skips = np.array(row["begins"]), np.array(row["skips"])
-                lengths = np.diff(np.append(begins, len(codes)))
-                use = (np.arange(len(codes)) >= np.repeat(begins + skips, lengths)) & np.repeat(~np.array(row["held"], bool), lengths)
-                words = batch.column(0)[i].values
-                n = np.bincount(codes[use], minlength=len(words))
-                seen = pa.array(np.flatnonzero(n))
-                yield pa.RecordBatch.from_arrays([words.take(seen), pa.array(n[n > 0])], ["word", "n"])
-
-    counted = map_batches(blocks.select("words", "codes", "begins", "skips", "held"), run, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id())
-
-
-def _looked_up(blocks: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """``block, known``: number and count of each word of a block's dictionary, -1 and 0 for words not seen in training."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ("block",)):
-            known = _packed(*(group.column(c).to_numpy().astype("<i8") for c in ("id", "n")))
-            yield pa.RecordBatch.from_arrays([group.column("block").combine_chunks()[:1], pa.array([known], pa.binary())], ["block", "known"])
-
-    asked = blocks.select("block", F.posexplode("words").alias("code", "word"))
-    found = asked.join(splittable(vocabulary), "word", "left")
-    found = found.select("block", "code", F.coalesce("id", F.lit(-1)).alias("id"), F.coalesce("n", F.lit(0)).alias("n"))
-    return map_batches(found.repartition("block").sortWithinPartitions("block", "code"), run, "block long, known binary")
+# 5. All of it.
 
 
 def _scored(blocks: DataFrame, tree: Tree) -> DataFrame:
@@ -473,37 +581,30 @@ def score(
     fold = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(folds))
     texts = id_and_text(docs).withColumn("held", fold == held_out)
     blocks = stage.save(_blocks(texts, depth, block_tokens), "blocks")
-    vocabulary = stage.save(_vocabulary(blocks), "vocabulary")
-    size = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("kinds")).first()
-    known = blocks.drop("words").join(_looked_up(blocks, vocabulary), "block")
+    # No block asks for more different words or pairs than it has tokens.
+    buckets = 1 + (blocks.agg(F.sum("size")).first()[0] or 0) // bucket_pairs
+
+    counted = stage.save(_counted_words(_asked_words(blocks, buckets), buckets), "counted-0")
+    tokens, kinds = _totals(counted)
+    least = max(least_count, int(np.ceil(p_min * tokens)))
+    end = [_unpacked(r["data"], "<i8")[0][0] for r in counted.filter("kind = 'end'").collect()]  # one row
+    tree = Tree(tokens, kinds, int(end[0]) if end else -1, _common(counted, least))
+    known = blocks.select("block", "codes", *_TEXT_COLUMNS).join(_answers(counted, buckets).withColumnRenamed("answers", "known"), "block")
     known = stage.save(known, "known")
-    stage.free("blocks")
-
-    least = max(least_count, int(np.ceil(p_min * size["tokens"])))
-    # 1 / p_min rows at most.
-    common = vocabulary.filter(F.col("n") >= least).select("id", (F.col("word") == F.lit(_END)).alias("end")).toArrow()
-    ids = np.sort(common.column("id").to_numpy())
-    ends = common.filter(common.column("end")).column("id").to_pylist()
-    tree = Tree(size["tokens"], size["kinds"], ends[0] if ends else -1, ids)
-    stage.free("vocabulary")
-
-    # No block holds more different pairs than tokens.
-    buckets = max(1, size["tokens"] // bucket_pairs)
+    stage.free("blocks", "counted-0")
+
     answers: list[DataFrame] = []
     for length in range(1, depth + 1):
         if not tree.size(length):
             break
         asked = _asked(_with_answers(known, answers), tree, length, buckets)
-        counted = stage.save(_counted(asked, buckets), f"counted-{length}")
-        pairs = counted.filter("block is null")
-        _test(tree, pairs, length, least_gain)
+        counted = stage.save(_counted(asked, buckets, least), f"counted-{length}")
+        _test(tree, counted.filter("kind = 'pairs'"), length, least_gain)
         if length < depth:
-            context, successor = _frequent(pairs, least)
+            context, successor = _frequent(counted)
             inner = successor != tree.end
             tree.grow(context[inner], successor[inner], length)
-        answer = F.struct("bucket", F.lit(buckets).alias("buckets"), F.col("data").alias("counts"))
-        back = counted.filter("block is not null").groupBy("block").agg(F.sort_array(F.collect_list(answer)).alias("answers"))
-        answers.append(stage.save(back, f"answers-{length}"))
+        answers.append(stage.save(_answers(counted, buckets), f"answers-{length}"))
         stage.free(f"counted-{length}")
 
     parts = _scored(_with_answers(known, answers), tree)
@@ -516,5 +617,5 @@ def score(
     )
     stage.free("known", *[f"answers-{n}" for n in range(1, len(answers) + 1)])
     return whole.select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(size["tokens"]).cast("long").alias("train_tokens"), "base_score", "score"
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )

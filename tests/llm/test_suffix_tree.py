@@ -4,6 +4,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from galley.llm import suffix_tree
@@ -55,6 +56,7 @@ def brute(docs, folds=7, held_out=2, depth=3, p_min=2e-6, least_count=4, least_g
                 total, share, gain = sum(after.values()), len(after), 0.0
                 for symbol, count in after.items():
                     p = probability(symbol, context[1:])
+                    p = p if n == 1 else float(np.float32(p))
                     gain += count * math.log((count - 1 + share * p) / (total - 1 + share) / p)
                 if gain >= least_gain * total:
                     passed[context] = (total, share)
