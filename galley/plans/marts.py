@@ -18,7 +18,9 @@ DAY = ("year", "month", "day")
 
 
 def _count(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    return df.groupBy(*by).agg(F.count("*").alias("article_count"))
+    """Rows by group; of changes (with a column ``change``) what the counts gain or lose."""
+    n = F.sum("change") if "change" in df.columns else F.count("*")
+    return df.groupBy(*by).agg(n.alias("article_count"))
 
 
 def by_month(fact: DataFrame) -> DataFrame:

@@ -7,6 +7,9 @@ Two dates are kept apart. ``ingestion_date`` selects what was loaded on a day;
 from __future__ import annotations
 
 import argparse
+import json
+import uuid
+from contextlib import ExitStack
 from dataclasses import dataclass
 from functools import reduce
 
@@ -248,13 +251,35 @@ def facts_phase(
     facts = star.build_fact(content, sources)
     # A run over everything repeats nearly all stored facts; leave those where they are.
     full = published_date is None and not incremental
-    return store(facts, layout, "fact_article", skip_unchanged=full, check_unique=False)
+    options = {"skip_unchanged": full, "check_unique": False}
+    if not is_path(layout.table("fact_article")):
+        return store(facts, layout, "fact_article", **options)
+    # Until the stored aggregates have followed, a note says for which months they are behind.
+    begun = f"{_note(layout)}all"
+    if not files.exists(spark, begun):
+        files.write_text(spark, begun, "")
+    done = store(facts, layout, "fact_article", **options, count_by=_COUNTED_BY)
+    if done.partitions is not None:
+        files.write_text(spark, f"{_note(layout)}{uuid.uuid4().hex}", json.dumps(sorted({p[:2] for p in done.partitions})))
+        files.delete(spark, begun)
+    return done
+
+
+# What the stored aggregates count facts by.
+_COUNTED_BY = ("news_source_id", "content_type", *DATE_PARTS)
+
+
+def _note(layout: Layout) -> str:
+    """How the notes begin that say which months the stored aggregates are behind in."""
+    return f"{layout.gold.rstrip('/')}/_behind_"
 
 
 def aggregates_phase(spark: SparkSession, layout: Layout, facts: UpsertResult | None = None) -> None:
-    """Stored trend tables, counted from the stored star alone.
+    """Stored trend tables, kept up with the stored star.
 
-    ``facts``: what the fact upsert of this run touched; only those months are counted again.
+    ``facts``: what the fact upsert of this run did. Its changes are added to the stored counts of
+    the months touched. Where they are not known, or an earlier run has left months behind, those
+    months are counted again from the star, all of them without a note.
     """
     fact = stored(spark, layout, "fact_article")
     topics, sources = stored(spark, layout, "dim_topic"), stored(spark, layout, "dim_news_source")
@@ -265,16 +290,28 @@ def aggregates_phase(spark: SparkSession, layout: Layout, facts: UpsertResult |
         "agg_source_day": lambda f: marts.by_source_period(f, sources, marts.DAY),
         "agg_source_month": lambda f: marts.by_source_month(f, sources),
     }
-    months = None
-    if facts is not None and facts.partitions is not None:
-        months = sorted({p[:2] for p in facts.partitions})
+    notes = files.matching(spark, f"{_note(layout)}*") if is_path(layout.gold) else []
+    notes = [n for n in notes if not n.endswith(".draft")]
+    behind = [json.loads(files.read_text(spark, n)) for n in notes if not n.endswith("_all")]
+    months = sorted({tuple(m) for listed in behind for m in listed})
+    known = facts is not None and facts.partitions is not None and len(behind) == len(notes)
+    # One note alone is that of this run's own upsert: its changes tell everything.
+    by_changes = known and len(notes) == 1 and facts.changes is not None
     for name, build in tables.items():
         spec, where = TABLES[name], layout.table(name)
-        if months is None or not is_path(where) or not table_exists(spark, where):
+        if not known or not is_path(where) or not table_exists(spark, where):
             replace_table(conform(build(fact), spec.schema), where, spec.partition_cols)
         elif months:
-            touched = fact.filter(F.concat_ws("/", "year", "month").isin(["/".join(m) for m in months]))
-            replace_table(conform(build(touched), spec.schema), where, spec.partition_cols, months)
+            in_months = F.concat_ws("/", "year", "month").isin(["/".join(m) for m in months])
+            if by_changes:
+                changed = conform(build(facts.changes), spec.schema).unionByName(stored(spark, layout, name).filter(in_months))
+                summed = changed.groupBy(*[c for c in spec.schema.names if c != "article_count"]).agg(F.sum("article_count").alias("article_count"))
+                content = materialize(conform(summed.filter("article_count <> 0"), spec.schema), "aggregate")
+            else:
+                content = conform(build(fact.filter(in_months)), spec.schema)
+            replace_table(content, where, spec.partition_cols, months)
+    for n in notes:
+        files.delete(spark, n)
 
 
 def counts(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -337,9 +374,15 @@ def run(
         "facts": lambda: facts_phase(spark, layout, published_date, None if full_facts else ingestion_date),
         "aggregates": lambda: aggregates_phase(spark, layout, done.get("facts")),
     }
-    for phase in chosen:
-        with scratch_scope(spark):
-            done[phase] = steps[phase]()
+    with ExitStack() as kept:
+        for phase in chosen:
+            # The changes that the fact upsert tells are staged, and read by the aggregates.
+            if phase == "facts" and "aggregates" in chosen:
+                kept.enter_context(scratch_scope(spark))
+                done[phase] = steps[phase]()
+            else:
+                with scratch_scope(spark):
+                    done[phase] = steps[phase]()
     return done
 
 

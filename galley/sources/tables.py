@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F, types as T
 
 from galley.functions.literals import empty_rows
 from galley.operators.conform import conform
@@ -32,6 +32,8 @@ class UpsertResult:
     touched_partitions: int
     # Which ones, as folder names of each partition column; None where it is not known.
     partitions: tuple[tuple[str, ...], ...] | None = None
+    # How many rows each group gained or lost, if that was asked for and is known.
+    changes: DataFrame | None = None
 
 
 def is_path(table: str) -> bool:
@@ -71,6 +73,7 @@ def upsert(
     skip_unchanged: bool = False,
     schema: T.StructType | None = None,
     missing: str = "error",
+    count_by: Sequence[str] = (),
 ) -> UpsertResult:
     """Matched keys take the batch row, new keys are added, other rows stay; nothing is deleted.
 
@@ -86,6 +89,9 @@ def upsert(
     one; ``missing="keep"`` fills the gap from the stored row instead (NULL for a new key). A
     column the table lacks is added to a path table, older rows having NULL, and is an error
     for a catalog table.
+
+    ``count_by``: columns by which changed rows are counted: in ``changes`` of the result, which is
+    staged, a stored row that was replaced counts -1 and one that was written +1 (path tables only).
     """
     if missing not in ("error", "keep"):
         raise ValueError("missing is 'error' or 'keep'")
@@ -99,24 +105,37 @@ def upsert(
         staged = staged and set(fitted.columns) <= set(df.columns)
         df = fitted
     if not exists and not check_unique:
-        return _load(df, table, keys, partition_cols)
+        loaded = _load(df, table, keys, partition_cols)
+        if not (count_by and is_path(table)):
+            return loaded
+        return replace(loaded, changes=_counted([(read_table(spark, table, df.schema), 1)], count_by))
     scratch = scratch_path(spark, "upsert")
     try:
         batch = df if staged else materialize(df, path=f"{scratch}/batch")
         facts = _batch_facts(batch, keys, check_unique)
         batch = batch.filter(_usable(keys))
         touched: list | None = [] if is_path(table) and exists else None
+        changes = None
         if not exists:
-            _create(_clustered(batch, partition_cols), table, partition_cols)
+            _create(_clustered(batch, partition_cols, keys), table, partition_cols, keys)
+            if count_by and is_path(table):
+                changes = _counted([(batch, 1)], count_by)
         elif is_path(table):
             if facts["rows"] > facts["nulls"]:
-                touched = _upsert_path(batch, table, keys, partition_cols, newer_by, skip_unchanged, facts, scratch)
+                touched, changes = _upsert_path(batch, table, keys, partition_cols, newer_by, skip_unchanged, facts, scratch, count_by)
         else:
             _merge(batch, table, keys, newer_by)
     finally:
         files.delete(spark, scratch)
     places = None if touched is None else tuple(map(tuple, touched))
-    return UpsertResult(not exists, facts["rows"], facts["nulls"], len(touched or ()), places)
+    return UpsertResult(not exists, facts["rows"], facts["nulls"], len(touched or ()), places, changes)
+
+
+def _counted(images: list[tuple[DataFrame, int]], count_by: Sequence[str]) -> DataFrame:
+    """Rows gained (or lost) by group, staged: one row for each group that changed."""
+    signed = [df.select(*count_by, F.lit(sign).cast("long").alias("change")) for df, sign in images]
+    summed = reduce(DataFrame.unionAll, signed).groupBy(*count_by).agg(F.sum("change").alias("change"))
+    return materialize(summed.filter("change <> 0"), "changes")
 
 
 def _fitted(
@@ -162,10 +181,10 @@ def _load(df: DataFrame, table: str, keys: Sequence[str], partition_cols: Sequen
     when the stage turns out empty.
     """
     seen, usable = Observation(), _usable(keys)
-    counted = _clustered(df, partition_cols).observe(
+    counted = _clustered(df, partition_cols, keys).observe(
         seen, F.count("*").alias("rows"), F.count_if(~usable).alias("nulls")
     )
-    _create(counted.filter(usable), table, partition_cols)
+    _create(counted.filter(usable), table, partition_cols, keys)
     return UpsertResult(True, seen.get["rows"], seen.get["nulls"], 0)
 
 
@@ -198,45 +217,71 @@ def _batch_facts(batch: DataFrame, keys: Sequence[str], check_unique: bool) -> d
     return {"rows": row["rows"], "nulls": row["nulls"], "ranges": {k: row[f"range_{k}"] for k in ranged}}
 
 
-def _create(df: DataFrame, table: str, partition_cols: Sequence[str]) -> None:
+def _create(df: DataFrame, table: str, partition_cols: Sequence[str], keys: Sequence[str] = ()) -> None:
     if is_path(table):
-        df.write.partitionBy(*partition_cols).parquet(table)
+        _writer(df, partition_cols, keys).parquet(table)
     elif partition_cols:
         df.writeTo(table).partitionedBy(*map(F.col, partition_cols)).create()
     else:
         df.writeTo(table).create()
 
 
+def _writer(df: DataFrame, partition_cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrameWriter:
+    """A writer that keeps, beside the usual minimum and maximum, a Bloom filter of each key column by row group.
+
+    Filters are sized to what a row group holds; Parquet leaves them out where a dictionary tells the same.
+    """
+    out = df.write.partitionBy(*partition_cols)
+    for k in keys:
+        if k not in partition_cols:
+            out = out.option(f"parquet.bloom.filter.enabled#{k}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{k}", "true")
+    return out.option("parquet.bloom.filter.adaptive.enabled", "true")
+
+
 def replace_table(
     df: DataFrame, table: str, partition_cols: Sequence[str] = (), only: Sequence[Sequence[str]] | None = None
 ) -> None:
     """Store ``df`` as the whole content of a derived table; it must not be computed from it.
 
     ``only`` names partitions of an existing path table by their values: ``df`` is then the
-    content of those, and the others stay. The old content stays readable until the new one
-    has been written.
+    content of those, and the others stay. Partitions are replaced by Spark's own dynamic
+    overwrite when the write commits; those that hold nothing any more are removed after that.
     """
-    laid_out = _clustered(df, partition_cols)
-    if is_path(table) and not files.exists(df.sparkSession, table):
+    spark, laid_out = df.sparkSession, _clustered(df, partition_cols)
+    if not is_path(table):
+        out = laid_out.writeTo(table)
+        (out.partitionedBy(*map(F.col, partition_cols)) if partition_cols else out).createOrReplace()
+    elif not files.exists(spark, table):
         _create(laid_out, table, partition_cols)
-    elif is_path(table):
-        finish_pending(df.sparkSession, table)
-        laid_out.write.mode("overwrite").partitionBy(*partition_cols).parquet(_beside(table, "_prepared"))
-        folders = None if only is None else [files.partition_folder(df.sparkSession, partition_cols, v) for v in only]
-        _publish(df.sparkSession, table, partition_cols, folders)
-    elif partition_cols:
-        laid_out.writeTo(table).partitionedBy(*map(F.col, partition_cols)).createOrReplace()
+    elif not partition_cols:
+        laid_out.write.mode("overwrite").parquet(table)
     else:
-        laid_out.writeTo(table).createOrReplace()
+        finish_pending(spark, table)
+        if only is None:
+            before = set(files.folders_below(spark, table, len(partition_cols)))
+        else:
+            before = {files.partition_folder(spark, partition_cols, v) for v in only}
+        seen = Observation()
+        # Folder names only: few beside the rows.
+        filled = F.collect_set(F.struct(*[_folder_value(c).alias(c) for c in partition_cols])).alias("filled")
+        laid_out = laid_out.observe(seen, F.count("*").alias("rows"), filled)
+        laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(table)
+        after = {files.partition_folder(spark, partition_cols, list(v)) for v in seen.get["filled"]} if seen.get["rows"] else set()
+        for folder in before - after:
+            files.delete(spark, f"{table}/{folder}")
 
 
-def _clustered(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
-    """Bring each partition's rows together so few files are written.
+def _clustered(df: DataFrame, partition_cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """Bring each partition's rows together so few files are written, in the order of their keys.
 
     A rebalance, unlike a plain repartition, lets AQE cut a partition value that holds too
-    many rows into several tasks and join small ones into one.
+    many rows into several tasks and join small ones into one. Rows in key order give row
+    groups and pages narrow key ranges, so that a lookup of some keys skips most of them.
     """
-    return df.hint("rebalance", *partition_cols) if partition_cols else df
+    if partition_cols:
+        df = df.hint("rebalance", *partition_cols)
+    order = [*partition_cols, *[k for k in keys if k not in partition_cols]]
+    return df.sortWithinPartitions(*order) if keys else df
 
 
 def _merge(batch: DataFrame, table: str, keys: Sequence[str], newer_by: str | None) -> None:
@@ -260,7 +305,8 @@ def _upsert_path(
     skip_unchanged: bool,
     facts: dict,
     scratch: str,
-) -> list[list[str]]:
+    count_by: Sequence[str] = (),
+) -> tuple[list[list[str]], DataFrame | None]:
     """Rewrite only the partitions the batch lands in or takes rows out of.
 
     A row may move to another date, so the stored place of every batch key is looked up
@@ -268,22 +314,22 @@ def _upsert_path(
     part of the key a match cannot lie elsewhere, and only the batch's partitions are scanned.
     """
     spark = batch.sparkSession
+
+    def only_new() -> DataFrame | None:
+        return _counted([(batch, 1)], count_by) if count_by else None
+
     if partition_cols and not files.folders_below(spark, table, len(partition_cols)):
-        return _append(batch, table, partition_cols, _partitions(batch, partition_cols))
+        changes = only_new()
+        return _append(batch, table, partition_cols, keys, _partitions(batch, partition_cols)), changes
     stored = spark.read.schema(batch.schema).parquet(table)
-    in_key_range = reduce(
-        lambda a, b: a & b,
-        [F.col(k).between(F.lit(r["low"]), F.lit(r["high"])) for k, r in facts["ranges"].items() if r["low"] is not None],
-        F.lit(True),
-    )
-    lookup = stored.filter(in_key_range)
+    lookup = stored.filter(key_filter(batch, facts))
     at_home = F.lit(True)
     if partition_cols and (skip_unchanged or set(partition_cols) <= set(keys)):
         at_home = _in_partitions(partition_cols, _partitions(batch, partition_cols))
     if skip_unchanged:
         batch = materialize(_changed(batch, lookup.filter(at_home), keys), path=f"{scratch}/changed")
         if batch.isEmpty():
-            return []
+            return [], only_new()
     if set(partition_cols) <= set(keys):
         lookup = lookup.filter(at_home)
     batch_keys = batch.select(*keys)
@@ -302,30 +348,76 @@ def _upsert_path(
     if partition_cols:
         touched = _partitions(batch.select(*partition_cols).union(hits.select(*partition_cols)), partition_cols)
         if not touched:
-            return []
+            return [], only_new()
         if not any(files.exists(spark, f"{table}/{files.partition_folder(spark, partition_cols, v)}") for v in touched):
-            return _append(batch, table, partition_cols, touched)
+            changes = only_new()
+            return _append(batch, table, partition_cols, keys, touched), changes
         stored = stored.filter(_in_partitions(partition_cols, touched))
+    changes = None
+    if count_by:
+        changes = _counted([(stored.join(batch_keys, list(keys), "left_semi"), -1), (batch, 1)], count_by)
     merged = stored.join(batch_keys, list(keys), "left_anti").unionByName(batch)
     prepared = _beside(table, "_prepared")
-    _clustered(merged, partition_cols).write.mode("overwrite").partitionBy(*partition_cols).parquet(prepared)
+    _writer(_clustered(merged, partition_cols, keys), partition_cols, keys).mode("overwrite").parquet(prepared)
     _publish(spark, table, partition_cols, [files.partition_folder(spark, partition_cols, v) for v in touched] or [""])
-    return touched
+    return touched, changes
+
+
+# Up to so many keys are looked up one by one, by Bloom filter; more of them as ranges, so many at most.
+_POINTS, _RANGES, _CELLS = 64, 32, 1024
+
+
+def key_filter(batch: DataFrame, facts: dict) -> Column:
+    """A condition on the key columns that every row of the batch meets, for Parquet to skip row groups by.
+
+    A few keys are named one by one; row groups whose Bloom filters know none of them are not
+    read. Otherwise whole-number keys that lie scattered are covered by some ranges around
+    their clusters, as one range from the oldest to the newest would cover the whole table.
+    """
+    tests = []
+    for k, r in facts["ranges"].items():
+        if r["low"] is None:
+            continue
+        test = F.col(k).between(F.lit(r["low"]), F.lit(r["high"]))
+        if r["low"] == r["high"]:
+            test = F.col(k) == F.lit(r["low"])
+        elif facts["rows"] <= _POINTS:
+            values = sorted(row[0] for row in batch.select(k).distinct().collect())
+            test = _any([F.col(k) == F.lit(v) for v in values])
+        elif isinstance(batch.schema[k].dataType, T.IntegralType) and r["high"] - r["low"] > 4 * facts["rows"]:
+            test = _any([F.col(k).between(F.lit(a), F.lit(b)) for a, b in _clusters(batch, k, r["low"], r["high"])])
+        tests.append(test)
+    return reduce(lambda a, b: a & b, tests, F.lit(True))
+
+
+def _any(tests: list[Column]) -> Column:
+    """One of the tests, as a balanced tree: a long chain would be a deep plan."""
+    while len(tests) > 1:
+        tests = [reduce(lambda a, b: a | b, tests[i : i + 2]) for i in range(0, len(tests), 2)]
+    return tests[0]
+
+
+def _clusters(batch: DataFrame, key: str, low: int, high: int) -> list[tuple[int, int]]:
+    """Ranges that hold every key of the batch, divided at the widest gaps; at most ``_CELLS`` rows are looked at."""
+    width = -(-(high - low + 1) // _CELLS)
+    cell = F.floor((F.col(key).cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).alias("cell")
+    held = batch.groupBy(cell).agg(F.min(key).alias("a"), F.max(key).alias("b")).orderBy("cell").collect()
+    gaps = sorted(range(1, len(held)), key=lambda i: held[i - 1]["b"] - held[i]["a"])[: _RANGES - 1]
+    cuts = [0, *sorted(gaps), len(held)]
+    return [(held[i]["a"], held[j - 1]["b"]) for i, j in zip(cuts, cuts[1:])]
 
 
 def _append(
-    batch: DataFrame, table: str, partition_cols: Sequence[str], touched: list[list[str]]
+    batch: DataFrame, table: str, partition_cols: Sequence[str], keys: Sequence[str], touched: list[list[str]]
 ) -> list[list[str]]:
     """Rows for partitions that do not exist yet: nothing stored has to be read or moved."""
-    _clustered(batch, partition_cols).write.mode("append").partitionBy(*partition_cols).parquet(table)
+    _writer(_clustered(batch, partition_cols, keys), partition_cols, keys).mode("append").parquet(table)
     return touched
 
 
-def _publish(spark: SparkSession, table: str, partition_cols: Sequence[str], folders: list[str] | None) -> None:
-    """Put the prepared folders in place of ``folders``, or of all that the table has."""
+def _publish(spark: SparkSession, table: str, partition_cols: Sequence[str], folders: list[str]) -> None:
+    """Put the prepared folders in place of ``folders``."""
     filled = files.folders_below(spark, _beside(table, "_prepared"), len(partition_cols))
-    if folders is None:
-        folders = files.folders_below(spark, table, len(partition_cols)) if files.exists(spark, table) else []
     note = {"replace": filled, "empty": sorted(set(folders) - set(filled))}
     files.write_text(spark, _beside(table, "_pending"), json.dumps(note))
     finish_pending(spark, table)

@@ -213,3 +213,38 @@ def test_what_did_not_arrive_is_told_and_kept(spark, layout, tmp_path):
     assert rows(spark.read.parquet(f"{layout.quarantine}_gaps/ingestion_date=2024-04-01")) == [("articles", "missing", 2, 4)]
     run(spark, layout, "ingest", ingestion_date="2024-04-01", load="second")
     assert bronze.read_bronze(spark, layout.bronze, "2024-04-01").count() == 8
+
+
+def test_aggregates_follow_by_changes_when_items_move_month(spark, layout, tmp_path, monkeypatch):
+    def day(name, date, *items_):
+        land(tmp_path / name, "articles", page(*items_, last=True, count=len(items_)))
+        land(tmp_path / name, "info", {"version": "4.9.0", "news_sites": ["A", "B"]})
+        where = Layout(layout.bronze, layout.silver, layout.gold, str(tmp_path / name))
+        return run(spark, where, "ingest,silver,dims,facts,aggregates", ingestion_date=date)
+
+    def recounted():
+        names = ("agg_month", "agg_topic_day", "agg_topic_month", "agg_source_day", "agg_source_month")
+        kept = {n: rows(stored(spark, layout, n)) for n in names}
+        flow.aggregates_phase(spark, layout)
+        assert kept == {n: rows(stored(spark, layout, n)) for n in names}
+        assert not list((tmp_path / "gold").glob("_behind_*"))
+        return kept
+
+    def made(i, month, updated, site="A"):
+        return item(i, news_site=site, published_at=f"2024-{month}-02T00:00:00Z", updated_at=f"2024-{month}-{updated}T00:00:00Z")
+
+    day("d1", "2024-04-01", made(1, "01", "02"), made(2, "01", "02", "B"), made(3, "02", "02", "Nowhere"))
+    recounted()
+    done = day("d2", "2024-04-02", made(3, "03", "03"), made(1, "01", "03", "B"), made(4, "03", "02"))
+    assert done["facts"].changes is not None
+    assert recounted()["agg_month"] == [(2, "2024", "01"), (2, "2024", "03")]  # nothing is left of February
+
+    def lost(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(flow, "replace_table", lost)
+        with pytest.raises(RuntimeError):
+            day("d3", "2024-04-03", made(4, "05", "04"))
+    day("d4", "2024-04-04", made(5, "06", "02"))
+    assert (1, "2024", "05") in recounted()["agg_month"]

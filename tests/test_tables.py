@@ -1,6 +1,6 @@
 import pytest
 from helpers import rows
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from galley.sources import files, tables
 from galley.sources.tables import ensure_table, finish_pending, read_table, replace_table, table_exists, upsert
@@ -252,3 +252,84 @@ def test_replacing_some_partitions_leaves_the_others(spark, tmp_path):
     assert rows(spark.read.schema("n long, part string").parquet(path)) == [(1, "a"), (20, "b")]
     replace_table(df.limit(0), path, ["part"])
     assert rows(spark.read.schema("n long, part string").parquet(path)) == []
+
+
+def _scanned_rows(df) -> int:
+    """Rows that the file scan of an executed plan gave out."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.executedPlan() if plan.getClass().getSimpleName().startswith("AdaptiveSparkPlan") else plan
+    leaves = plan.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.fixture
+def many_row_groups(spark, tmp_path):
+    """A table of 20,000 even keys in one file of many small row groups, in key order."""
+    path = str(tmp_path / "t")
+    df = spark.range(20_000).select((F.col("id") * 2).alias("k"), F.concat(F.lit("name"), F.col("id") * 2).alias("name"), F.lit("p").alias("p"))
+    writer = tables._writer(tables._clustered(df.repartition(1), (), ("k",)), (), ("k", "name"))
+    writer.option("parquet.block.size", 16 * 1024).option("parquet.page.size", 1024).option("parquet.enable.dictionary", "false").parquet(path)
+    return path
+
+
+@pytest.mark.parametrize("keys, most", [([10_000], 1500), ([10_001], 0), ([4, 20_000, 39_998], 4500), ([1, 20_001, 39_997], 0)])
+def test_a_few_keys_are_looked_up_in_the_row_groups_that_know_them(spark, many_row_groups, keys, most):
+    stored = spark.read.parquet(many_row_groups)
+    batch = spark.createDataFrame([(k,) for k in keys], "k long")
+    facts = tables._batch_facts(batch, ["k"], False)
+    found = stored.filter(tables.key_filter(batch, facts))
+    assert _scanned_rows(found) <= most
+    assert sorted(r["k"] for r in found.collect()) == [k for k in keys if k % 2 == 0]
+
+
+def test_text_keys_are_looked_up_by_bloom_filter(spark, many_row_groups):
+    """Names are not in text order, so minimum and maximum of a row group say little."""
+    stored = spark.read.parquet(many_row_groups)
+    batch = spark.createDataFrame([("name10000",), ("name10001",)], "name string")
+    found = stored.filter(tables.key_filter(batch, tables._batch_facts(batch, ["name"], False)))
+    assert _scanned_rows(found) <= 3000 and rows(found, "k") == [(10_000,)]
+
+
+def test_scattered_keys_are_covered_by_ranges(spark, many_row_groups):
+    keys = [*range(100, 300), *range(20_000, 20_200), 39_000]
+    batch = spark.createDataFrame([(k,) for k in keys], "k long")
+    facts = tables._batch_facts(batch, ["k"], False)
+    ranges = tables._clusters(batch, "k", 100, 39_000)
+    assert len(ranges) <= tables._RANGES and all(any(a <= k <= b for a, b in ranges) for k in keys)
+    found = spark.read.parquet(many_row_groups).filter(tables.key_filter(batch, facts))
+    assert _scanned_rows(found) < 6000
+    assert set(k for k in keys if k % 2 == 0) <= {r["k"] for r in found.collect()}
+
+
+def test_rows_lie_in_key_order_in_their_files(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(5000).select(F.shuffle(F.sequence(F.lit(0), F.lit(9)))[0].alias("x"), (F.hash("id") % 100_000).alias("k"), (F.col("id") % 2).cast("string").alias("p")).dropDuplicates(["k"])
+    tables.upsert(df, path, ["k"], ("p",))
+    tables.upsert(df.limit(50).withColumn("x", F.lit(99)), path, ["k"], ("p",))
+    stored = spark.read.parquet(path).select("k", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    previous = F.lag("k").over(Window.partitionBy("f").orderBy("i"))
+    assert stored.withColumn("before", previous).filter("before > k").count() == 0
+
+
+def test_changes_are_counted_by_group(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "k long, g string, p string"
+    first = spark.createDataFrame([(1, "a", "x"), (2, "a", "x"), (3, None, "y")], schema)
+    done = tables.upsert(first, path, ["k"], ("p",), count_by=("g", "p"), check_unique=False)
+    assert rows(done.changes) == [("a", "x", 2), (None, "y", 1)]
+    second = spark.createDataFrame([(1, "b", "x"), (3, None, "z"), (2, "a", "x"), (9, "a", "y")], schema)
+    done = tables.upsert(second, path, ["k"], ("p",), count_by=("g", "p"))
+    assert rows(done.changes) == sorted([("a", "x", -1), ("b", "x", 1), (None, "y", -1), (None, "z", 1), ("a", "y", 1)], key=repr)
+    done = tables.upsert(second, path, ["k"], ("p",), count_by=("g", "p"))
+    assert rows(done.changes) == []
+
+
+def test_replacing_a_derived_table_drops_emptied_partitions(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "n long, p string"
+    tables.replace_table(spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], schema), path, ("p",))
+    tables.replace_table(spark.createDataFrame([(4, "b"), (5, "c")], schema), path, ("p",))
+    assert rows(tables.read_table(spark, path)) == [(4, "b"), (5, "c")]
+    tables.replace_table(spark.createDataFrame([(6, "c")], schema), path, ("p",), [["b"], ["c"]])
+    assert rows(tables.read_table(spark, path)) == [(6, "c")]
