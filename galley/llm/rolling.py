@@ -6,7 +6,7 @@ import numpy as np
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
-_INVERSE = pow(_BASE, -1, 1 << 64)
+SECOND_BASE = 0xC2B2AE3D27D4EB4D  # for a second, independent hash
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -17,40 +17,39 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _LETTER = mix(np.arange(1, 257, dtype=U) * U(0xA24BAED4963EE407))
-_powers = {"up": np.ones(1, dtype=U), "down": np.ones(1, dtype=U)}
+_powers: dict[int, np.ndarray] = {}
 
 
-def _power(kind: str, n: int) -> np.ndarray:
-    """The first ``n`` powers of the base or of its inverse, kept between documents."""
-    have = _powers[kind]
-    if len(have) < n:
-        size = max(n, 2 * len(have), 1 << 12)
-        have = np.full(size, _BASE if kind == "up" else _INVERSE, dtype=U)
+def _power(base: int, n: int) -> np.ndarray:
+    """The first ``n`` powers of a base, kept between documents."""
+    have = _powers.get(base)
+    if have is None or len(have) < n:
+        have = np.full(max(n, 0 if have is None else 2 * len(have), 1 << 12), base, dtype=U)
         have[0] = 1
-        _powers[kind] = have = np.multiply.accumulate(have)
+        _powers[base] = have = np.multiply.accumulate(have)
     return have[:n]
 
 
 class Rolling:
     """Hashes of any substrings of one sequence, from prefix sums modulo 2**64."""
 
-    def __init__(self, symbols: np.ndarray):
+    def __init__(self, symbols: np.ndarray, base: int = _BASE):
         """``symbols``: uint8 bytes, or uint64 values that are already well spread."""
         letters = _LETTER[symbols] if symbols.dtype == np.uint8 else symbols
-        self.n = len(symbols)
+        self.n, self.inverse = len(symbols), pow(base, -1, 1 << 64)
         self.sums = np.zeros(self.n + 1, dtype=U)
-        np.cumsum(letters * _power("up", self.n), out=self.sums[1:])
+        np.cumsum(letters * _power(base, self.n), out=self.sums[1:])
 
     def all_of(self, length: int) -> np.ndarray:
         """The hash of every substring of ``length``."""
         count = self.n - length + 1
         if count <= 0:
             return np.zeros(0, dtype=U)
-        return mix((self.sums[length:] - self.sums[:count]) * _power("down", count))
+        return mix((self.sums[length:] - self.sums[:count]) * _power(self.inverse, count))
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """The hashes of ``[start, end)``; lengths take part."""
-        raw = (self.sums[end] - self.sums[start]) * _power("down", self.n + 1)[start]
+        raw = (self.sums[end] - self.sums[start]) * _power(self.inverse, self.n + 1)[start]
         return mix(raw + (end - start).astype(U) * U(0xC2B2AE3D27D4EB4F))
 
 

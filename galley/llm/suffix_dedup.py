@@ -17,7 +17,9 @@ and each level goes on only with suffixes that share a long enough prefix with a
    stands for all (if only repeats across documents count: one at each end, and every chunk of
    a stretch that stays in one document).
 
-Names are 64-bit hashes instead of ranks; the tuples, never the texts, are sorted. The sorts are
+Names are hashes instead of ranks; the tuples, never the texts, are sorted. What decides that two
+strings are equal has 128 bits: prefix and whole stretch in level 1, two independent hashes in level 2;
+a prefix alone, of 64 bits, only leads to further looks. The sorts are
 Spark's: runs on disk, merged by priority queues, with the shuffle in front; a name that very
 many tuples share is counted before the shuffle and split in the join. Every level is written
 to the shared folder, so shards may be far larger than memory and executors may be lost.
@@ -40,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from galley.llm.common import Stage, boxed, id_and_text, map_batches, splittable, utf8
-from galley.llm.rolling import Rolling, U, mix, sliding_argmin, word_hashes
+from galley.llm.rolling import SECOND_BASE, Rolling, U, mix, sliding_argmin, word_hashes
 
 
 @dataclass(frozen=True)
@@ -62,12 +64,23 @@ class _Text:
     def __init__(self, data: bytes, unit: Unit):
         self.data = data
         if unit.name == "bytes":
-            self.rolling, self.starts, self.ends = Rolling(np.frombuffer(data, dtype=np.uint8)), None, None
+            self.symbols, self.starts, self.ends = np.frombuffer(data, dtype=np.uint8), None, None
         else:
-            hashes, self.starts, self.ends = word_hashes(data)
-            self.rolling = Rolling(hashes)
+            self.symbols, self.starts, self.ends = word_hashes(data)
+        self.rolling = Rolling(self.symbols)
         self.n = self.rolling.n
 
+    def names(self, start: np.ndarray, end: np.ndarray, scope: np.uint64) -> list[np.ndarray]:
+        """Two independent hashes of substrings, 128 bits together."""
+        both = (self.rolling, Rolling(self.second(), SECOND_BASE))
+        return [mix(r.of(start, end) + scope) for r in both]
+
+    def second(self) -> np.ndarray:
+        """The symbols for the second hash; words are hashed anew, or equal first hashes would stay equal."""
+        if self.starts is None:
+            return self.symbols
+        return Rolling(np.frombuffer(self.data, dtype=np.uint8), SECOND_BASE).of(self.starts, self.ends)
+
     def span(self, start: int, end: int) -> tuple[int, int]:
         return (start, end) if self.starts is None else (int(self.starts[start]), int(self.ends[end - 1]))
 
@@ -112,14 +125,14 @@ def _tuples(docs: DataFrame, unit: Unit, length: int) -> DataFrame:
 
 
 def _induced(texts: DataFrame, unit: Unit, length: int) -> DataFrame:
-    """``doc_id, text_key, first, name`` of every single start in ``chunks`` of the texts."""
+    """``doc_id, text_key, first, name, check`` of every single start in ``chunks`` of the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names, starts, counts = [], [], []
             for data, scope, chunks in zip(utf8(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
                 at = np.unique(np.concatenate([np.arange(c["first"], c["last"] + 1) for c in chunks]))
-                names.append(mix(_Text(data, unit).rolling.of(at, at + length) + _scope(scope)))
+                names.append(_Text(data, unit).names(at, at + length, _scope(scope)))
                 starts.append(at)
                 counts.append(len(at))
             if not counts:
@@ -127,11 +140,11 @@ def _induced(texts: DataFrame, unit: Unit, length: int) -> DataFrame:
             rows = pa.array(np.repeat(np.arange(len(counts)), counts))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(np.concatenate(starts).astype(np.int32)),
-                 pa.array(np.concatenate(names).view(np.int64))],
-                [*_KEY, "first", "name"],
+                 *[pa.array(np.concatenate(n).view(np.int64)) for n in zip(*names)]],
+                [*_KEY, "first", "name", "check"],
             )
 
-    return map_batches(texts, run, "doc_id long, text_key long, first int, name long")
+    return map_batches(texts, run, "doc_id long, text_key long, first int, name long, check long")
 
 
 def _same(left: DataFrame, right: DataFrame):
@@ -160,7 +173,7 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
     where = F.struct(*_KEY, "first", "last")
     ends = F.array_distinct(F.array(F.min(where), F.max(where))) if apart else F.array(F.min(where))
     stretches = stage.save(left.groupBy("prefix", "whole").agg(again.alias("again"), ends.alias("ends")), "stretches")
-    throughout = left.join(splittable(stretches.filter("again").select("whole").distinct()), "whole").select(*_KEY, "first", "last")
+    throughout = left.join(splittable(stretches.filter("again").select("prefix", "whole")), ["prefix", "whole"]).select(*_KEY, "first", "last")
     throughout = stage.save(throughout, "throughout")
     if not apart:
         stage.free("left")
@@ -175,9 +188,10 @@ def repeated_starts(docs: DataFrame, length: int, unit: Unit, stage: Stage, apar
 
     single = docs.join(chunks, _same(docs, chunks)).select(*_KEY, "text", "scope", "chunks")
     single = stage.save(_induced(single, unit, length), "single")
-    twice = single.groupBy("name").agg(again.alias("again")).filter("again").select("name")
-    single = single.join(splittable(twice), "name").select(*_KEY, "first", F.col("first").alias("last"))
-    runs = throughout.union(single).groupBy(*_KEY).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    names = ["name", "check"]
+    twice = single.groupBy(*names).agg(again.alias("again")).filter("again").select(*names)
+    single = single.join(splittable(twice), names).select(*_KEY, "first", F.col("first").alias("last"))
+    runs = throughout.union(single).groupBy(*_KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
     runs = stage.save(runs, "runs")
     stage.free("throughout", "chunks", "single")
     return runs
@@ -244,10 +258,14 @@ def _remaining(data: bytes, spans: list[tuple[int, int]]) -> bytes:
 
 
 def digest(result: DataFrame) -> DataFrame:
-    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of ``without_repeats``."""
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, text`` of ``without_repeats``.
+
+    ``text`` is what is left, as text; bytes of a character that was cut in two become U+FFFD.
+    """
     return result.select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.octet_length("kept").cast("long").alias("n_kept"), F.make_valid_utf8(F.col("kept").cast("string")).alias("text"),
     )
 
 

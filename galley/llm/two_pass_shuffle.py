@@ -5,10 +5,12 @@ holds one bucket at a time, puts it into random order by Fisher-Yates with a gen
 by the bucket, and writes it. The shuffled order is bucket after bucket; shard ``s`` of ``S``
 takes the places from ``s*N//S`` up to ``(s+1)*N//S``, so counts differ by one at most.
 
-A bucket is sorted before it is permuted, so a task that runs again writes the same rows.
+A bucket is sorted before it is permuted, so a task that runs again writes the same rows. Each bucket
+is a task of its own. Rows that are equal throughout, more than ``COPIES`` of them, are counted,
+numbered and dealt by their numbers, so they do not meet in one bucket.
 
 * null text has no bytes: size 8, checksum 0; null ids are spread by their text
-* equal rows share a bucket; every one of them gets a slot
+* equal rows each get a slot; up to ``COPIES`` of them share a bucket
 * an empty table gives no rows; other columns are ignored
 """
 
@@ -23,7 +25,26 @@ from pyspark.sql import DataFrame, Window, functions as F
 from galley.llm.common import map_batches
 
 BUCKET_BYTES = 64 << 20
-_BROADCAST_ROWS = 100_000  # bucket list, 16 bytes a row
+COPIES = 1000
+_BROADCAST_ROWS = 100_000  # bucket list, or list of rows with many copies; 16 bytes a row
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text) with ``copy``: 0, or from 1 on for rows of which there are more than ``COPIES``."""
+    key = F.xxhash64("doc_id", "text").alias("key")
+    many = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > COPIES).select("key")
+    held = many.limit(_BROADCAST_ROWS + 1).count()
+    if not held:
+        return rows.withColumn("copy", F.lit(0))
+    many = F.broadcast(many) if held <= _BROADCAST_ROWS else many
+    keyed = rows.withColumn("key", key)
+    few = keyed.join(many, "key", "left_anti").select("doc_id", "text", F.lit(0).alias("copy"))
+    counted = keyed.join(many, "key", "left_semi").groupBy("doc_id", "text").agg(F.count("*").alias("n"))
+    # In two steps: the numbers of one row may be a third of all rows, too many to be made by one task.
+    parts = counted.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES).cast("int"))))
+    parts = parts.repartition("part", "doc_id", "text")
+    first, last = F.col("part") * COPIES + 1, F.least((F.col("part") + 1) * COPIES, F.col("n").cast("int"))
+    return few.unionAll(parts.select("doc_id", "text", F.explode(F.sequence(first, last)).alias("copy")))
 
 
 def write_shuffled(docs: DataFrame, path: str, shards: int, seed: int = 17, bucket_bytes: int = BUCKET_BYTES) -> None:
@@ -33,7 +54,8 @@ def write_shuffled(docs: DataFrame, path: str, shards: int, seed: int = 17, buck
     total = rows.agg(F.sum(size).alias("b"), F.count("*").alias("n")).first()
     count, buckets = total["n"], max(1, -(-(total["b"] or 0) // bucket_bytes))
 
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(buckets)).cast("int"))
+    rows = _numbered(rows)
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", "copy"), F.lit(buckets)).cast("int"))
     before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     # One row per bucket: a list that is small beside the data by the size of a bucket.
     bases = rows.groupBy("bucket").count().select(
@@ -74,7 +96,7 @@ def write_shuffled(docs: DataFrame, path: str, shards: int, seed: int = 17, buck
 
     dealt = (
         rows.select("bucket", "base", "doc_id", "text")
-        .repartition(int(buckets), "bucket")
+        .repartitionById(int(buckets), "bucket")
         .sortWithinPartitions("bucket", "doc_id", "text")
     )
     (

@@ -44,3 +44,23 @@ def test_same_seed_same_order_other_seed_other_order(spark, tmp_path):
 def test_nothing(spark, no_texts, tmp_path):
     shuffle.write_shuffled(no_texts, f"file://{tmp_path}/s", shards=3)
     assert spark.read.schema(SCHEMA).parquet(f"file://{tmp_path}/s").collect() == []
+
+
+def test_equal_rows_are_spread_over_buckets(spark, tmp_path, monkeypatch):
+    """A third of all rows are one row, a tenth have no id and one text; no bucket holds many of them."""
+    monkeypatch.setattr(shuffle, "COPIES", 50)
+    docs = [(i, f"text {i}") for i in range(1700)] + [(7, "x" * 20)] * 1000 + [(None, None)] * 300
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(9)
+    numbered = shuffle._numbered(frame).collect()
+    assert Counter((r.doc_id, r.text) for r in numbered) == Counter(docs)
+    assert sorted(r.copy for r in numbered if r.text == "x" * 20) == list(range(1, 1001))
+    got = shuffled(spark, frame, f"file://{tmp_path}/s", shards=10, bucket_bytes=2000).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter(docs)
+    held = Counter(r.shard for r in got if r.doc_id == 7 and r.text == "x" * 20)
+    assert len(held) == 10 and max(held.values()) < 200
+
+
+def test_each_bucket_is_a_task(spark, tmp_path):
+    docs = spark.createDataFrame([(i, "x" * 100) for i in range(400)], "doc_id long, text string")
+    shuffle.write_shuffled(docs, f"file://{tmp_path}/s", shards=1, bucket_bytes=4000)
+    assert len(list((tmp_path / "s" / "shard=0").glob("*.parquet"))) == -(-400 * 108 // 4000)
