@@ -102,10 +102,10 @@ class MergeCounter:
             if count is None:
                 count = self.piece(p.encode())
                 if len(p) <= 64:
+                    if len(pieces) >= _CACHE_LIMIT:  # also within one very long text
+                        pieces.clear()
                     pieces[p] = count
             total += count
-        if len(pieces) > _CACHE_LIMIT:
-            pieces.clear()
         return total
 
     def _chunk(self, chunk: bytes) -> int:
@@ -113,6 +113,8 @@ class MergeCounter:
         text = chunk.decode()
         count = 1 + self.plain(text[1:]) if text[:1] == "\n" else self.plain(" " + text)
         if len(chunk) <= 96:
+            if len(self.chunks) >= _CACHE_LIMIT:
+                self.chunks.clear()
             self.chunks[chunk] = count
         return count
 
@@ -127,10 +129,7 @@ class MergeCounter:
             return self.plain(data.decode())
         # Single blanks and line ends only: the pattern never reaches across a blank or a line end.
         chunks = (b"\n" + data).replace(b"\n", b" \n").split(b" ")
-        known = self.chunks
-        if len(known) > _CACHE_LIMIT:
-            known.clear()
-        get, own = known.get, self._chunk
+        get, own = self.chunks.get, self._chunk
         total = -1  # the line end put before the text
         for c in chunks[1:]:
             n = get(c)

@@ -3,6 +3,9 @@
 Each step is one aggregation (combined before its shuffle) and one join, so a node with very
 many links is split like any hot join key. Steps are written to the shared folder. The number
 of steps grows with the logarithm of the longest chain.
+
+* a link with a null end joins nothing: the null is a node of its own, without a component to share
+* repeated links and self-links change nothing; no links give no rows
 """
 
 from __future__ import annotations

@@ -184,17 +184,21 @@ def plan(lengths: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, i
 
 
 def place(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Adds ``sequence_id`` and ``offset`` to stored ``pieces`` (``length`` from 1 to ``capacity``)."""
+    """Adds ``sequence_id`` and ``offset`` to stored ``pieces`` (``length`` from 1 to ``capacity``).
+
+    A column ``place_``, different in each row, spreads rows that are equal otherwise; it is left out.
+    """
     spark = pieces.sparkSession
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # capacity rows at most
     placements, _ = plan(histogram, capacity)
     # Rank within a length: a common length is dealt over many parts, each numbered by itself.
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    dealt = pieces.withColumn("part_", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(parts)).cast("int"))
+    spread = ["doc_id", "piece", "ids_crc32", *[c for c in pieces.columns if c == "place_"]]
+    dealt = pieces.withColumn("part_", F.pmod(F.xxhash64(*spread), F.lit(parts)).cast("int"))
     sizes = dealt.groupBy("length", "part_").count()
     before = Window.partitionBy("length").orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("length", "part_", F.coalesce(F.sum("count").over(before), F.lit(0).cast("long")).alias("base_"))
-    within = Window.partitionBy("length", "part_").orderBy("doc_id", "piece", "ids_crc32")
+    within = Window.partitionBy("length", "part_").orderBy(*spread)
     ranked = (
         dealt.withColumn("rank_", F.row_number().over(within) - 1)
         .join(bases, ["length", "part_"])
@@ -207,7 +211,7 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     )
     nth = F.col("rank_") - F.col("first")
     return ranked.join(moves, inside).select(
-        *pieces.columns,
+        *[c for c in pieces.columns if c != "place_"],
         (F.col("sequence") + F.floor(nth / F.col("each"))).cast("long").alias("sequence_id"),
         (F.col("at") + F.pmod(nth, F.col("each")) * F.col("length")).cast("long").alias("offset"),
     )
@@ -216,7 +220,8 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
 def pack(docs: DataFrame, vocabulary: str, end_id: int, capacity: int, with_ids: bool = False) -> DataFrame:
     """Cut, encode and place whole texts; one row per piece."""
     stage = Stage(docs.sparkSession, "packing")
-    return place(stage.save(cut(docs, vocabulary, end_id, capacity, with_ids), "pieces"), capacity)
+    pieces = cut(docs, vocabulary, end_id, capacity, with_ids).withColumn("place_", F.monotonically_increasing_id())
+    return place(stage.save(pieces, "pieces"), capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

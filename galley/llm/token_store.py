@@ -101,6 +101,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
     """Encode every whole text, append ``end_id`` to each, write the store under ``path``.
 
     Texts are moved once, to range partitions on doc_id; each task then streams its partition.
+    Rows of one id (or of none) are divided further by a hash of their texts.
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +133,7 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int) -> None:
             yield row()
 
     spark = docs.sparkSession
-    ordered = id_and_text(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = id_and_text(docs).repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
     (
         map_batches(ordered, encode, _BLOCKS)
         .write.option("compression", "zstd").option("parquet.block.size", 16 << 20).parquet(f"{path}/blocks")

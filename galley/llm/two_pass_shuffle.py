@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from galley.llm.common import map_batches
 
-BUCKET_BYTES = 64 << 20
+BUCKET_BYTES = 32 << 20
 COPIES = 1000
 _BROADCAST_ROWS = 100_000  # bucket list, or list of rows with many copies; 16 bytes a row
 

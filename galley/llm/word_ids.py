@@ -2,6 +2,10 @@
 
 The scheme lower-cases and cuts at white space, so a text's ids are its words' ids in a row.
 Words are looked up in a bounded table of the worker; new ones go to the tokenizers library.
+
+* null counts as the empty text, which has no ids
+* words beyond 64 bytes are encoded each time and never kept, however long they are
+* a text is split as a whole: its words take some times its own size in memory, one text at a time
 """
 
 from __future__ import annotations
@@ -47,6 +51,8 @@ class WordEncoder:
             mapped = "".join([self.names[bytes([b])] for b in word])
             out = self._pack([t.id for t in self.tokenizer.model.tokenize(mapped)])
         if len(word) <= 64:
+            if len(self.known) >= _LIMIT:  # also within one very long text
+                self.known.clear()
             self.known[word] = out
         return out
 
@@ -54,10 +60,7 @@ class WordEncoder:
         if b"<|" in data:  # may hold a special token, whose case matters
             return self._library(data.decode())
         words = data.lower().split()
-        known, own = self.known, self._word
-        if len(known) > _LIMIT:
-            known.clear()
-        get = known.get
+        get, own = self.known.get, self._word
         return b"".join([get(w) or own(w) for w in words])
 
     def ids(self, packed: bytes) -> np.ndarray:
