@@ -2,6 +2,13 @@
 
 Each stage takes the documents that the one before it left, as a table, and works on all of
 them: quality rules, near-duplicates, repeated passages, benchmark decontamination, packing.
+A stage's table is deleted when the next one has been written.
+
+* null text: no words, so the quality stage rejects it; empty texts likewise
+* null ids: such rows are kept and take part everywhere; among near copies a row with an id stays
+* repeated rows: one of them stays
+* very long texts: worked on as a whole by every stage; ties go to the smaller id
+* other columns are kept up to the last stage, whatever their names; an empty table gives no rows
 """
 
 from __future__ import annotations
@@ -12,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from galley.llm import containment, decision_list, packing, suffix_dedup, super_minhash
 from galley.llm.common import table
 from galley.session import scratch_path
+from galley.sources import files
 
 END_ID = 1  # appended to every document
 CAPACITY = 4096  # tokens of a sequence
@@ -58,9 +66,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``, each one written and read again."""
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         path = scratch_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            files.delete(spark, before)
+        before = path
     return docs
