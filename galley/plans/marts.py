@@ -23,6 +23,13 @@ def _count(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(n.alias("article_count"))
 
 
+def with_changes(stored: DataFrame, changes: DataFrame) -> DataFrame:
+    """Stored counts with what they gain or lose (in the same columns); groups left without rows go."""
+    by = [c for c in stored.columns if c != "article_count"]
+    both = stored.unionByName(changes.select(*stored.columns))
+    return both.groupBy(*by).agg(F.sum("article_count").alias("article_count")).filter("article_count <> 0")
+
+
 def by_month(fact: DataFrame) -> DataFrame:
     """Items per month."""
     return _count(fact, MONTH)

@@ -20,11 +20,12 @@ from galley.functions.literals import empty_rows
 from galley.operators.conform import conform, split_by_value, union_content
 from galley.operators.dedup import first_per_key, sortable
 from galley.operators.incremental import after_marks, high_water_marks
-from galley.operators.quality import content_rules, layer_counts, quarantine
+from galley.operators.quality import below_minimum, content_rules, layer_counts, quarantine
+from galley.operators.quality import unknown_sources as unknown_sources_of
 from galley.operators.ranking import cap_per_group
 from galley.plans import content as text_analysis
-from galley.plans import marts, silver, star
-from galley.schemas import BRONZE_CONTENT, BRONZE_INFO, CONTENT_KEY, CONTENT_TABLES, DATE_PARTS, INGESTION_PARTS, TABLES
+from galley.plans import ledger, marts, silver, star
+from galley.schemas import BRONZE_CONTENT, BRONZE_INFO, CONTENT_KEY, CONTENT_TABLES, DATE_PARTS, INGESTION_PARTS, TABLES, lists_as_text
 from galley.session import configure, get_session, materialize, scratch_root, scratch_scope
 from galley.sources import bronze, files, landed
 from galley.sources.tables import (
@@ -155,17 +156,20 @@ def arrival(envelopes: DataFrame, layout: Layout, ingestion_date: str) -> dict[s
 
 
 def silver_phase(
-    spark: SparkSession, layout: Layout, ingestion_date: str, replace_newer: bool = False
+    spark: SparkSession, layout: Layout, ingestion_date: str, replace_newer: bool = False, raw_lists: str = "native"
 ) -> dict[str, UpsertResult | int]:
     """One ingestion day, cleaned, checked, and upserted into the table of each type.
 
     The deduplicated day is computed once and stored by type; each table then reads its own.
     A stored row that was updated later than the day's row stays, so a day can be run again at
-    any time; ``replace_newer`` lets the day win. ``unrouted`` counts the rows of no known type
+    any time; ``replace_newer`` lets the day win. ``raw_lists="text"``: the raw layer holds nested
+    columns as list text. ``unrouted`` counts the rows of no known type
     and ``unreadable_lists`` the info rows whose site list cannot be read; with a quarantine
     folder they are kept there.
     """
-    raw = bronze.read_bronze(spark, layout.bronze, ingestion_date)
+    as_text = raw_lists == "text"
+    raw = bronze.read_bronze(spark, layout.bronze, ingestion_date, schema=lists_as_text(BRONZE_CONTENT) if as_text else None)
+    raw = silver.with_native_lists(raw) if as_text else raw
     raw = raw.filter(F.lower(F.coalesce("content_type", F.lit(""))) != "info")
     cleaned = silver.clean_content(raw)
     if layout.quarantine:
@@ -181,7 +185,7 @@ def silver_phase(
     }
     known = F.coalesce(F.col("content_type").isin(*CONTENT_TABLES), F.lit(False))
     results["unrouted"] = raw.filter(~known).count()
-    raw_info = bronze.read_bronze(spark, layout.bronze, ingestion_date, "info")
+    raw_info = bronze.read_bronze(spark, layout.bronze, ingestion_date, "info", lists_as_text(BRONZE_INFO) if as_text else None)
     unreadable = silver.unreadable_sites(raw_info)
     results["unreadable_lists"] = unreadable.count()
     if layout.quarantine and results["unreadable_lists"]:
@@ -256,12 +260,14 @@ def facts_phase(
         return store(facts, layout, "fact_article", **options)
     # Until the stored aggregates have followed, a note says for which months they are behind.
     begun = f"{_note(layout)}all"
-    if not files.exists(spark, begun):
+    left = files.exists(spark, begun)  # by a run that died: all months stay behind
+    if not left:
         files.write_text(spark, begun, "")
     done = store(facts, layout, "fact_article", **options, count_by=_COUNTED_BY)
     if done.partitions is not None:
         files.write_text(spark, f"{_note(layout)}{uuid.uuid4().hex}", json.dumps(sorted({p[:2] for p in done.partitions})))
-        files.delete(spark, begun)
+        if not left:
+            files.delete(spark, begun)
     return done
 
 
@@ -304,9 +310,8 @@ def aggregates_phase(spark: SparkSession, layout: Layout, facts: UpsertResult |
         elif months:
             in_months = F.concat_ws("/", "year", "month").isin(["/".join(m) for m in months])
             if by_changes:
-                changed = conform(build(facts.changes), spec.schema).unionByName(stored(spark, layout, name).filter(in_months))
-                summed = changed.groupBy(*[c for c in spec.schema.names if c != "article_count"]).agg(F.sum("article_count").alias("article_count"))
-                content = materialize(conform(summed.filter("article_count <> 0"), spec.schema), "aggregate")
+                summed = marts.with_changes(stored(spark, layout, name).filter(in_months), conform(build(facts.changes), spec.schema))
+                content = materialize(conform(summed, spec.schema), "aggregate")
             else:
                 content = conform(build(fact.filter(in_months)), spec.schema)
             replace_table(content, where, spec.partition_cols, months)
@@ -338,15 +343,27 @@ def run(
     replace_newer: bool = False,
     full_facts: bool = False,
     load: str = "main",
+    raw_lists: str = "native",
+    minimum: dict[tuple[str, str], int] | None = None,
+    unknown_sources: str = "mark",
+    ledger_table: str | None = None,
 ) -> dict[str, object]:
     """Run the asked phases in order and return what each reported; with ``ingest`` comes ``arrival``.
 
     With an ingestion date the facts of that day's load are merged, all facts without one or
     with ``full_facts``. Aggregates after a fact phase are counted again for its months only.
     What a phase stages is deleted when the phase ends.
+
+    ``raw_lists="text"`` reads a raw layer whose nested columns were stored as list text.
+    ``minimum`` has least row counts by (layer, entity), held against the stored layers at the end.
+    After the cleaning phase the items of unknown sources among the day's are counted:
+    ``unknown_sources`` marks the run ("mark"), ends it ("stop"), or does not look ("ignore").
+    Every run adds its numbers and how it ended to ``ledger_table`` (default: ``run_log`` of gold).
     """
     configure(spark)
     chosen = parse_phases(phases)
+    if unknown_sources not in ("mark", "stop", "ignore") or raw_lists not in ("native", "text"):
+        raise ValueError("unknown_sources is mark, stop or ignore; raw_lists is native or text")
     for date in (ingestion_date, published_date):
         parse_run_date(date)
     if {"ingest", "silver"} & set(chosen) and ingestion_date is None:
@@ -368,24 +385,47 @@ def run(
 
     steps = {
         "ingest": lambda: ingest(spark, layout, ingestion_date, max_items, incremental, load, pages()),
-        "silver": lambda: silver_phase(spark, layout, ingestion_date, replace_newer),
+        "silver": lambda: silver_phase(spark, layout, ingestion_date, replace_newer, raw_lists),
         "content": lambda: content_phase(spark, layout, gazetteer, rules, published_date),
         "dims": lambda: dims_phase(spark, layout),
         "facts": lambda: facts_phase(spark, layout, published_date, None if full_facts else ingestion_date),
         "aggregates": lambda: aggregates_phase(spark, layout, done.get("facts")),
     }
-    with ExitStack() as kept:
-        for phase in chosen:
-            # The changes that the fact upsert tells are staged, and read by the aggregates.
-            if phase == "facts" and "aggregates" in chosen:
-                kept.enter_context(scratch_scope(spark))
-                done[phase] = steps[phase]()
-            else:
-                with scratch_scope(spark):
+    log, run_id, status = ledger_table or layout.table("run_log"), uuid.uuid4().hex, "failed"
+    try:
+        with ExitStack() as kept:
+            for phase in chosen:
+                # The changes that the fact upsert tells are staged, and read by the aggregates.
+                if phase == "facts" and "aggregates" in chosen:
+                    kept.enter_context(scratch_scope(spark))
                     done[phase] = steps[phase]()
+                else:
+                    with scratch_scope(spark):
+                        done[phase] = steps[phase]()
+                if phase == "silver" and unknown_sources != "ignore":
+                    done["unknown_sources"] = {"items": unknown_items(spark, layout, ingestion_date)}
+                    if done["unknown_sources"]["items"] and unknown_sources == "stop":
+                        status = "stopped"
+                        raise ledger.GateFailed(f"{done['unknown_sources']['items']} items of {ingestion_date} name a source that is not listed")
+        if minimum:
+            short = below_minimum(counts(spark, layout), minimum).orderBy("layer", "entity").collect()
+            done["below_minimum"] = {f"{r['layer']}.{r['entity']}": r["row_count"] for r in short}
+            if short:
+                status = "stopped"
+                raise ledger.GateFailed(f"fewer rows than the least allowed: {done['below_minimum']}")
+        status = "marked" if done.get("unknown_sources", {}).get("items") else "ok"
+    finally:
+        ledger.record(spark, log, run_id, ledger.metrics(done), status)
     return done
 
 
+def unknown_items(spark: SparkSession, layout: Layout, ingestion_date: str) -> int:
+    """Items loaded on a day that name a source missing from all official lists stored so far."""
+    loaded = published_content(spark, layout)
+    loaded = loaded.filter(loaded_on(loaded, ingestion_date))
+    return unknown_sources_of(loaded, stored(spark, layout, "info")).count()
+
+
 def parse_catalogs(settings: list[str]) -> dict[str, dict[str, str]]:
     """``lake.impl=some.Class`` and the like, by catalog name."""
     catalogs: dict[str, dict[str, str]] = {}
@@ -398,6 +438,18 @@ def parse_catalogs(settings: list[str]) -> dict[str, dict[str, str]]:
     return catalogs
 
 
+def parse_minimum(settings: list[str]) -> dict[tuple[str, str], int]:
+    """``silver.articles=100`` and the like, by (layer, entity)."""
+    out = {}
+    for text in settings:
+        place, found, n = text.partition("=")
+        layer, dot, entity = place.partition(".")
+        if not (layer and dot and entity and found and n.strip().isdecimal()):
+            raise ValueError(f"least count {text!r} is not LAYER.ENTITY=N")
+        out[layer, entity] = int(n)
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     """Command line of the job; unknown arguments a launcher adds are ignored."""
     p = argparse.ArgumentParser(prog="galley", description=__doc__)
@@ -409,6 +461,10 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--rules", help="Parquet of (topic, term, weight)")
     p.add_argument("--phases", default=DEFAULT_PHASES, help=",".join(PHASES))
     p.add_argument("--catalog", action="append", default=[], metavar="NAME.KEY=VALUE", help="catalog setting; KEY impl names the class")
+    p.add_argument("--raw_lists", default="native", choices=["native", "text"])
+    p.add_argument("--unknown_sources", default="mark", choices=["mark", "stop", "ignore"])
+    p.add_argument("--minimum", action="append", default=[], metavar="LAYER.ENTITY=N", help="least rows at the end; fewer fail the run")
+    p.add_argument("--views", metavar="NAMESPACE", help="publish the marts as views there when the run has ended")
     p.add_argument("--load", default="main", help="name of the raw load; running it again replaces it")
     for name in ("incremental", "replace_newer", "full_facts"):
         p.add_argument(f"--{name}", action="store_true")
@@ -421,9 +477,10 @@ def main(argv: list[str] | None = None) -> int:
         name: spark.read.parquet(path) if path else None
         for name, path in (("gazetteer", args.gazetteer), ("rules", args.rules))
     }
+    layout = Layout(args.bronze, args.silver, args.gold, args.landing, args.quarantine)
     run(
         spark,
-        Layout(args.bronze, args.silver, args.gold, args.landing, args.quarantine),
+        layout,
         args.phases,
         args.ingestion_date,
         args.published_date,
@@ -433,6 +490,13 @@ def main(argv: list[str] | None = None) -> int:
         replace_newer=args.replace_newer,
         full_facts=args.full_facts,
         load=args.load,
+        raw_lists=args.raw_lists,
+        minimum=parse_minimum(args.minimum),
+        unknown_sources=args.unknown_sources,
     )
+    if args.views:
+        from galley.plans.views import publish_views
+
+        publish_views(spark, layout, args.views)
     files.delete(spark, scratch_root(spark))
     return 0

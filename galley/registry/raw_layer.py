@@ -6,9 +6,11 @@ from pyspark.sql import functions as F, types as T
 
 from galley.operators.incremental import after_marks, high_water_marks, within_dates
 from galley.operators.ranking import cap_per_group
+from galley.plans.run import Layout, stored
 from galley.registry.base import CONTENT, content, info, query, table, with_parts
 from galley.session import scratch_path
 from galley.sources import bronze, landed
+from galley.streaming import landed_stream
 
 EVENT_TYPES = {"click": "article", "view": "blog", "purchase": "report"}
 _TAG = "CASE event_type WHEN 'click' THEN 'article' WHEN 'view' THEN 'blog' WHEN 'purchase' THEN 'report' END"
@@ -352,3 +354,29 @@ def i2_date_bounds(spark, folder):
 
     items = within_dates(content(spark, folder), stamp("1996-01-01"), stamp("1999-12-31"), stamp("1996-02-01"))
     return items.select("id", "content_type", "published_at", "updated_at")
+
+
+@query(
+    "k5_stream_upsert",
+    """SELECT user_id AS id, MAX(ts) AS updated_at, COUNT(*) AS article_count FROM (
+         SELECT DISTINCT user_id, ts FROM events) GROUP BY user_id""",
+)
+def k5_stream_upsert(spark, folder):
+    """Events as versions of items, landed twice over, read as a stream in several batches: the newest of each is stored.
+
+    Beside it the versions that the stream let through, each of them once.
+    """
+    stamp = F.date_format("ts", _ISO)
+    item = F.struct(F.col("user_id").alias("id"), stamp.alias("published_at"), stamp.alias("updated_at"))
+    root, seen = scratch_path(spark, "stream"), scratch_path(spark, "seen")
+    pages = table(spark, folder, "events").select(F.array(item).alias("results"), F.lit("articles").alias("endpoint"))
+    for _ in range(2):
+        pages.repartition(2).write.mode("append").partitionBy("endpoint").json(f"{root}/landing")
+    layout = Layout(bronze=f"{root}/b", silver=f"{root}/s", gold=f"{root}/g")
+    items = landed_stream.stream_items(spark, f"{root}/landing", max_files_per_trigger=2)
+    landed_stream.upsert_stream(items, layout, "2024-02-01", f"{root}/checkpoint").awaitTermination()
+    once = landed_stream.new_versions(items.select("id", "content_type", "updated_at"), "7 days")
+    once.writeStream.format("parquet").option("path", seen).option("checkpointLocation", f"{root}/seen-log").trigger(availableNow=True).start().awaitTermination()
+    versions = spark.read.parquet(seen).groupBy("id").agg(F.count("*").alias("article_count"))
+    newest = stored(spark, layout, "articles").select("id", F.col("updated_at").cast("timestamp_ntz").alias("updated_at"))
+    return newest.join(versions, "id")

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+
 from pyspark.sql import functions as F
 
 from galley.functions.dates import with_date_parts
-from galley.plans import marts, star
+from galley.operators.conform import conform, union_all
+from galley.plans import ledger, marts, star
+from galley.plans.run import Layout
+from galley.plans.views import VIEWS, publish_views
 from galley.registry.base import (
     STAR,
     TOPIC_ROWS,
@@ -19,9 +25,9 @@ from galley.registry.base import (
     table,
     with_parts,
 )
-from galley.schemas import DIM_TOPIC, FACT_ARTICLE
-from galley.session import scratch_path
-from galley.sources.tables import ensure_table, read_table, replace_table, upsert
+from galley.schemas import DIM_TOPIC, FACT_ARTICLE, TABLES
+from galley.session import configure, materialize, scratch_path
+from galley.sources.tables import ensure_table, read_table, replace_table, table_exists, upsert
 from galley.plans.silver import explode_sites
 
 _KEYS = ("content_type", "id")
@@ -335,6 +341,82 @@ def c5_monthly(spark, folder):
     return read_table(spark, path, monthly.schema).select(*monthly.columns)
 
 
+_CHANGED = with_parts(CONTENT, _SLICES) + """, merged AS (
+      SELECT content_type, id, year, month FROM first_slice f WHERE NOT EXISTS (
+        SELECT 1 FROM second_slice s WHERE s.content_type = f.content_type AND s.id = f.id)
+      UNION ALL SELECT content_type, id, year, month FROM second_slice)
+    """
+
+
+@query("c5_by_changes", _CHANGED + "SELECT content_type, year, month, COUNT(*) AS article_count FROM merged GROUP BY ALL")
+def c5_by_changes(spark, folder):
+    """Counts per type and month, kept up by the changes that an upsert tells while rows move month."""
+    path, kept = scratch_path(spark, "items"), scratch_path(spark, "counts")
+    for batch in (_first_slice(spark, folder), _second_slice(spark, folder)):
+        done = upsert(batch, path, _KEYS, _MONTHLY, count_by=("content_type", *_MONTHLY))
+        gained = marts.by_type_month(done.changes)
+        stored = read_table(spark, kept, gained.schema) if table_exists(spark, kept) else gained.limit(0)
+        replace_table(materialize(marts.with_changes(stored, gained), "counts"), kept, _MONTHLY)
+    return read_table(spark, kept, gained.schema).select(*gained.columns)
+
+
+@query(
+    "k10_stored_views",
+    STAR
+    + """, detail AS (
+      SELECT f.*, news_site, topic_name FROM fact f LEFT JOIN source_dim d ON d.news_source_id = f.news_source_id
+        LEFT JOIN topic_dim ON content_type = topic_id)
+    SELECT 'agg_articles_by_month' AS view, NULL AS name, year, month, COUNT(*) AS article_count FROM detail GROUP BY ALL
+    UNION ALL SELECT 'agg_articles_by_source_month', news_site, year, month, COUNT(*) FROM detail GROUP BY ALL
+    UNION ALL SELECT 'v_agg_articles_by_content_type_month', content_type, year, month, COUNT(*) FROM detail GROUP BY ALL
+    UNION ALL SELECT 'v_fact_article_detail', topic_name, year, month, COUNT(*) FROM detail GROUP BY ALL
+    UNION ALL SELECT 'v_articles_recent', news_site, year, month, COUNT(*) FROM detail GROUP BY ALL""",
+)
+def k10_stored_views(spark, folder):
+    """The star stored, the five views published, and all of them read by another session of the catalog."""
+    root, namespace = scratch_path(spark, "gold"), f"marts_{uuid.uuid4().hex[:12]}"
+    layout = Layout(bronze=f"{root}/b", silver=f"{root}/s", gold=root)
+    facts = conform(fact(spark, folder).withColumn("published_at", F.col("published_at").cast("timestamp")), FACT_ARTICLE)
+    for name, df in (("fact_article", facts), ("dim_news_source", source_dim(spark, folder)), ("dim_topic", _topics(spark))):
+        replace_table(conform(df, TABLES[name].schema), layout.table(name), TABLES[name].partition_cols)
+    spark.sql(f"CREATE NAMESPACE {namespace} LOCATION '{root}/views'")
+    publish_views(spark, layout, namespace)
+    other = configure(spark.newSession())
+    seen = {view: other.table(f"{namespace}.{view}") for view in VIEWS}
+    stamp = F.col("published_at")
+    dated = with_date_parts(seen["v_articles_recent"], "published_at")
+    named = {
+        "agg_articles_by_month": seen["agg_articles_by_month"].withColumn("name", F.lit(None).cast("string")),
+        "agg_articles_by_source_month": seen["agg_articles_by_source_month"].withColumnRenamed("news_site", "name"),
+        "v_agg_articles_by_content_type_month": seen["v_agg_articles_by_content_type_month"].withColumnRenamed("content_type", "name"),
+        "v_fact_article_detail": seen["v_fact_article_detail"].groupBy(F.col("topic_name").alias("name"), "year", "month").agg(F.count("*").alias("article_count")),
+        "v_articles_recent": dated.filter(stamp.isNotNull()).groupBy(F.col("news_site").alias("name"), "year", "month").agg(F.count("*").alias("article_count")),
+    }
+    return union_all([df.select(F.lit(view).alias("view"), "name", "year", "month", "article_count") for view, df in named.items()])
+
+
+@query(
+    "v4_run_history",
+    with_parts(CONTENT)
+    + """, loads AS (SELECT year AS run_id, content_type, COUNT(*) AS n FROM content GROUP BY ALL),
+    stored AS (SELECT run_id, 'load' AS phase, content_type AS metric, n AS value FROM loads
+               UNION ALL SELECT run_id, 'stored', 'rows', CAST(SUM(SUM(n)) OVER (ORDER BY run_id) AS BIGINT) FROM loads GROUP BY run_id)
+    SELECT run_id, phase, metric, value, LAG(value) OVER w AS previous, value - LAG(value) OVER w AS change
+    FROM stored WINDOW w AS (PARTITION BY phase, metric ORDER BY run_id)""",
+)
+def v4_run_history(spark, folder):
+    """A run for each year of content: what it loaded of each type and what is stored after it, beside the run before."""
+    items, path = dated_content(spark, folder), scratch_path(spark, "run_log")
+    loads = items.groupBy("year", "content_type").count().orderBy("year").collect()  # a row for each year and type
+    stored = 0
+    for year in sorted({r["year"] for r in loads}):
+        loaded = {r["content_type"]: r["count"] for r in loads if r["year"] == year}
+        stored += sum(loaded.values())
+        numbers = ledger.metrics({"load": loaded, "stored": {"rows": stored}})
+        ledger.record(spark, path, year, numbers, at=dt.datetime(int(year), 12, 31, tzinfo=dt.timezone.utc))
+    return ledger.history(spark, path).select("run_id", "phase", "metric", "value", "previous", "change")
+
+
 @query(
     "k5_upsert_schema",
     with_parts(CONTENT, _SLICES)

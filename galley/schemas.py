@@ -75,6 +75,10 @@ SILVER_ENRICHED = _struct(
 WORD_STATS = _struct([("slot", STRING), ("term", STRING), ("df", LONG), ("before", LONG), ("batch", STRING)])
 WORD_DELTA = _struct([("term", STRING), ("delta", LONG), ("batch", STRING)])
 
+RUN_LOG = _struct(
+    [("run_id", STRING), ("run_at", STAMP), ("status", STRING), ("phase", STRING), ("metric", STRING), ("value", LONG)]
+)
+
 DIM_NEWS_SOURCE = _struct([("news_source_id", LONG), ("news_site", STRING), ("version", STRING)])
 DIM_TOPIC = _struct([("topic_id", STRING), ("topic_name", STRING)])
 FACT_ARTICLE = _struct(
@@ -97,6 +101,11 @@ AGG_MONTH = _struct([("year", STRING), ("month", STRING), ("article_count", LONG
 AGG_SOURCE = _struct([("news_site", STRING), ("year", STRING), ("month", STRING), ("article_count", LONG)])
 
 
+def lists_as_text(schema: T.StructType) -> T.StructType:
+    """The same columns with every list as text, as older raw layers hold them."""
+    return T.StructType([T.StructField(f.name, STRING) if isinstance(f.dataType, T.ArrayType) else f for f in schema.fields])
+
+
 @dataclass(frozen=True)
 class Table:
     """A stored table: its schema, merge key and partitioning."""
