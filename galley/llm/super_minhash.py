@@ -4,20 +4,22 @@
    every shingle a random permutation of the slots, taken step by step; at step ``j`` the slot
    drawn gets ``j`` plus a uniform number if that is smaller. Steps end as soon as no slot can
    get smaller. Documents with the same set are one class from here on.
-2. Bands of the signature put classes into buckets. A class stays in a bucket if its signature
-   agrees often enough with another one there (five standard deviations below the threshold pass).
-3. Each class that stays is paired with the smallest of its bucket and checked on the full sets.
-   Confirmed links give components (large star, small star).
-4. Buckets whose classes are still in different components are searched whole: all pairs of
-   different components are checked on the full sets inside tasks, in blocks of bounded size;
-   only links that join components leave a task.
+2. Bands of the signature put classes into buckets. Each class is paired with the smallest of each
+   of its buckets, one row however large the bucket. Pairs whose signatures agree often enough (five
+   standard deviations below the threshold pass) are checked on the full sets.
+3. Confirmed links give components (large star, small star).
+4. What a bucket's largest component does not hold, the rest of the bucket, is held against all of
+   the bucket: first the signatures, then the full sets of those that agree; only links that join
+   components leave a task.
 5. Components are built again from all links.
 
-Buckets are compared in blocks of bounded size too, so a large one is work for many tasks.
+In step 4 the rest of a bucket is dealt into blocks and so is all of the bucket; each pair of blocks is
+one group of bounded size. A bucket that step 2 has linked throughout costs nothing there: a group of
+a million variants of one text is a million rows in step 2 and none in step 4.
 
 With 240 slots in 40 bands of 6, a pair at the threshold of 0.8 shares no band once in 200,000.
-Work in step 4 grows with (classes outside the main component) x (classes of the bucket), spread
-over blocks; no bucket is cut off.
+Work in step 4 grows with (rest of the bucket) x (classes of the bucket), spread over groups; no
+bucket is cut off.
 
 * null text, and text without a word, has an empty set and is linked with nothing
 * fewer words than a shingle: the whole sequence is the one shingle
@@ -41,8 +43,8 @@ from galley.llm.rolling import U, mix, word_hashes
 BANDS, ROWS = 40, 6
 SLOTS = BANDS * ROWS
 _SEEN = 0xC2B2AE3D27D4EB4F
-BLOCK_MEMBERS = 1024  # signatures of a block in step 2
-BLOCK_TEXT = 4 << 20  # bytes of text of a block in step 4
+BLOCK_MEMBERS = 1024  # signatures of a block
+BLOCK_TEXT = 4 << 20  # bytes of text of a block
 
 
 def shingles(text: bytes, k: int) -> np.ndarray:
@@ -121,38 +123,73 @@ def _least_agreement(percent: int) -> int:
     return int(SLOTS * (p - 5 * (p * (1 - p) / SLOTS) ** 0.5))
 
 
-def _in_blocks(members: DataFrame, blocks: Column) -> DataFrame:
-    """Deal the members of a bucket into ``blocks`` blocks and give every pair of blocks its own group."""
-    dealt = members.withColumn("blocks", blocks.cast("int")).withColumn("block", F.pmod(F.xxhash64("name"), "blocks").cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumns({"first": F.least("block", "other"), "second": F.greatest("block", "other")}).drop("other", "blocks")
-    keys = ["bucket", "first", "second"]
-    return dealt.repartition(*keys).sortWithinPartitions(*keys)
+_GRID = ("bucket", "rest_block", "block")
+
+
+def _grid(members: DataFrame, size: Column, limit: int) -> DataFrame:
+    """The rest of each bucket against all of it: groups ``_GRID`` with rows of both sides (``rest`` or not).
+
+    ``members``: bucket, name, outside (whether it is of the bucket's rest) and columns that are
+    carried. Either side is dealt into as many blocks as its total ``size`` has ``limit``.
+    """
+    total = members.groupBy("bucket").agg(F.sum(size).alias("all"), F.sum(F.when(F.col("outside"), size)).alias("rest"))
+    blocks = [F.greatest(F.ceil(F.col(c) / limit), F.lit(1)).cast("int").alias(f"{c}_blocks") for c in ("all", "rest")]
+    dealt = members.join(splittable(total.filter("rest is not null").select("bucket", *blocks)), "bucket")
+    dealt = dealt.withColumns({
+        "own": F.pmod(F.xxhash64("name"), "all_blocks").cast("int"), "own_rest": F.pmod(F.xxhash64("name"), "rest_blocks").cast("int")
+    })
+    carried = [c for c in members.columns if c not in ("bucket", "outside")]
+    here = dealt.select(
+        "bucket", F.explode(F.sequence(F.lit(0), F.col("rest_blocks") - 1)).alias("rest_block"), F.col("own").alias("block"),
+        F.lit(False).alias("rest"), *carried,
+    )
+    rest = dealt.filter("outside").select(
+        "bucket", F.col("own_rest").alias("rest_block"), F.explode(F.sequence(F.lit(0), F.col("all_blocks") - 1)).alias("block"),
+        F.lit(True).alias("rest"), *carried,
+    )
+    return here.unionAll(rest).repartition(*_GRID).sortWithinPartitions(*_GRID)
+
+
+def _sides(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the rest, and of the block that it is held against."""
+    rest = group.column("rest").to_numpy()
+    return np.flatnonzero(rest), np.flatnonzero(~rest)
+
+
+def _slots(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
+
+
+def _near_centers(pairs: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b, slots_a, slots_b) whose signatures agree often enough."""
+    least = _least_agreement(percent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            agree = (_slots(batch.column(2)) == _slots(batch.column(3))).sum(axis=1) >= least
+            yield batch.select([0, 1]).filter(pa.array(agree))
+
+    return map_batches(pairs.select("a", "b", "slots_a", "slots_b"), run, "a binary, b binary")
 
 
 def _agreeing(members: DataFrame, percent: int) -> DataFrame:
-    """``bucket, name`` of the members whose signature agrees with another one of their bucket."""
+    """``bucket, name`` of the members whose signatures agree across the rest of their bucket and another component."""
     least = _least_agreement(percent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ("bucket", "first", "second")):
-            slots = np.frombuffer(b"".join(group.column("slots").to_pylist()), dtype=np.uint8).reshape(-1, SLOTS)
-            block = group.column("block").to_numpy()
-            across = group.column("first")[0] != group.column("second")[0]
+        for group in groups(batches, _GRID):
+            rest, here = _sides(group)
+            slots = _slots(group.column("slots"))
+            _, own = np.unique(np.array(group.column("component").to_pylist(), dtype=object), return_inverse=True)
             near = np.zeros(len(slots), dtype=bool)
-            for i in range(len(slots)):
-                if not near[i]:
-                    same = (slots == slots[i]).sum(axis=1) >= least
-                    if across:
-                        same &= block != block[i]
-                    same[i] = False
-                    if same.any():
-                        near |= same
-                        near[i] = True
+            for i in rest:
+                same = ((slots[here] == slots[i]).sum(axis=1) >= least) & (own[here] != own[i])
+                if same.any():
+                    near[here[same]] = near[i] = True
             if near.any():
                 yield from group.select(["bucket", "name"]).filter(pa.array(near)).to_batches()
 
-    dealt = _in_blocks(members, F.ceil(F.col("members") / BLOCK_MEMBERS)).select("bucket", "first", "second", "block", "name", "slots")
+    dealt = _grid(members, F.lit(1), BLOCK_MEMBERS).select(*_GRID, "rest", "name", "component", "slots")
     return map_batches(dealt, run, "bucket long, name binary").distinct()
 
 
@@ -172,11 +209,11 @@ def _confirmed(pairs: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def _joining_links(group: pa.Table, k: int, percent: int) -> list[tuple[bytes, bytes]]:
-    """Links between different components in a pair of blocks, as few as join all that can be joined."""
+    """Links between different components across a pair of blocks, as few as join all that can be joined."""
     names, own = group.column("name").to_pylist(), group.column("component").to_pylist()
-    if len(set(own)) < 2:
+    rest, here = _sides(group)
+    if not len(rest) or not len(here) or len(set(own)) < 2:
         return []
-    across, block = group.column("first")[0] != group.column("second")[0], group.column("block").to_numpy()
     parent: dict[bytes, bytes] = {}
 
     def root(x: bytes) -> bytes:
@@ -186,22 +223,17 @@ def _joining_links(group: pa.Table, k: int, percent: int) -> list[tuple[bytes, b
         return x
 
     sets = [shingles(t, k) for t in utf8(group.column("text").combine_chunks())]
-    sizes = np.array([len(s) for s in sets])
-    _, codes = np.unique(np.concatenate(sets), return_inverse=True)
+    sizes = np.array([len(sets[j]) for j in here])
+    known, codes = np.unique(np.concatenate([sets[j] for j in here]), return_inverse=True)
     starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    flag = np.zeros(codes.max() + 1, dtype=np.int32)
-    main, out = max(set(own), key=own.count), []
-    for i in range(len(names)):
-        if root(own[i]) == root(main):
-            continue  # whatever is not in the main component looks for its own links to it
-        mine = codes[starts[i] : starts[i] + sizes[i]]
+    flag, out = np.zeros(len(known) + 1, dtype=np.int32), []
+    for i in rest:
+        at = np.searchsorted(known, sets[i])
+        mine = at[known[np.minimum(at, len(known) - 1)] == sets[i]]
         flag[mine] = 1
         shared = np.add.reduceat(flag[codes], starts)
         flag[mine] = 0
-        near = 100 * shared >= percent * (sizes + sizes[i] - shared)
-        if across:
-            near &= block != block[i]
-        for j in np.flatnonzero(near):
+        for j in here[100 * shared >= percent * (sizes + len(sets[i]) - shared)]:
             if (x := root(own[i])) != (y := root(own[j])):
                 parent[x] = y
                 out.append((names[i], names[j]))
@@ -209,20 +241,33 @@ def _joining_links(group: pa.Table, k: int, percent: int) -> list[tuple[bytes, b
 
 
 def _searched_whole(members: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) that join components, from all pairs within buckets (bucket, name, component, text)."""
+    """Links (a, b) that join components, from the rest of each bucket against all of it (bucket, name, component, outside, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in groups(batches, ("bucket", "first", "second")):
+        for group in groups(batches, _GRID):
             found = _joining_links(group, k, percent)
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*found)], ["a", "b"])
 
-    size = members.groupBy("bucket").agg(F.ceil(F.sum(F.octet_length("text")) / BLOCK_TEXT).alias("size"))
-    dealt = _in_blocks(members.join(splittable(size), "bucket"), F.greatest(F.col("size"), F.lit(1)))
-    dealt = dealt.select("bucket", "first", "second", "block", "name", "component", "text")
+    dealt = _grid(members, F.octet_length("text"), BLOCK_TEXT).select(*_GRID, "rest", "name", "component", "text")
     return map_batches(dealt, run, "a binary, b binary").distinct()
 
 
+def _labelled(members: DataFrame, grouped: DataFrame) -> DataFrame:
+    """``bucket, name, component, outside`` of buckets whose members are not all of one component.
+
+    ``outside``: the member is not of the largest component that the bucket holds.
+    """
+    named = members.join(grouped, members["name"] == grouped["node"], "left").select(
+        "bucket", "name", F.coalesce("component", "name").alias("component")
+    )
+    sizes = named.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    return named.join(splittable(main.select("bucket", F.col("main.component").alias("main"))), "bucket").select(
+        "bucket", "name", "component", (F.col("component") != F.col("main")).alias("outside")
+    )
+
+
 def _class_texts(rows: DataFrame, names: DataFrame, k: int) -> DataFrame:
     """``name, text``: one text of each class in ``names``."""
 
@@ -252,28 +297,26 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
         "classes",
     )
     banded = classes.select("name", F.explode("bands").alias("bucket"))
-    buckets = banded.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    held = banded.join(splittable(buckets), "bucket").join(classes.select("name", "slots"), "name")
-    members = stage.save(_agreeing(held, percent), "members")
+    buckets = banded.groupBy("bucket").agg(F.count("*").alias("members"), F.min("name").alias("center")).filter("members > 1")
+    held = stage.save(banded.join(splittable(buckets), "bucket").select("bucket", "name", "center"), "held")
 
     # Every class against the smallest of each of its buckets.
-    centers = members.groupBy("bucket").agg(F.min("name").alias("b"))
-    pairs = members.join(splittable(centers), "bucket").filter("name != b").select(F.col("name").alias("a"), "b").distinct()
-    texts = stage.save(_class_texts(rows, members.select("name").distinct(), k), "texts")
-    pairs = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-    links = stage.save(_confirmed(pairs, k, percent), "links")
+    signed = classes.select("name", "slots")
+    pairs = held.filter("name != center").select(F.col("name").alias("a"), F.col("center").alias("b")).distinct()
+    pairs = pairs.join(signed.toDF("a", "slots_a"), "a").join(signed.toDF("b", "slots_b"), "b")
+    near = stage.save(_near_centers(pairs, percent), "near")
+    texts = stage.save(_class_texts(rows, near.select("a").union(near.select("b")).distinct().toDF("name"), k), "texts")
+    checked = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+    links = stage.save(_confirmed(checked, k, percent), "links")
     grouped = components(links, stage, "stars")
-
-    # Buckets that still hold more than one component are searched whole.
-    labelled = members.join(grouped, members["name"] == grouped["node"], "left").select(
-        "bucket", "name", F.coalesce("component", "name").alias("component")
-    )
-    mixed = (
-        labelled.groupBy("bucket").agg(F.count("*").alias("n"), F.min("component").alias("x"), F.max("component").alias("y"))
-        .filter("n > 2 and x != y").select("bucket")
-    )
-    undecided = stage.save(labelled.join(splittable(mixed), "bucket").join(texts, "name"), "undecided")
-    more = stage.save(_searched_whole(undecided, k, percent), "more")
+    stage.free("near", "texts")
+
+    # What the largest component of a bucket does not hold, against all of the bucket.
+    labelled = stage.save(_labelled(held.select("bucket", "name"), grouped), "labelled")
+    agreeing = stage.save(_agreeing(labelled.join(signed, "name"), percent), "agreeing")
+    undecided = labelled.join(agreeing, ["bucket", "name"])
+    texts = stage.save(_class_texts(rows, undecided.select("name").distinct(), k), "more-texts")
+    more = stage.save(_searched_whole(undecided.join(texts, "name"), k, percent), "more")
     final = components(links.union(more), stage, "all")
 
     # The smallest doc_id of a component, over all of its classes.
@@ -282,7 +325,7 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     )
     ids = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
     groups_of = stage.save(named.select("name", "component").join(ids, "component").select("name", "component", "component_id"), "groups")
-    stage.free("classes", "members", "texts", "links", "stars-out", "undecided", "more", "all-out")
+    stage.free("classes", "held", "links", "stars-out", "labelled", "agreeing", "more-texts", "more", "all-out")
 
     out = described.select("doc_id", "text_key", "n_shingles", "name").join(groups_of, "name", "left")
     own = F.when(F.col("name").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))

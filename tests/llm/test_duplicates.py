@@ -266,3 +266,58 @@ def test_containment_runs_no_python(spark, plan):
     docs = spark.createDataFrame([(1, "a b c d e f")], DOCS)
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")
     assert not re.search("Python|Pandas|Arrow", plan(containment.matches(docs, items)).replace("Scan ExistingRDD", ""))
+
+
+def test_variants_of_one_text_cost_rows_in_proportion(spark, monkeypatch):
+    """All variants meet in the same buckets: as many pairs as variants, and nothing is left for blocks."""
+    counted = {}
+
+    def counting(name, real):
+        def run(df, *args):
+            counted[name] = counted.get(name, 0) + df.count()
+            return real(df, *args)
+
+        return run
+
+    for name in ("_near_centers", "_grid"):
+        monkeypatch.setattr(super_minhash, name, counting(name, getattr(super_minhash, name)))
+    words = " ".join(f"w{i}" for i in range(40))
+    seen = {}
+    for n in (4_000, 16_000):
+        counted.clear()
+        docs = spark.range(n, numPartitions=8).selectExpr("id AS doc_id", f"concat('{words} tail', id) AS text")
+        found = super_minhash.near_duplicates(docs, k=2)
+        assert found.filter("kept").count() == 1 and found.filter("component_id = 0").count() == n
+        seen[n] = dict(counted)
+    assert seen[16_000]["_near_centers"] <= 4.4 * seen[4_000]["_near_centers"] <= 4.4 * 45 * 4_000
+    assert seen[16_000]["_grid"] <= 4.4 * max(seen[4_000]["_grid"], 500)
+
+
+def test_the_rest_of_a_bucket_is_held_against_all_of_it(spark, rng, monkeypatch):
+    """Chains of near texts whose ends are no links of each other, in one large bucket of short bands."""
+    monkeypatch.setattr(super_minhash, "BLOCK_MEMBERS", 5)
+    monkeypatch.setattr(super_minhash, "BLOCK_TEXT", 900)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for chain in range(6):
+        words = list(base)
+        for i in range(chain * 4):
+            words[i] = f"c{chain}x{i}"
+        for step in range(12):
+            words[20 + 2 * step] = f"c{chain}s{step}"
+            texts.append(" ".join(words))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: r["component_id"] for r in super_minhash.near_duplicates(docs, k=1).collect()}
+    sets = [set(t.split()) for t in texts]
+    parent = list(range(len(texts)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) and root(i) != root(j):
+                parent[max(root(i), root(j))] = min(root(i), root(j))
+    assert got == {i: root(i) for i in range(len(texts))}

@@ -80,4 +80,4 @@ def test_pipeline_of_nothing(spark, tmp_path):
 
 def test_queries_are_registered():
     names = [n for n in entry_point.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
