@@ -268,16 +268,11 @@ def _labelled(members: DataFrame, grouped: DataFrame) -> DataFrame:
     )
 
 
-def _class_texts(rows: DataFrame, names: DataFrame, k: int) -> DataFrame:
-    """``name, text``: one text of each class in ``names``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            named = [_name(shingles(t, k)) for t in utf8(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(named, pa.binary()), batch.column(0)], ["name", "text"])
-
-    texts = map_batches(rows.select("text"), run, "name binary, text string").filter("name is not null")
-    return texts.groupBy("name").agg(F.first("text").alias("text")).join(names, "name", "left_semi")
+def _class_texts(rows: DataFrame, classes: DataFrame, names: DataFrame) -> DataFrame:
+    """``name, text``: the text of one row of each class in ``names``, found by the row's id and text hash."""
+    one = classes.join(names, "name", "left_semi").select("name", F.col("one.doc_id").alias("id_"), F.col("one.text_key").alias("key_"))
+    found = rows.join(splittable(one), rows["doc_id"].eqNullSafe(F.col("id_")) & (rows["text_key"] == F.col("key_")))
+    return found.groupBy("name").agg(F.first("text").alias("text"))
 
 
 def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
@@ -292,7 +287,8 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     described = stage.save(_describe_all(rows, k), "described")
     classes = stage.save(
         described.filter("name is not null").groupBy("name").agg(
-            F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("slots").alias("slots")
+            F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("slots").alias("slots"),
+            F.min(F.struct("doc_id", "text_key")).alias("one"),
         ),
         "classes",
     )
@@ -305,7 +301,7 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     pairs = held.filter("name != center").select(F.col("name").alias("a"), F.col("center").alias("b")).distinct()
     pairs = pairs.join(signed.toDF("a", "slots_a"), "a").join(signed.toDF("b", "slots_b"), "b")
     near = stage.save(_near_centers(pairs, percent), "near")
-    texts = stage.save(_class_texts(rows, near.select("a").union(near.select("b")).distinct().toDF("name"), k), "texts")
+    texts = stage.save(_class_texts(rows, classes, near.select("a").union(near.select("b")).distinct().toDF("name")), "texts")
     checked = near.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
     links = stage.save(_confirmed(checked, k, percent), "links")
     grouped = components(links, stage, "stars")
@@ -315,7 +311,7 @@ def near_duplicates(docs: DataFrame, k: int, percent: int = 80) -> DataFrame:
     labelled = stage.save(_labelled(held.select("bucket", "name"), grouped), "labelled")
     agreeing = stage.save(_agreeing(labelled.join(signed, "name"), percent), "agreeing")
     undecided = labelled.join(agreeing, ["bucket", "name"])
-    texts = stage.save(_class_texts(rows, undecided.select("name").distinct(), k), "more-texts")
+    texts = stage.save(_class_texts(rows, classes, undecided.select("name").distinct()), "more-texts")
     more = stage.save(_searched_whole(undecided.join(texts, "name"), k, percent), "more")
     final = components(links.union(more), stage, "all")
 
