@@ -36,9 +36,9 @@ def sized(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only after measuring that it fits under ``limit``.
 
     Spark already broadcasts by itself what it estimates under its own threshold, so that is
-    left alone; a threshold of -1 forbids broadcasts, here too. Anything else is computed once, stored, and measured there. A frame larger
-    than ``limit`` is returned unmarked: the join then shuffles on its key, and AQE splits a
-    key that holds too many rows.
+    left alone; a threshold of -1 forbids broadcasts, here too. Anything else is computed once,
+    stored, and measured there. A frame larger than ``limit`` is returned unmarked: the join then
+    shuffles on its key, and AQE splits a key that holds too many rows.
     """
     threshold = byte_setting(df.sparkSession, "spark.sql.autoBroadcastJoinThreshold", "10485760")
     if threshold < 0 or estimated_bytes(df) <= threshold:
