@@ -30,8 +30,10 @@ one row for a block and a bucket.
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -45,7 +47,7 @@ from galley.llm.rolling import U, mix
 
 P_MIN, LEAST_COUNT, LEAST_GAIN, DEPTH = 2e-6, 4, 0.01, 3
 BLOCK_TOKENS = 1 << 18
-BUCKET_PAIRS = 1 << 20
+BUCKET_PAIRS = 1 << 21
 _STRETCH = 1 << 22  # bytes of a text that are split into words at once
 _END = b""  # no word is empty
 _SPACE = re.compile(rb"[\x09-\x0D ]")
@@ -107,7 +109,8 @@ class _Writer:
         self._empty()
 
     def _empty(self) -> None:
-        self.known: dict[bytes, int] = {_END: 0}
+        # A word met for the first time takes the next code.
+        self.known: defaultdict[bytes, int] = defaultdict(itertools.count(1).__next__, {_END: 0})
         self.codes: list[np.ndarray] = []
         self.length = self.scored = 0
         self.parts: list[tuple] = []
@@ -121,8 +124,6 @@ class _Writer:
                 part = run[at : at + max(self.size - self.scored, 1)]
                 at += len(part)
                 whole, known = before + part, self.known
-                for word in set(whole).difference(known):
-                    known[word] = len(known)
                 self.parts.append((key, doc_id, held, self.length, len(before)))
                 self.codes.append(np.fromiter(map(known.__getitem__, whole), np.uint32, len(whole)))
                 self.length += len(whole)
