@@ -58,3 +58,14 @@ def test_stretches_that_stay_on_one_page_are_searched_at_every_place(spark, rng)
     for d, own in windows.items():
         other = {tuple(w) for w in windows[d ^ 1]}
         assert got.get(d, set()) == {i for i, w in enumerate(own) if tuple(w) in other}
+
+
+def test_runs_repeated_across_a_host_are_cut_inside_articles(spark):
+    notice = "please remember that every story here is brought to you by readers like you today"
+    pages = [
+        (1, "http://a.example/1", f"<article><p>first story about rivers and bridges</p><p class=x>{notice}</p></article>"),
+        (2, "http://a.example/2", f"<main><p>second story on mountains in winter</p><div>{notice}</div></main>"),
+        (3, "http://b.example/3", f"<article><p>other host</p><p>{notice}</p></article>"),
+    ]
+    got = {r.page_id: r.text for r in host_text.main_text(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {1: "first story about rivers and bridges", 2: "second story on mountains in winter", 3: f"other host\n{notice}"}
